@@ -7,10 +7,38 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.paths import canonical_path
 from tallyloom.functions.times import as_utc
-from tallyloom.operators import compaction, orphans
+from tallyloom.operators import compaction, drift, nested, orphans
+from tallyloom.session import cut
 from tallyloom.sources.tables import table
 
 
+_DATASET = ["service", "operation"]
+
+
+def _years(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    rows = table(spark, sf_dir, "manifest_records", *_DATASET, "params", *columns)
+    return rows.withColumn("period", F.expr("try_cast(try_element_at(params, 'svyYr') as int)")).drop("params")
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What the listings say of the fields, and the payloads of their values."""
+    listings = _years(spark, sf_dir, "field_names")
+    files = _years(spark, sf_dir, "raw_path", "field_names").filter("size(field_names) > 0").select(*_DATASET, "period", canonical_path(F.col("raw_path")).alias("file_key"))
+    marked = drift.payload_marks(table(spark, sf_dir, "raw_responses", "raw_path", "payload"), canonical_path(F.col("raw_path")), "payload")
+    return drift.field_facts(listings, _DATASET, "field_names"), cut(drift.value_facts(marked, files, _DATASET))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts, values = _facts(spark, sf_dir)
+    return drift.schema_changes(cut(facts), values, _DATASET).withColumnRenamed("period", "survey_year")
+
+
+def p1_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fused schema of each operation and year."""
+    facts, values = _facts(spark, sf_dir)
+    return drift.fused_schema(facts, values, _DATASET).withColumnRenamed("period", "survey_year").withColumn("alternatives", F.array_join("alternatives", ","))
+
+
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "bytes")
     return compaction.listed(rows, "record_id", canonical_path(F.col("raw_path")), F.col("bytes"))
@@ -47,7 +75,24 @@ def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.orphan_counts(_orphans(spark, sf_dir))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_counts": p3_counts}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = nested.flatten(table(spark, sf_dir, "raw_responses", "response_id", "payload"), "response_id", "payload", fields=False)
+    return rows.select("response_id", "item_no", "major_no", "quota_no")
+
+
+def _p5_level(name: str, numbers: list[str], fields: list[str]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        flat = nested.flatten(table(spark, sf_dir, "raw_responses", "response_id", "payload"), "response_id", "payload")
+        return nested.level(flat, name).select("response_id", *numbers, *(F.try_element_at("fields", F.lit(f)).alias(f) for f in fields))
+
+    return query
+
+
+p5_items = _p5_level("items", ["item_no"], ["svyYr", "indctId", "schlId", "schlNmKr", "znNm", "rmkList/item"])
+p5_majors = _p5_level("majors", ["item_no", "major_no"], ["mjrNm", "mjrCd"])
+p5_quotas = _p5_level("quotas", ["item_no", "major_no", "quota_no"], ["grd", "qotaCnt"])
+
+QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_counts": p3_counts}
 
 
 def _sql_path(column: str) -> str:
