@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import garbled
+from tallyloom.llm import garbled, packing, tokens
 from tallyloom.sources.tables import table
 
 
@@ -25,5 +25,20 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled.find_garbled(_names(spark, sf_dir))
 
 
-QUERIES = {"p4_found": p4_found, "p4_restored": p4_restored}
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_texts(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    sizes = tokens.token_counts(documents, "doc_id", "text")
+    return packing.pack(sizes, "doc_id", table(spark, sf_dir, "container_sizes"), documents.count())
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each kind are."""
+    return packing.fill(p7_containers(spark, sf_dir))
+
+
+QUERIES = {"p4_found": p4_found, "p4_restored": p4_restored, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill}
 SQL: dict[str, str] = {}
