@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import garbled, packing, tokens
+from tallyloom.llm import garbled, packing, subjects, tokens
 from tallyloom.sources.tables import table
 
 
@@ -40,5 +40,17 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill(p7_containers(spark, sf_dir))
 
 
-QUERIES = {"p4_found": p4_found, "p4_restored": p4_restored, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "subject_labels", "doc_id", "subject", "annotator")
+    names = sorted(r.subject for r in table(spark, sf_dir, "subject_areas", "subject").filter("subject is not null").distinct().limit(1000).collect())
+    return subjects.assign(documents, "doc_id", "text", subjects.train(documents, labels, "doc_id", "text", names))
+
+
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The make-up of the corpus by language and subject."""
+    return subjects.composition(p8_found(spark, sf_dir), table(spark, sf_dir, "documents", "doc_id", "lang"), "doc_id", "lang")
+
+
+QUERIES = {"p4_found": p4_found, "p4_restored": p4_restored, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_found": p8_found, "p8_composition": p8_composition}
 SQL: dict[str, str] = {}
