@@ -13,13 +13,13 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +28,7 @@ from tallyloom.session import cut
 SALTS = 16
 SHARD_FILES = 50_000
 TARGET_BYTES = 128 << 20
+ROW_GROUP_BYTES = 8 << 20
 PLAN = "file_key string, file_id long, size_bytes long, shard int, output_group int"
 WRITTEN = "shard int, output_group int, output_path string, files long, content_bytes long, digest string"
 
@@ -90,81 +91,102 @@ def group_sizes(plan: DataFrame) -> DataFrame:
     return plan.groupBy("shard", "output_group").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
 
 
-def compact(plan: DataFrame, contents: DataFrame, folder: str, batch_rows: int = 256) -> DataFrame:
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder given as a path or an address, and the path there."""
+    return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+
+
+class _Part:
+    """One output file while it is written: rows are gathered to row groups of some size."""
+
+    SCHEMA = pa.schema([("file_key", pa.string()), ("file_id", pa.int64()), ("content", pa.binary())])
+
+    def __init__(self, system: fs.FileSystem, staging: str) -> None:
+        self.system, self.path = system, f"{staging}/{uuid.uuid4().hex}.parquet"
+        self.writer = pq.ParquetWriter(self.path, self.SCHEMA, compression="zstd", filesystem=system)
+        self.digest, self.rows, self.size, self.waiting, self.held = hashlib.sha256(), 0, 0, [], 0
+
+    def add(self, key: str, file_id: int, content: bytes) -> None:
+        self.waiting.append({"file_key": key, "file_id": file_id, "content": content})
+        self.digest.update(content)
+        self.rows, self.size, self.held = self.rows + 1, self.size + len(content), self.held + len(content)
+        if self.held > ROW_GROUP_BYTES:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.waiting:
+            self.writer.write_batch(pa.RecordBatch.from_pylist(self.waiting, self.SCHEMA))
+        self.waiting, self.held = [], 0
+
+    def finish(self, final: str) -> dict:
+        """Closes the file, reads it back, compares, and moves it to its place."""
+        self.flush()
+        self.writer.close()
+        check, again = hashlib.sha256(), 0
+        with self.system.open_input_file(self.path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(batch_size=256, columns=["content"]):
+                again += len(batch)
+                for x in batch.column(0):
+                    check.update(x.as_py())
+        if (again, check.digest()) != (self.rows, self.digest.digest()):
+            raise OSError(f"{self.path} does not hold what was written")
+        self.system.move(self.path, final)
+        return {"output_path": final, "files": self.rows, "content_bytes": self.size, "digest": self.digest.hexdigest()}
+
+
+def compact(plan: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
     """``WRITTEN``: writes the contents of each output group to one file of ``folder``.
 
-    ``contents`` has ``file_key`` and ``content`` (binary or text); files without content are left
-    out of the output and repeated contents of a key count once. ``folder`` must be shared by all
-    executors. Each task writes to a name of its own, reads the file back to compare rows and
-    digest, and renames it; a task that runs again replaces the file by the same bytes.
+    ``contents`` has ``file_key`` and ``content`` (binary or text); files without content are left out
+    of the output, contents without a plan too, and repeated contents of a key count once. ``folder``
+    must be shared by all executors. Each task writes to a name of its own, reads the file back to
+    compare rows and digest, and moves it to its place; a task that runs again puts the same bytes there.
     """
-    staging = f"{folder}/_staging-{uuid.uuid4().hex}"
+    staging = f"_staging-{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("file_key", pa.string()), ("file_id", pa.int64()), ("content", pa.binary())])
-        os.makedirs(staging, exist_ok=True)
-        at = writer = None
-        rows = size = 0
-        digest = hashlib.sha256()
+        system, root = file_system(folder)
+        system.create_dir(f"{root}/{staging}", recursive=True)
+        part = group = last = None
         done: list[dict] = []
 
         def finish() -> None:
-            shard, group, part = at
-            writer.close()
-            check, again = hashlib.sha256(), 0
-            with pq.ParquetFile(part) as reader:
-                for b in reader.iter_batches(batch_size=batch_rows):
-                    again += len(b)
-                    for x in b.column(2):
-                        check.update(x.as_py())
-            if again != rows or check.digest() != digest.digest():
-                raise OSError(f"{part} does not hold what was written")
-            final = f"{folder}/part-{shard:05d}-{group:05d}.parquet"
-            os.replace(part, final)
-            done.append({"shard": shard, "output_group": group, "output_path": final, "files": rows, "content_bytes": size, "digest": digest.hexdigest()})
-
-        last = None
+            done.append({"shard": group[0], "output_group": group[1]} | part.finish(f"{root}/part-{group[0]:05d}-{group[1]:05d}.parquet"))
+
         for batch in batches:
-            for row in batch.to_pylist():
-                here = (row["shard"], row["output_group"])
-                if at is None or here != at[:2]:
-                    if writer is not None:
+            for n in range(len(batch)):
+                shard, output, key, file_id, content = (c[n].as_py() for c in batch.columns)
+                if group != (shard, output):
+                    if part is not None:
                         finish()
-                    at = (*here, f"{staging}/{uuid.uuid4().hex}.parquet")
-                    writer, rows, size, digest = pq.ParquetWriter(at[2], schema, compression="zstd"), 0, 0, hashlib.sha256()
-                if (here, row["file_key"]) == last:
-                    continue
-                last = (here, row["file_key"])
-                writer.write_batch(pa.RecordBatch.from_pylist([{k: row[k] for k in schema.names}], schema))
-                digest.update(row["content"])
-                rows, size = rows + 1, size + len(row["content"])
-        if writer is not None:
+                    part, group, last = _Part(system, f"{root}/{staging}"), (shard, output), None
+                if key != last:
+                    part.add(key, file_id, content)
+                last = key
+        if part is not None:
             finish()
-        if done:
             yield pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int32()), ("output_group", pa.int32()), ("output_path", pa.string()), ("files", pa.int64()), ("content_bytes", pa.int64()), ("digest", pa.string())]))
 
-    held = plan.join(contents.select("file_key", F.col("content").cast("binary").alias("content")).filter("file_key is not null and content is not null"), "file_key")
-    ordered = held.select("shard", "output_group", "file_key", "file_id", "content").repartition("shard", "output_group").sortWithinPartitions("shard", "output_group", "file_id")
+    known = contents.select("file_key", F.col("content").cast("binary").alias("content")).filter("file_key is not null and content is not null")
+    held = plan.select("shard", "output_group", "file_key", "file_id").join(known, "file_key").select("shard", "output_group", "file_key", "file_id", "content")
+    ordered = held.repartition("shard", "output_group").sortWithinPartitions("shard", "output_group", "file_id", "file_key")
     return ordered.mapInArrow(write, WRITTEN)
 
 
 def publish(written: DataFrame, folder: str) -> DataFrame:
     """Runs the compaction once, then writes ``_manifest.json``, the sign of a whole compaction, by a rename.
 
-    The manifest has one line per output file; it is written by the driver, group by group.
+    The manifest has one line per output file; the driver writes it line by line.
     """
     done = cut(written)
-    os.makedirs(folder, exist_ok=True)
-    part = f"{folder}/_manifest-{uuid.uuid4().hex}"
-    with open(part, "w", encoding="utf-8") as out:
+    system, root = file_system(folder)
+    system.create_dir(root, recursive=True)
+    part = f"{root}/_manifest-{uuid.uuid4().hex}"
+    with system.open_output_stream(part) as out:
         for row in done.orderBy("shard", "output_group").toLocalIterator():
-            out.write(json.dumps(row.asDict(), sort_keys=True) + "\n")
-        out.flush()
-        os.fsync(out.fileno())
-    os.replace(part, f"{folder}/_manifest.json")
-    for name in os.listdir(folder):
-        if name.startswith("_staging-"):
-            for left in os.listdir(f"{folder}/{name}"):
-                os.remove(f"{folder}/{name}/{left}")
-            os.rmdir(f"{folder}/{name}")
+            out.write((json.dumps(row.asDict(), sort_keys=True) + "\n").encode())
+    system.move(part, f"{root}/_manifest.json")
+    for info in system.get_file_info(fs.FileSelector(root)):
+        if info.base_name.startswith("_staging-"):
+            system.delete_dir(info.path)
     return done

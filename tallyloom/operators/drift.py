@@ -29,9 +29,9 @@ LIKE_CONTENT = 0.5
 LIKE_NAME = 0.7
 #: Pairs of letters in texts are counted in so many classes, so a field's profile has a fixed size.
 TEXT_CLASSES = 1024
-_INTEGER = re.compile(r"[+-]?\d+")
-_DECIMAL = re.compile(r"[+-]?(?:\d+\.\d*|\.\d+)(?:[eE][+-]?\d+)?|[+-]?\d+[eE][+-]?\d+")
-_DATE = re.compile(r"\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])")
+_INTEGER = re.compile(r"[+-]?[0-9]+")
+_DECIMAL = re.compile(r"[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?[0-9]+[eE][+-]?[0-9]+")
+_DATE = re.compile(r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])")
 MARKS = "array<struct<field:string,mark:string,weight:double>>"
 
 
@@ -119,7 +119,7 @@ def value_facts(marked: DataFrame, files: DataFrame, keys: list[str]) -> DataFra
 
     ``files`` says which dataset and period a ``file_key`` belongs to; repeats there count once.
     """
-    of = files.filter("file_key is not null and period is not null").dropDuplicates()
+    of = files.select(*keys, "period", "file_key").filter("file_key is not null and period is not null").distinct()
     each = marked.join(of, "file_key").select(*keys, "period", F.inline("marks"))
     return each.groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
 
@@ -220,3 +220,39 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
         .join(usual.select(F.col("field").alias("new_field"), F.col("usual").alias("new_name")), "new_field", "left")
         .select(*keys, "period", "change_kind", "field_name", F.coalesce("new_name", F.lit("")).alias("new_name"))
     )
+
+
+def final_names(changes: DataFrame, keys: list[str], steps: int = 3) -> DataFrame:
+    """``keys``, ``field`` (lower case), ``final``: the last name of each renamed field, through ``steps`` further renamings."""
+    once = changes.filter("change_kind = 'renamed'").groupBy(*keys, F.lower("field_name").alias("field")).agg(F.max_by("new_name", "period").alias("final"))
+    out = once
+    for _ in range(steps):
+        on = once.select(*keys, F.col("field").alias("next"), F.col("final").alias("further"))
+        out = out.withColumn("next", F.lower("final")).join(on, [*keys, "next"], "left").select(*keys, "field", F.coalesce("further", "final").alias("final"))
+    return out
+
+
+def typed_values(items: DataFrame, value: str = "value") -> DataFrame:
+    """Adds a branch for each kind beside the canonical text; missing values are null in all of them.
+
+    A number that no branch can hold (beyond 18 digits, or 38 with 10 decimals) stays in the text branch.
+    """
+    text = F.trim(value)
+    known = F.when((text != "") & (text != "-"), text)
+    integer = F.when(known.rlike(f"^(?:{_INTEGER.pattern})$"), known.try_cast("bigint"))
+    decimal = F.when(known.rlike(f"^(?:{_DECIMAL.pattern})$"), known.try_cast("decimal(38,10)"))
+    date = F.when(known.rlike(f"^(?:{_DATE.pattern})$"), known.try_cast("date"))
+    return items.withColumns({"canonical": known, "as_integer": integer, "as_decimal": decimal, "as_date": date, "as_text": F.when(F.coalesce(integer.cast("string"), decimal.cast("string"), date.cast("string")).isNull(), known)})
+
+
+def unified(items: DataFrame, renamed: DataFrame, usual: DataFrame, keys: list[str]) -> DataFrame:
+    """One consistent table of ``keys``, ``period``, ``file_key``, ``item_no``, ``field`` and its typed values.
+
+    ``items`` has these with ``fields``, a map of names as they came; a field goes by its last name in
+    its usual spelling. Lists inside an entry are left out here; they are tables of their own.
+    """
+    each = items.select(*keys, "period", "file_key", "item_no", F.explode("fields").alias("name", "value")).filter("not name like '%/%'")
+    plain = each.withColumn("field", F.lower(plain_name(F.col("name"))))
+    named = plain.join(renamed, [*keys, "field"], "left").join(usual, "field", "left")
+    final = F.coalesce("final", "usual", plain_name(F.col("name")))
+    return typed_values(named.select(*keys, "period", "file_key", "item_no", final.alias("field"), "value")).drop("value")

@@ -90,8 +90,11 @@ def _entries(value: Any, entry: str) -> list:
 
 
 def _inner_json(text: str) -> Any:
-    """A JSON object or list that is written as text; other text as nothing, cut JSON as an error."""
-    return json.loads(text, parse_float=str, parse_int=str, parse_constant=_no_constant) if text.lstrip()[:1] in ("{", "[") else None
+    """A JSON object or list that is written as text; any other text is None."""
+    try:
+        return json.loads(text, parse_float=str, parse_int=str, parse_constant=_no_constant) if text.lstrip()[:1] in ("{", "[") else None
+    except ValueError:
+        return None
 
 
 def _find(value: Any, name: str) -> Any:

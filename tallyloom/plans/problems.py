@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.paths import canonical_path
 from tallyloom.functions.times import as_utc
 from tallyloom.operators import compaction, drift, nested, orphans
-from tallyloom.session import cut
+from tallyloom.session import cut, shared_folder
 from tallyloom.sources.tables import table
 
 
@@ -39,6 +41,17 @@ def p1_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.fused_schema(facts, values, _DATASET).withColumnRenamed("period", "survey_year").withColumn("alternatives", F.array_join("alternatives", ","))
 
 
+def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All values of all responses in one table, with a branch for each kind."""
+    facts, values = _facts(spark, sf_dir)
+    facts = cut(facts)
+    renamed = drift.final_names(drift.schema_changes(facts, values, _DATASET), _DATASET)
+    flat = nested.flatten(table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null"), "raw_path", "payload")
+    items = nested.level(flat, "items").select(canonical_path(F.col("raw_path")).alias("file_key"), "item_no", "fields")
+    files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", canonical_path(F.col("raw_path")).alias("file_key")).distinct()
+    return drift.unified(items.join(files, "file_key"), renamed, drift.usual_spellings(facts), _DATASET).withColumnRenamed("period", "survey_year")
+
+
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "bytes")
     return compaction.listed(rows, "record_id", canonical_path(F.col("raw_path")), F.col("bytes"))
@@ -53,6 +66,15 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.group_sizes(compaction.schedule(_listing(spark, sf_dir), target_bytes=1 << 20))
 
 
+def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored responses written to few files in the shared folder: what each output file holds."""
+    plan = compaction.schedule(_listing(spark, sf_dir), target_bytes=1 << 20)
+    responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload")
+    contents = responses.select(canonical_path(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
+    folder = f"{shared_folder(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"
+    return compaction.publish(compaction.compact(plan, contents, folder), folder).drop("output_path")
+
+
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     api = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "collected_at")
     portal = table(spark, sf_dir, "portal_manifest", "entry_no", "local_path", "downloaded_at")
@@ -92,7 +114,7 @@ p5_items = _p5_level("items", ["item_no"], ["svyYr", "indctId", "schlId", "schlN
 p5_majors = _p5_level("majors", ["item_no", "major_no"], ["mjrNm", "mjrCd"])
 p5_quotas = _p5_level("quotas", ["item_no", "major_no", "quota_no"], ["grd", "qotaCnt"])
 
-QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_counts": p3_counts}
+QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
 
 
 def _sql_path(column: str) -> str:
