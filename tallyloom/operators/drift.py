@@ -139,15 +139,21 @@ def fused_schema(facts: DataFrame, values: DataFrame, keys: list[str]) -> DataFr
     return seen.join(kinds, [*keys, "period", "field"], "left").withColumn("kind", one)
 
 
-def _profiles(values: DataFrame, keys: list[str]) -> DataFrame:
+def _profiles(fields: DataFrame, values: DataFrame, keys: list[str], nearness: Column, where: str) -> DataFrame:
+    """The profile of each of ``fields`` over the periods of ``values`` (``at``) that ``where`` selects; its kind is that of the nearest period."""
     kind = F.substring("mark", 6, 20)
-    return values.groupBy(*keys, "period", "field").agg(
-        F.max_by(F.when(F.col("mark").startswith("kind "), kind), F.when(F.col("mark").startswith("kind "), F.struct("weight", kind))).alias("kind"),
+    is_kind = F.col("mark").startswith("kind ")
+    rows = fields.join(values.withColumnRenamed("period", "at"), [*keys, "field"]).filter(where)
+    profile = rows.groupBy(*keys, "period", "field").agg(
+        F.max_by(F.when(is_kind, kind), F.when(is_kind, F.struct(nearness, "weight", kind))).alias("kind"),
         F.sum(F.when(F.col("mark") == "size 0", F.col("weight"))).alias("n"),
         F.sum(F.when(F.col("mark") == "size 1", F.col("weight"))).alias("s"),
         F.sum(F.when(F.col("mark") == "size 2", F.col("weight"))).alias("ss"),
-        F.map_from_entries(F.collect_list(F.when(F.col("mark").startswith("pair "), F.struct("mark", "weight")))).alias("pairs"),
     )
+    pairs = rows.filter("mark like 'pair %'").groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
+    maps = pairs.groupBy(*keys, "period", "field").agg(F.map_from_entries(F.collect_list(F.struct("mark", "weight"))).alias("pairs"))
+    same = [*keys, "period", "field"]
+    return fields.select(*same).join(profile, same, "left").join(maps, same, "left")
 
 
 def _likeness() -> Column:
@@ -166,12 +172,12 @@ def renamings(gone: DataFrame, come: DataFrame, values: DataFrame, before: DataF
     """``keys``, ``period``, ``field``, ``new_field``: vanished fields whose content goes on under a new name.
 
     ``before`` gives the period before each. A vanished and an appearing field of the same dataset and
-    period are compared by the kind and content of their values; where either has none, by their names.
+    period are compared by the content of their values in all periods before and after, if they are of
+    one kind at the change; where either has no values, by their names.
     The pairs are taken most alike first, each field once. The fields of a dataset bound the pairs.
     """
-    profile = _profiles(values, keys)
-    old = gone.join(before, [*keys, "period"]).join(profile.withColumnRenamed("period", "previous"), [*keys, "previous", "field"], "left")
-    new = come.join(profile, [*keys, "period", "field"], "left")
+    old = _profiles(gone.join(before, [*keys, "period"]), values, keys, F.col("at"), "at <= previous")
+    new = _profiles(come, values, keys, -F.col("at"), "at >= period")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "period"]]
     pairs = old.alias("a").join(new.alias("b"), on)
     names = 1 - F.levenshtein(F.col("a.field"), F.col("b.field")) / F.greatest(F.length("a.field"), F.length("b.field"))
