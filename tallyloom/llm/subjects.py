@@ -14,9 +14,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import product
 
 import numpy as np
@@ -31,6 +31,8 @@ ROUNDS = 6
 MISLABELLED = 0.02
 #: Counts that the corpus adds to a subject's unigrams, and unigrams to the bigrams after a word.
 UNIGRAM_PRIOR, BIGRAM_PRIOR = 200.0, 5.0
+#: Sentences that a worker remembers.
+REMEMBERED = 200_000
 MARGINS, SHARES, SHORT = (0.5, 1.0, 2.0), (0.14, 0.15, 0.16, 0.17, 0.18, 0.2), (2, 3, 5)
 
 _TAGS = re.compile(r"</?(?:p|br|li|ul|ol|div|tr|td|th|table|h\d)\b[^>\n]{0,200}>", re.I)
@@ -38,21 +40,30 @@ _INLINE = re.compile(r"</?[A-Za-z][^>\n]{0,200}>")
 _UNSEEN = re.compile("[\u200b-\u200d\u2060\ufeff\u00ad]")
 _BREAK = re.compile(r"[\r\n\x0b\x0c\x85\u2028\u2029]+|(?<!^\d\.)(?<!^\d\d\.)(?<=[.!?…])\s+", re.M)
 _BULLET = re.compile(r"^\s*(?:\d{1,3}[.)]|[-*•※#>]+)\s*")
-_WORD = re.compile(r"\S*[/_=][\w/.=]*|[A-Za-z]*[a-z][A-Z]\w*|\b[0-9a-f]{12,}\b|[^\W\d_]+(?:'[a-z]+)?|\d+")
+_WORD = re.compile(r"[^\W\d_]+(?:'[a-z]+)?|\d+")
 _NAME = re.compile(r"[/_=]|[a-z][A-Z]|[0-9a-f]{12}")
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """The sentences and lines of a text as lists of words; numbers and names of operations, fields and paths are one word each.
+@lru_cache(100_000)
+def _words(chunk: str) -> tuple[str, ...]:
+    """The words between two blanks: ``@`` for the name of an operation, field or path, ``#`` for a number."""
+    if _NAME.search(chunk):
+        return ("@",)
+    return tuple("#" if w[0].isdigit() else w.lower() for w in _WORD.findall(chunk))
+
+
+def sentences(text: str | None) -> list[tuple[str, ...]]:
+    """The sentences and lines of a text as tuples of words; numbers and names of operations, fields and paths are one word each.
 
     Markup, numbering and invisible characters are left out, decomposed letters composed. Null, empty
     and blank texts have no sentences.
     """
     plain = unicodedata.normalize("NFC", _UNSEEN.sub("", text or ""))
-    plain = html.unescape(_INLINE.sub(" ", _TAGS.sub("\n", plain)))
+    if "<" in plain or "&" in plain:
+        plain = html.unescape(_INLINE.sub(" ", _TAGS.sub("\n", plain)))
     found = []
     for line in _BREAK.split(plain):
-        words = ["@" if _NAME.search(w) else "#" if w[0].isdigit() else w.lower() for w in _WORD.findall(_BULLET.sub("", line))]
+        words = tuple(w for chunk in _BULLET.sub("", line).split() for w in _words(chunk))
         if words:
             found.append(words)
     return found
@@ -60,7 +71,7 @@ def sentences(text: str | None) -> list[list[str]]:
 
 @dataclass
 class Models:
-    """Bigrams and unigrams as log probabilities by subject; the last column is the background."""
+    """Bigrams and unigrams as log probabilities by subject; the last column is the background. ``met`` has the sentences judged so far, by margin."""
 
     subjects: list[str]
     words: dict[str, int]
@@ -71,48 +82,54 @@ class Models:
     margin: float = 1.0
     share: float = 0.16
     short: int = 3
-
-    def scores(self, texts: list[list[list[str]]]) -> tuple[np.ndarray, np.ndarray]:
-        """The log likelihood of each sentence under each model, and the text that it belongs to.
-
-        Words that were never seen tell nothing and are left out.
-        """
-        rows, after, at, of = [], [], [], []
-        where: list[int] = []
-        n = 0
-        for number, text in enumerate(texts):
-            for sentence in text:
-                last = "\x02"
-                for word in sentence:
-                    pair = self.pairs.get(f"{last} {word}")
-                    if pair is not None:
-                        where.append(pair)
-                        at.append(n)
-                    elif (known := self.words.get(word)) is not None:
-                        rows.append(known)
-                        after.append(self.words.get(last, len(self.words)))
-                        of.append(n)
-                    last = word
-                n += 1
-        counts = [len(t) for t in texts]
-        total = np.zeros((n, self.pair_logs.shape[1]))
+    met: dict = field(default_factory=dict)
+
+    def scores(self, asked: list[tuple[str, ...]]) -> np.ndarray:
+        """The log likelihood of each sentence under each model. Words that were never seen tell nothing and are left out."""
+        seen, seen_of, rows, after, of = [], [], [], [], []
+        for n, sentence in enumerate(asked):
+            last = "\x02"
+            for word in sentence:
+                pair = self.pairs.get(f"{last} {word}")
+                if pair is not None:
+                    seen.append(pair)
+                    seen_of.append(n)
+                elif (known := self.words.get(word)) is not None:
+                    rows.append(known)
+                    after.append(self.words.get(last, len(self.words)))
+                    of.append(n)
+                last = word
+        seen, seen_of, rows, after, of = (np.array(x, np.int64) for x in (seen, seen_of, rows, after, of))
+        total = np.zeros((len(asked), self.pair_logs.shape[1]))
         for k in range(total.shape[1]):
-            total[:, k] += np.bincount(np.array(at, np.int64), self.pair_logs[np.array(where, np.int64), k], n)
-            total[:, k] += np.bincount(np.array(of, np.int64), self.word_logs[np.array(rows, np.int64), k] + self.start_logs[np.array(after, np.int64), k], n)
-        return total, np.repeat(np.arange(len(texts)), counts)
-
-    def votes(self, texts: list[list[list[str]]], margin: float) -> np.ndarray:
-        """By text and subject: the sentences about it."""
-        scores, owner = self.scores(texts)
-        k = len(self.subjects)
+            total[:, k] = np.bincount(seen_of, self.pair_logs[seen, k], len(asked)) + np.bincount(of, self.word_logs[rows, k] + self.start_logs[after, k], len(asked))
+        return total
+
+    def about(self, asked: list[tuple[str, ...]], margin: float) -> list[int]:
+        """The number of the subject that each sentence is about, -1 for none."""
+        scores, k = self.scores(asked), len(self.subjects)
+        if not k:
+            return [-1] * len(asked)
         ordered = np.sort(scores[:, :k], axis=1)
-        best = scores[:, :k].argmax(axis=1)
-        clear = (ordered[:, -1] - scores[:, k] > margin) & (ordered[:, -1] - (ordered[:, -2] if k > 1 else -np.inf) > margin)
-        votes = np.zeros((len(texts), k), np.int64)
-        np.add.at(votes, (owner[clear], best[clear]), 1)
+        second = ordered[:, -2] if k > 1 else -np.inf
+        clear = (ordered[:, -1] - scores[:, k] > margin) & (ordered[:, -1] - second > margin)
+        return np.where(clear, scores[:, :k].argmax(axis=1), -1).tolist()
+
+    def votes(self, texts: list[list[tuple[str, ...]]], margin: float) -> np.ndarray:
+        """By text and subject: the sentences about it. Sentences that were met before are looked up."""
+        known = self.met.setdefault(margin, {})
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list({s for t in texts for s in t if s not in known})
+        known.update(zip(new, self.about(new, margin), strict=True))
+        votes = np.zeros((len(texts), len(self.subjects)), np.int64)
+        for row, text in enumerate(texts):
+            for sentence in text:
+                if (k := known[sentence]) >= 0:
+                    votes[row, k] += 1
         return votes
 
-    def accept(self, texts: list[list[list[str]]], votes: np.ndarray, share: float, short: int) -> np.ndarray:
+    def accept(self, texts: list[list[tuple[str, ...]]], votes: np.ndarray, share: float, short: int) -> np.ndarray:
         """Which subjects count: by share, and more than a single mention in all but short texts."""
         n = np.array([len(t) for t in texts])[:, None]
         return (votes > 0) & (votes >= share * n) & ((votes > 1) | (n < short))
@@ -123,7 +140,7 @@ class Models:
         return [[self.subjects[k] for k in np.flatnonzero(row)] for row in accepted]
 
 
-def fit(texts: list[list[list[str]]], shares: np.ndarray, subjects: list[str], rounds: int = ROUNDS) -> Models:
+def fit(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects: list[str], rounds: int = ROUNDS) -> Models:
     """The models of labelled texts. ``shares`` has the votes of the annotators by text and subject."""
     k = len(subjects)
     prior = np.concatenate([shares, np.ones((len(texts), 1))], axis=1)
@@ -163,7 +180,7 @@ def fit(texts: list[list[list[str]]], shares: np.ndarray, subjects: list[str], r
     return Models(subjects, words, pairs, pair_logs.astype(np.float32), word_logs.astype(np.float32), start_logs.astype(np.float32))
 
 
-def calibrate(texts: list[list[list[str]]], shares: np.ndarray, subjects: list[str]) -> Models:
+def calibrate(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects: list[str]) -> Models:
     """Models fitted on all texts, with margin, share and short length chosen on every fifth text, left out of a first fit."""
     held = np.arange(len(texts)) % 5 == 0
     if held.sum() < 10:
@@ -193,7 +210,7 @@ def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, subje
     """
     votes = labels.filter(F.col(row_id).isNotNull()).groupBy(row_id).agg(F.countDistinct("annotator").alias("annotators"), F.collect_set(F.struct("annotator", "subject")).alias("votes"))
     drawn = votes.orderBy(F.xxhash64(row_id), row_id).limit(sample)
-    rows = documents.join(F.broadcast(drawn), row_id).filter(F.length(text) <= SAMPLE_CHARS).dropDuplicates([row_id]).select(row_id, text, "annotators", "votes").collect()
+    rows = documents.select(row_id, text).join(F.broadcast(drawn), row_id).filter(F.length(text) <= SAMPLE_CHARS).dropDuplicates([row_id]).select(row_id, text, "annotators", "votes").collect()
     rows.sort(key=lambda r: r[row_id])
     number = {s: n for n, s in enumerate(subjects)}
     shares = np.zeros((len(rows), len(subjects)))
@@ -224,6 +241,8 @@ def assign(documents: DataFrame, row_id: str, text: str, models: Models, batch:
 
 def composition(found: DataFrame, documents: DataFrame, row_id: str, by: str) -> DataFrame:
     """Texts by subject and by the column ``by`` of the documents, with their share of that column's assignments."""
+    if by == "subject":
+        raise ValueError("the column must not be called subject")
     counts = found.join(documents.select(row_id, by), row_id).groupBy(by, "subject").agg(F.count("*").alias("documents"))
     totals = counts.groupBy(by).agg(F.sum("documents").alias("all_documents"))
     same = counts[by].eqNullSafe(totals[by])
