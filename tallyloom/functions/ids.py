@@ -10,7 +10,7 @@ def ascii_json(text: Column) -> Column:
     """JSON text with every character beyond ASCII written as ``\\uXXXX`` (pairs for those beyond U+FFFF)."""
     escaped = F.transform(
         F.split(text, ""),
-        lambda c: F.when(c.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\\\u$1")).otherwise(c),
+        lambda c: F.when(c.rlike(r"[^\x00-\x7f]"), F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")).otherwise(c),
     )
     return F.when(text.rlike(r"[^\x00-\x7f]"), F.array_join(escaped, "")).otherwise(text)
 

@@ -16,7 +16,7 @@ def _instant_to_ntz(instant: Column) -> Column:
 
 def utc_time(text: Column) -> Column:
     """ISO-8601 text with any zone as the UTC time; text without zone is UTC, other text null."""
-    trimmed = F.trim(text)
+    trimmed = F.regexp_replace(F.trim(text), r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=$|[Zz+-])", "$1:00")
     zoned = F.when(trimmed.rlike(_ZONE), trimmed).otherwise(F.concat(trimmed, F.lit("Z")))
     parsed = F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), zoned.try_cast("timestamp"))
     return _instant_to_ntz(parsed)

@@ -62,9 +62,8 @@ def marks_of(values: set[str]) -> dict[str, float]:
         out[f"kind {kind}"] += 1
         if kind in ("integer", "decimal"):
             size = math.log2(1 + min(abs(float(value[:300])), 1e300))
-            out["size 0"] += 1
-            out["size 1"] += size
-            out["size 2"] += size * size
+            for power in range(3):
+                out[f"{kind} {power}"] += size**power
         elif kind == "text":
             framed = f"\x02{value}\x03"
             for pair in map("".join, zip(framed, framed[1:], strict=False)):
@@ -146,10 +145,10 @@ def _profiles(fields: DataFrame, values: DataFrame, keys: list[str], nearness: C
     rows = fields.join(values.withColumnRenamed("period", "at"), [*keys, "field"]).filter(where)
     profile = rows.groupBy(*keys, "period", "field").agg(
         F.max_by(F.when(is_kind, kind), F.when(is_kind, F.struct(nearness, "weight", kind))).alias("kind"),
-        F.sum(F.when(F.col("mark") == "size 0", F.col("weight"))).alias("n"),
-        F.sum(F.when(F.col("mark") == "size 1", F.col("weight"))).alias("s"),
-        F.sum(F.when(F.col("mark") == "size 2", F.col("weight"))).alias("ss"),
+        *(F.sum(F.when(F.col("mark") == f"{k} {power}", F.col("weight"))).alias(f"{k} {power}") for k in ("integer", "decimal") for power in range(3)),
     )
+    moments = [F.when(F.col("kind") == "integer", F.col(f"integer {power}")).otherwise(F.col(f"decimal {power}")).alias(name) for power, name in enumerate(("n", "s", "ss"))]
+    profile = profile.select(*keys, "period", "field", "kind", *moments)
     pairs = rows.filter("mark like 'pair %'").groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
     maps = pairs.groupBy(*keys, "period", "field").agg(F.map_from_entries(F.collect_list(F.struct("mark", "weight"))).alias("pairs"))
     same = [*keys, "period", "field"]

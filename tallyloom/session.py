@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _local_folder()
+
+
+@lru_cache(1)
+def _local_folder() -> str:
+    """A temporary folder of this process, removed at its end."""
     folder = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
