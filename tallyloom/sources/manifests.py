@@ -38,6 +38,9 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, LINES)
 
 
+# Filters may be moved past an error that an expression raises, so its condition repeats theirs.
+
+
 def _parsed(found: DataFrame, schema: str) -> DataFrame:
     parsed = F.from_json("line", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return found.withColumn("row", parsed).withColumn("bad", F.col("row").isNull() | F.col("row._corrupt_record").isNotNull())
@@ -54,7 +57,7 @@ def strict(spark: SparkSession, path: str) -> DataFrame:
     for name in MANIFEST_REQUIRED:
         lacking = lacking | F.col(f"row.{name}").isNull()
     where = F.concat(F.lit("corrupt manifest line "), F.col("line_no").cast("string"), F.lit(" of "), "path")
-    checked = F.when(F.col("bad") | lacking, F.raise_error(where)).otherwise(F.col("row"))
+    checked = F.when((F.col("bad") | lacking) & (F.col("ended") | ~F.col("last")), F.raise_error(where)).otherwise(F.col("row"))
     return rows.select("path", "line_no", checked.alias("row")).select("path", "line_no", "row.*").drop("_corrupt_record")
 
 
@@ -65,7 +68,7 @@ def lenient(spark: SparkSession, path: str, schema: str = PORTAL_MANIFEST) -> Da
     """
     rows = _parsed(lines(spark, path), schema).filter("not (bad and last)")
     where = F.concat(F.lit("corrupt manifest line "), F.col("line_no").cast("string"), F.lit(" of "), "path")
-    good = rows.select("path", "line_no", F.when(F.col("bad"), F.raise_error(where)).otherwise(F.col("row")).alias("row")).select("path", "line_no", "row.*").drop("_corrupt_record")
+    good = rows.select("path", "line_no", F.when(F.col("bad") & ~F.col("last"), F.raise_error(where)).otherwise(F.col("row")).alias("row")).select("path", "line_no", "row.*").drop("_corrupt_record")
     done = good.filter("status = 'downloaded' and task_id <> ''")
     names = [c for c in done.columns if c not in ("path", "line_no")]
     return done.groupBy("task_id").agg(F.max_by(F.struct(*(n for n in names if n != "task_id")), F.struct("path", "line_no")).alias("row")).select("task_id", "row.*")

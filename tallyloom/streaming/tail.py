@@ -15,7 +15,7 @@ from tallyloom.model import MANIFEST
 def tail(spark: SparkSession, folder: str, delay: str = "60 days", schema: str = MANIFEST) -> DataFrame:
     """A stream of manifest rows from the JSON-lines files of a folder, each (task, checksum) once."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).json(folder)
-    return unique(rows.withColumn("event_time", F.to_timestamp("collected_at")), ["task_id", "sha256"], delay)
+    return unique(rows.withColumn("event_time", F.try_to_timestamp("collected_at")), ["task_id", "sha256"], delay)
 
 
 def unique(rows: DataFrame, keys: list[str], delay: str) -> DataFrame:
