@@ -54,6 +54,33 @@ def garble(text: str, chain: tuple[tuple[str, str], ...]) -> str:
     return text
 
 
+@lru_cache(None)
+def _wide_bytes(chain: tuple[str, str]) -> tuple[dict[str, bytes], list[str]]:
+    """The bytes behind each character that Hangul turns into where the wrong encoding takes two bytes, and those that make a hit.
+
+    Bytes of one syllable come first, then the last and first bytes of neighbours, then a byte that
+    took an ASCII character with it, blanks and punctuation first; a codec's own way back is not always the same.
+    """
+    right, wrong = chain
+    charset = "euc-kr" if right == "cp949" else right
+    known = [data for s in SYLLABLES if (data := s.encode(charset, "ignore"))]
+    ends, starts = sorted({data[-1] for data in known}), sorted({data[0] for data in known})
+    inner = sorted({data[i : i + 2] for data in known for i in range(len(data) - 1)})
+    pairs = [*inner, *(bytes([a, b]) for a in ends for b in starts), *(bytes([a, b]) for b in sorted(range(0x20, 0x7F), key=lambda b: chr(b).isalnum()) for a in ends)]
+    table: dict[str, bytes] = {}
+    hits = []
+    for n, pair in enumerate(pairs):
+        try:
+            text = pair.decode(wrong)
+        except UnicodeError:
+            continue
+        if len(text) == 1:
+            table.setdefault(text, pair)
+        if n < len(inner) + len(ends) * len(starts):
+            hits.append(text)
+    return table, hits
+
+
 @lru_cache(1)
 def _automaton():
     import ahocorasick
@@ -67,16 +94,8 @@ def _automaton():
                 by_pattern[garble(s, chain)].append((n, s))
             except UnicodeError:
                 continue
-    for right, wrong in WIDE_CHAINS:
-        charset = "euc-kr" if right == "cp949" else right
-        known = [data for s in SYLLABLES if (data := s.encode(charset, "ignore"))]
-        inner = {data[i : i + 2] for data in known for i in range(len(data) - 1)}
-        across = {bytes([a, b]) for a in {data[-1] for data in known} for b in {data[0] for data in known}}
-        for pair in inner | across:
-            try:
-                pattern = pair.decode(wrong)
-            except UnicodeError:
-                continue
+    for chain in WIDE_CHAINS:
+        for pattern in _wide_bytes(chain)[1]:
             if (-1, "") not in by_pattern[pattern]:
                 by_pattern[pattern].append((-1, ""))
     built = ahocorasick.Automaton()
@@ -122,8 +141,9 @@ def _spans(run: str, at: int, name: str, common: frozenset[str]) -> list[tuple[i
             best = kept
     if wide and not best:
         for right, wrong in WIDE_CHAINS:
+            table = _wide_bytes((right, wrong))[0]
             try:
-                text = run.encode(wrong).decode(right)
+                text = b"".join(table.get(c) or c.encode(wrong) for c in run).decode(right)
             except UnicodeError:
                 continue
             if _plausible(text, common) and text != run:

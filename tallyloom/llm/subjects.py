@@ -21,7 +21,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled texts that the models are fitted on at most, and the longest of them. Classification has no bound.
@@ -244,6 +244,5 @@ def composition(found: DataFrame, documents: DataFrame, row_id: str, by: str) ->
     if by == "subject":
         raise ValueError("the column must not be called subject")
     counts = found.join(documents.select(row_id, by), row_id).groupBy(by, "subject").agg(F.count("*").alias("documents"))
-    totals = counts.groupBy(by).agg(F.sum("documents").alias("all_documents"))
-    same = counts[by].eqNullSafe(totals[by])
-    return counts.join(totals, same).select(counts[by], "subject", "documents", (F.col("documents") / F.col("all_documents")).alias("share"))
+    share = F.col("documents") / F.sum("documents").over(Window.partitionBy(by))
+    return counts.select(by, "subject", "documents", share.alias("share"))
