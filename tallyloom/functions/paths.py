@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallyloom.sources.tables import ROOT
 
 
+#: A path without any of these is relative and in its only spelling already, which one pass finds out.
+_VARIED = r"^$|^[/.\s]|[\s/]$|\\|//|/\.|^(?i:file):"
+
+
 def _fold(parts: Column) -> Column:
     """``parts`` with each ``..`` taken together with the part before it."""
     none = F.array().cast("array<string>")
@@ -32,4 +36,5 @@ def canonical_path(path: Column, root: str = ROOT) -> Column:
     plain = F.regexp_replace(F.regexp_replace(full, r"/(?:\.?/)+", "/"), r"(?<=.)/\.?$", "")
     folded = F.concat(F.lit("/"), F.array_join(_fold(F.split(F.substring(plain, 2, 1_000_000), "/")), "/"))
     whole = F.when(plain.rlike(r"/\.\.(?:/|$)"), folded).otherwise(plain)
-    return F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), F.substring(whole, len(root) + 2, 1_000_000)).otherwise(whole)
+    located = F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), F.substring(whole, len(root) + 2, 1_000_000)).otherwise(whole)
+    return F.when(path.rlike(_VARIED), located).otherwise(path)
