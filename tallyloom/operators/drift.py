@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import cut
 from tallyloom.operators.nested import local_name, pivot, triples
 
 #: How alike the contents of two fields must be for a renaming, and their names where there are no contents.
@@ -197,16 +198,17 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
     of a change is the first with the new state. For a change of kind, periods without values or with
     mixed kinds are passed over, and the field must have been there in between.
     """
-    schema = fused_schema(facts, values, keys)
+    schema = cut(fused_schema(facts, values, keys))  # as small as the report, and read many times
     in_order = Window.partitionBy(*keys).orderBy("period")
     periods = schema.select(*keys, "period").distinct()
     steps = periods.select(*keys, "period", F.lag("period").over(in_order).alias("previous"), F.row_number().over(in_order).alias("step"))
     before = steps.filter("previous is not null").select(*keys, "period", "previous")
     here = schema.select(*keys, "period", "field")
     then = here.withColumnRenamed("period", "previous").join(before, [*keys, "previous"]).select(*keys, "period", "field")
-    gone = then.join(here, [*keys, "period", "field"], "left_anti")
+    gone = cut(then.join(here, [*keys, "period", "field"], "left_anti"))
     come = here.join(before.drop("previous"), [*keys, "period"], "left_semi").join(then, [*keys, "period", "field"], "left_anti")
-    renamed = renamings(gone, come, values, before, keys)
+    come = cut(come)
+    renamed = cut(renamings(gone, come, values, before, keys))
     empty = F.lit(None).cast("string")
     kept = Window.partitionBy(*keys, "field").orderBy("step")
     stepped = schema.join(steps.select(*keys, "period", "step"), [*keys, "period"])
