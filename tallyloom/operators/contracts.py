@@ -71,3 +71,24 @@ def split(df: DataFrame, failure: Column) -> tuple[DataFrame, DataFrame]:
 def within_limit(df: DataFrame, count: str, limit: int) -> DataFrame:
     """The rows; one with more than ``limit`` stops the job."""
     return df.withColumn(count, F.when(F.col(count) > limit, F.raise_error(F.concat(F.lit(f"more than {limit} rows: "), F.col(count).cast("string")))).otherwise(F.col(count)))
+
+
+def catalogue_contract(catalogue: DataFrame, operations: int, services: int) -> DataFrame:
+    """One row: the numbers of a catalogue, and the first rule of its fixed contract that it breaks."""
+    counted = catalogue.agg(F.count("*").alias("rows"), F.countDistinct("service").alias("services"), F.countDistinct("service", "operation").alias("pairs"))
+    failure = first_failure((F.col("pairs") != F.col("rows"), "repeated operation"), (F.col("rows") != operations, "unexpected number of operations"), (F.col("services") != services, "unexpected number of services"))
+    return counted.withColumn("failure", failure)
+
+
+def assertions(df: DataFrame, **rules: Column) -> DataFrame:
+    """One row per rule: ``rule``, ``rows`` that were judged, ``failed``. A null condition fails; no rows pass."""
+    each = [F.count_if(~F.coalesce(condition, F.lit(False))).alias(name) for name, condition in rules.items()]
+    one = df.agg(F.count("*").alias("rows"), *each)
+    return one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col("rows"), F.col(n).alias("failed")) for n in rules))).alias("x")).select("x.*")
+
+
+def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows; a key that occurs more than once stops the job."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("times"), F.any_value(F.struct(*df.columns)).alias("row"))
+    checked = F.when(F.col("times") > 1, F.raise_error(F.concat(F.lit("not unique: "), F.concat_ws("/", *keys)))).otherwise(F.col("row"))
+    return counted.select(checked.alias("row")).select("row.*")

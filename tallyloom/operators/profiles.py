@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.ids import row_digest
 from tallyloom.operators.nested import local_name
 
 #: Elements that hold the result.
@@ -99,6 +100,69 @@ def xml_profiles(df: DataFrame, row_id: str, payload: str) -> DataFrame:
     return xml.mapInArrow(run, f"`{row_id}` {kind}, {PROFILE}")
 
 
+def _exact_items(text: str) -> list[list[dict]]:
+    """The children of each outermost item as name-value pairs in document order."""
+    names: list[str] = []
+    words: list[list[str]] = []
+    items: list[list[dict]] = []
+    depth: list[int] = []
+
+    def start(name: str, _) -> None:
+        names.append(local_name(name))
+        words.append([])
+        if names[-1] == "item" and not depth:
+            depth.append(len(names))
+            items.append([])
+
+    def end(_: str) -> None:
+        value = "".join(words.pop()).strip()
+        if depth and len(names) == depth[0] + 1:
+            items[-1].append({"name": names[-1], "value": value})
+        elif depth and len(names) == depth[0]:
+            depth.clear()
+        names.pop()
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, lambda data: words[-1].append(data) if words else None
+    try:
+        parser.Parse(text, True)
+    except expat.ExpatError:
+        return []
+    return items
+
+
+def exact_rows(df: DataFrame, row_id: str, payload: str) -> DataFrame:
+    """``row_id``, ``item_no``, ``pairs``: the items of XML payloads as they stand, order and absent children kept.
+
+    Payloads that are not well-formed XML give no rows. Everything that follows is native: equality of
+    two responses is equality of their arrays, an item's identity is ``ids.row_digest``.
+    """
+    kind = dict(df.dtypes)[row_id]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
+        for batch in batches:
+            found = [_exact_items(t) for t in batch.column(1).to_pylist()]
+            at = pa.array([n for n, items in enumerate(found) for _ in items], pa.int64())
+            number = pa.array([n for items in found for n in range(1, len(items) + 1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), number, pa.array([i for items in found for i in items], shape)], [row_id, "item_no", "pairs"])
+
+    xml = df.select(row_id, payload).filter(F.col(payload).rlike(r"^\s*<"))
+    return xml.mapInArrow(run, f"`{row_id}` {kind}, item_no long, pairs array<struct<name:string,value:string>>")
+
+
+def exact_duplicates(items: DataFrame, by: str) -> DataFrame:
+    """Items of each response, and how many repeat an earlier one exactly."""
+    return items.groupBy(by, row_digest(F.col("pairs")).alias("_digest")).agg(F.count("*").alias("_times")).groupBy(by).agg(F.sum("_times").alias("items"), (F.sum("_times") - F.count("*")).alias("duplicate_items"))
+
+
+def same_responses(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
+    """Pairs of responses with the same key: whether their items are equal, in order."""
+    whole = lambda df, name: df.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("item_no", "pairs"))).alias(name))
+    return whole(left, "l").join(whole(right, "r"), by).select(by, (F.col("l") == F.col("r")).alias("same"))
+
+
 def file_facts(df: DataFrame, content: str) -> DataFrame:
     """Adds ``bytes`` and ``digest`` of a text or binary column."""
     data = F.col(content).cast("binary")
@@ -108,8 +172,8 @@ def file_facts(df: DataFrame, content: str) -> DataFrame:
 def duplicate_rows(df: DataFrame, by: list[str], content: str) -> DataFrame:
     """By group: rows, and how many of them repeat an earlier one exactly. Nulls are equal to each other."""
     digest = F.coalesce(F.sha2(F.col(content), 256), F.lit(""))
-    once = df.groupBy(*by, digest.alias("d")).agg(F.count("*").alias("n"))
-    return once.groupBy(*by).agg(F.sum("n").alias("rows"), (F.sum("n") - F.count("*")).alias("duplicate_rows"))
+    once = df.groupBy(*by, digest.alias("_digest")).agg(F.count("*").alias("_times"))
+    return once.groupBy(*by).agg(F.sum("_times").alias("rows"), (F.sum("_times") - F.count("*")).alias("duplicate_rows"))
 
 
 def school_lists(items: DataFrame, counts: DataFrame) -> DataFrame:

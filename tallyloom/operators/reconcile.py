@@ -69,3 +69,25 @@ def filtered(df: DataFrame, **wanted: list | None) -> DataFrame:
 def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
     """Rows with their position in their group."""
     return df.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def select_scope(datasets: DataFrame, expected: dict[str, int], sources: list[str] | None = None, codes: list[str] | None = None) -> DataFrame:
+    """The datasets of the wanted sources and codes, in order.
+
+    Without ``codes`` each source must have its expected number of datasets; with them each code must
+    be found. Unknown sources are an error.
+    """
+    wanted = sources or sorted(expected)
+    if set(wanted) - set(expected):
+        raise ValueError(f"unknown sources: {sorted(set(wanted) - set(expected))}")
+    scope = datasets.filter(F.col("source").isin(*wanted))
+    if codes:
+        scope = scope.filter(F.col("domn_code").isin(*codes))
+        lacking = set(codes) - {r.domn_code for r in scope.select("domn_code").distinct().collect()}
+        if lacking:
+            raise ValueError(f"codes not found: {sorted(lacking)}")
+    else:
+        found = {r.source: r["count"] for r in scope.groupBy("source").count().collect()}
+        if any(found.get(s, 0) != expected[s] for s in wanted):
+            raise ValueError(f"unexpected numbers of datasets: {found}")
+    return scope.orderBy("source", "domn_code", "dataset")

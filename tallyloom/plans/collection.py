@@ -267,6 +267,26 @@ def profile_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.xml_profiles(table(spark, sf_dir, "raw_responses", "response_id", "payload"), "response_id", "payload")
 
 
+@query()
+def profile_exact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and exact repeats of each XML payload, by the digests of its rows."""
+    return profiles.exact_duplicates(profiles.exact_rows(table(spark, sf_dir, "raw_responses", "response_id", "payload"), "response_id", "payload"), "response_id")
+
+
+@query("""SELECT count(*) AS rows, count(DISTINCT service) AS services, count(DISTINCT (service, operation)) AS pairs,
+  CASE WHEN pairs <> rows THEN 'repeated operation' WHEN rows <> 48 THEN 'unexpected number of operations' WHEN services <> 7 THEN 'unexpected number of services' END AS failure FROM endpoint_catalog""")
+def contract_catalogue_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.catalogue_contract(table(spark, sf_dir, "endpoint_catalog", "service", "operation"), 48, 7)
+
+
+@query("""SELECT unnest(['answered', 'normal', 'counted', 'whole']) AS rule, count(*) AS rows, unnest([count(*) FILTER (WHERE http_status IS DISTINCT FROM 200), count(*) FILTER (WHERE result_code IS DISTINCT FROM '00'),
+  count(*) FILTER (WHERE total_count IS NULL), count(*) FILTER (WHERE NOT coalesce(item_count = total_count, false))]) AS failed FROM raw_responses""")
+def contract_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suite of rules over all responses."""
+    rows = table(spark, sf_dir, "raw_responses", "http_status", "result_code", "total_count", "item_count")
+    return contracts.assertions(rows, answered=F.col("http_status") == 200, normal=F.col("result_code") == "00", counted=F.col("total_count").isNotNull(), whole=F.col("item_count") == F.col("total_count"))
+
+
 @query("SELECT response_id, octet_length(encode(payload)) AS bytes, sha256(payload) AS digest FROM raw_responses WHERE payload IS NOT NULL")
 def profile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.file_facts(table(spark, sf_dir, "raw_responses", "response_id", "payload").filter("payload is not null"), "payload").drop("payload")

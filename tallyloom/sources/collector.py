@@ -7,10 +7,13 @@ Only a response beyond the row limit stops the job.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallyloom.operators.planning import request_params
 from tallyloom.operators.profiles import profile
 from tallyloom.sources.http import fetch, request_url
 
@@ -78,3 +81,42 @@ def collect(tasks: DataFrame, concurrency: int = 2, **options) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"task_id": task_id} | collect_one(url, dict(params or ()), declared, **options)], schema)
 
     return tasks.select("task_id", "endpoint_url", "params", "output_fields").repartition(concurrency).mapInArrow(run, COLLECTED)
+
+
+PROBED = "service string, operation string, scope_strategy string, http_status int, result_code string, total_count long, item_count long, sha256 string, attempts int, error string"
+
+
+def probe(catalogue: DataFrame, year: str, school: str, division: str, concurrency: int = 2, **options) -> DataFrame:
+    """``PROBED``: one representative request of one row for each operation, in order; errors are rows."""
+    params = request_params(F.col("scope_strategy"), F.lit(year), F.lit(school), F.lit(division), F.col("fixed_params"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("service", pa.string()), ("operation", pa.string()), ("scope_strategy", pa.string()), ("http_status", pa.int32()), ("result_code", pa.string()), ("total_count", pa.int64()), ("item_count", pa.int64()), ("sha256", pa.string()), ("attempts", pa.int32()), ("error", pa.string())])
+        for batch in batches:
+            for service, operation, strategy, url, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                r = fetch(request_url(url, dict(asked)), **options)
+                facts = profile(r["payload"]) if r["payload"] and not r["error"] else {}
+                row = {k: facts.get(k) for k in ("result_code", "total_count", "item_count")} | {k: r[k] for k in ("http_status", "sha256", "attempts")}
+                yield pa.RecordBatch.from_pylist([row | {"service": service, "operation": operation, "scope_strategy": strategy, "error": r["error"] or facts.get("error")}], schema)
+
+    asked = catalogue.select("service", "operation", "scope_strategy", "endpoint_url", params.alias("params")).repartition(concurrency)
+    return asked.mapInArrow(run, PROBED).orderBy("service", "operation")
+
+
+@dataclass(frozen=True)
+class Policy:
+    """Limits of a run; values out of range are an error."""
+
+    concurrency: int = 2
+    most_concurrency: int = 4
+    attempts: int = 3
+    pause: float = 0.5
+    timeout: float = 180.0
+    probe_rows: int = 1
+    row_limit: int = 70_000
+
+    def __post_init__(self) -> None:
+        if not 1 <= self.concurrency <= self.most_concurrency:
+            raise ValueError("concurrency is out of range")
+        if min(self.attempts, self.probe_rows, self.row_limit) < 1 or min(self.pause, self.timeout) < 0:
+            raise ValueError("limits must be positive")

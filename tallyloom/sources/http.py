@@ -70,6 +70,17 @@ def fetch(url: str, attempts: int = 3, pause: float = 0.5, timeout: float = 180.
     return out | {"attempts": attempts}
 
 
+def form(fields: dict[str, str]) -> tuple[bytes, dict[str, str]]:
+    """The body and headers of a form."""
+    return urllib.parse.urlencode(fields).encode(), {"Content-Type": "application/x-www-form-urlencoded; charset=UTF-8"}
+
+
+def multipart(fields: dict[str, str], boundary: str) -> tuple[bytes, dict[str, str]]:
+    """The body and headers of a form in parts."""
+    parts = [f'--{boundary}\r\nContent-Disposition: form-data; name="{k}"\r\n\r\n{v}\r\n' for k, v in fields.items()]
+    return ("".join(parts) + f"--{boundary}--\r\n").encode(), {"Content-Type": f"multipart/form-data; boundary={boundary}"}
+
+
 class _Requests(InputPartition):
     def __init__(self, requests: list[list[str]]) -> None:
         self.requests = requests

@@ -105,6 +105,37 @@ def test_profile_errors(spark, rows):
     assert got == [(1, True, None), (4, False, 0)]
 
 
+def test_exact_rows(spark, rows):
+    items = "<item><a/><b>1</b></item><item><b>1</b><a/></item><item><a/><b> 1 </b></item>"
+    df = spark.createDataFrame([(1, XML.format(items, 3)), (2, "<broken>"), (3, None), (4, "{}")], "n int, payload string").withColumn("pairs", F.lit(1))
+    exact = profiles.exact_rows(df, "n", "payload")
+    assert rows(exact.select("n", "item_no", F.to_json("pairs")))[0] == (1, 1, '[{"name":"a","value":""},{"name":"b","value":"1"}]')
+    assert rows(profiles.exact_duplicates(exact, "n")) == [(1, 3, 1)]
+    assert rows(profiles.same_responses(exact, exact, "n")) == [(1, True)]
+    assert rows(profiles.same_responses(exact, exact.filter("item_no > 1"), "n")) == [(1, False)]
+
+
+def test_rules(spark, rows):
+    endpoints = catalogue(spark, ("S", "a", "lookup_once", None), ("T", "b", "lookup_once", None))
+    assert contracts.catalogue_contract(endpoints, 2, 2).first().failure is None
+    assert contracts.catalogue_contract(endpoints, 3, 2).first().failure == "unexpected number of operations"
+    assert contracts.catalogue_contract(endpoints.union(endpoints), 4, 2).first().failure == "repeated operation"
+    df = spark.createDataFrame([(0,), (1,), (None,)], "n int")
+    assert rows(contracts.assertions(df, zero=F.col("n") == 0, known=F.col("n").isNotNull())) == [("known", 3, 1), ("zero", 3, 2)]
+    assert contracts.exactly_one(endpoints, ["service", "operation"]).count() == 2
+    with pytest.raises(Exception, match=ERROR):
+        contracts.exactly_one(endpoints.union(endpoints), ["service", "operation"]).collect()
+
+
+def test_scope(spark):
+    df = spark.createDataFrame([("s", "2", "x"), ("s", "1", "y"), ("t", "3", "z")], "source string, domn_code string, dataset string")
+    assert [r.domn_code for r in reconcile.select_scope(df, {"s": 2, "t": 1}).collect()] == ["1", "2", "3"]
+    assert reconcile.select_scope(df, {"s": 9, "t": 1}, ["s"], ["2"]).count() == 1
+    for bad in (({"s": 3, "t": 1},), ({"s": 2}, ["u"]), ({"s": 2}, ["s"], ["3"])):
+        with pytest.raises(ValueError):
+            reconcile.select_scope(df, *bad)
+
+
 def test_row_digest(spark):
     pairs = [("이름", "값"), ("b", ""), ("c", None)]
     digest = hashlib.sha256()

@@ -132,6 +132,22 @@ def test_collect(spark, api, rows):
         collector.collect_one(api, {"total": "9"}, row_limit=8)
 
 
+def test_probe(spark, api, rows):
+    data = [("S", "b", "lookup_once", api, None), ("S", "a", "nationwide_by_year", api, {"total": "0"}), ("S", "c", "lookup_once", api, {"mode": "gone"})]
+    catalogue = spark.createDataFrame(data, "service string, operation string, scope_strategy string, endpoint_url string, fixed_params map<string,string>")
+    got = [tuple(r) for r in collector.probe(catalogue, "2025", "1", "01").select("operation", "result_code", "total_count", "item_count", "error").collect()]
+    assert got == [("a", "00", 0, 0, None), ("b", "00", 3, 1, None), ("c", None, None, None, "status 404")]
+    assert collector.Policy().concurrency == 2
+    for bad in ({"concurrency": 5}, {"attempts": 0}, {"timeout": -1}):
+        with pytest.raises(ValueError):
+            collector.Policy(**bad)
+
+
+def test_forms():
+    assert http.form({"a": "가"})[0] == b"a=%EA%B0%80"
+    assert http.multipart({"a": "1"}, "X")[0] == b'--X\r\nContent-Disposition: form-data; name="a"\r\n\r\n1\r\n--X--\r\n'
+
+
 def test_retry_after():
     class E:
         headers = {"Retry-After": "9999"}
@@ -158,7 +174,13 @@ def test_store(tmp_path):
     assert not (tmp_path / "raw/S/o/new.xml").exists()
     manifest.write_bytes(b'{"cut')
     store.append_line(manifest, {"a": "가"})
-    assert manifest.read_text().splitlines()[1] == '{"a": "가"}'
+    assert manifest.read_text().splitlines() == ['{"a": "가"}']
+    source.write_bytes(b"  <HTML>")
+    with pytest.raises(store.IntegrityError, match="HTML"):
+        store.publish_response(source, tmp_path / "z")
+    source.write_bytes(b"")
+    with pytest.raises(store.IntegrityError):
+        store.publish_response(source, tmp_path / "z")
     assert not list((tmp_path / "raw").rglob("*.part"))
     with pytest.raises(ValueError):
         store.raw_path("S", "o/..", "t")
