@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled texts that the models are fitted on at most, and the longest of them. Classification has no bound.
-SAMPLE_TEXTS, SAMPLE_CHARS = 6000, 100_000
+SAMPLE_TEXTS, SAMPLE_CHARS = 6000, 30_000
 ROUNDS = 6
 #: Share of the sentences that may come from subjects without a label, as annotators err.
 MISLABELLED = 0.02
@@ -208,17 +208,19 @@ def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, subje
     subjects are passed over. Null texts and those longer than ``SAMPLE_CHARS`` are not drawn. Without
     labelled texts the models accept nothing.
     """
-    votes = labels.filter(F.col(row_id).isNotNull()).groupBy(row_id).agg(F.countDistinct("annotator").alias("annotators"), F.collect_set(F.struct("annotator", "subject")).alias("votes"))
-    drawn = votes.orderBy(F.xxhash64(row_id), row_id).limit(sample)
-    rows = documents.select(row_id, text).join(F.broadcast(drawn), row_id).filter(F.length(text) <= SAMPLE_CHARS).dropDuplicates([row_id]).select(row_id, text, "annotators", "votes").collect()
-    rows.sort(key=lambda r: r[row_id])
-    number = {s: n for n, s in enumerate(subjects)}
+    drawn = F.broadcast(labels.select(row_id).filter(F.col(row_id).isNotNull()).distinct().orderBy(F.xxhash64(row_id), row_id).limit(sample))
+    votes = labels.join(drawn, row_id, "left_semi").select(row_id, "subject", F.coalesce(F.col("annotator").cast("string"), F.lit("")).alias("annotator"))
+    annotators = dict(votes.groupBy(row_id).agg(F.countDistinct("annotator")).collect())
+    counts = votes.filter(F.col("subject").isin(subjects)).groupBy(row_id, "subject").agg(F.countDistinct("annotator").alias("n")).collect()
+    texts = documents.select(row_id, text).join(drawn, row_id, "left_semi").filter(F.length(text) <= SAMPLE_CHARS).dropDuplicates([row_id]).collect()
+    rows = sorted(texts, key=lambda r: r[row_id])
+    at = {r[row_id]: n for n, r in enumerate(rows)}
+    column = {s: n for n, s in enumerate(subjects)}
     shares = np.zeros((len(rows), len(subjects)))
-    for at, row in enumerate(rows):
-        for vote in row.votes:
-            if vote.subject in number:
-                shares[at, number[vote.subject]] += 1 / max(1, row.annotators)
-    return calibrate([sentences(r[text]) for r in rows], np.minimum(shares, 1), subjects)
+    for r in counts:
+        if r[row_id] in at:
+            shares[at[r[row_id]], column[r.subject]] = r.n / annotators[r[row_id]]
+    return calibrate([sentences(r[text]) for r in rows], shares, subjects)
 
 
 def assign(documents: DataFrame, row_id: str, text: str, models: Models, batch: int = 500) -> DataFrame:
