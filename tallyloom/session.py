@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,25 @@ def _local_folder() -> str:
     return folder
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Spark send this package to its Python workers, once per application; they may not have it on their path."""
+    context, package = spark.sparkContext, Path(__file__).parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    _SHIPPED.add(context.applicationId)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    folder = folder.removeprefix("file://") if folder.startswith("file://") else folder if ":/" not in folder else _local_folder()
+    archive = Path(folder, f"{package.name}-{context.applicationId}.zip")
+    archive.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(archive, "w") as z:
+        for module in sorted(package.rglob("*.py")):
+            z.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))  # the driver serves the file to the executors
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored reliably in the shared folder, without its lineage."""
     context = df.sparkSession.sparkContext
