@@ -119,8 +119,9 @@ def value_facts(marked: DataFrame, files: DataFrame, keys: list[str]) -> DataFra
 
     ``files`` says which dataset and period a ``file_key`` belongs to; repeats there count once.
     """
-    of = files.select(*keys, "period", "file_key").filter("file_key is not null and period is not null").distinct()
-    each = marked.join(of, "file_key").select(*keys, "period", F.inline("marks"))
+    known = files.select("file_key", F.struct(*keys, "period").alias("dataset")).filter("file_key is not null and dataset.period is not null")
+    of = known.groupBy("file_key").agg(F.collect_set("dataset").alias("datasets"))  # partitioned as the join needs it
+    each = marked.join(of, "file_key").select(F.explode("datasets").alias("dataset"), "marks").select("dataset.*", F.inline("marks"))
     return each.groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
 
 
