@@ -45,7 +45,7 @@ def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All values of all responses in one table, with a branch for each kind."""
     facts, values = _facts(spark, sf_dir)
     facts = cut(facts)
-    renamed = drift.final_names(drift.schema_changes(facts, values, _DATASET), _DATASET)
+    renamed = drift.final_names(cut(drift.schema_changes(facts, values, _DATASET)), _DATASET)
     flat = nested.flatten(table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null"), "raw_path", "payload")
     items = nested.level(flat, "items").select(canonical_path(F.col("raw_path")).alias("file_key"), "item_no", "fields")
     files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", canonical_path(F.col("raw_path")).alias("file_key")).distinct()
