@@ -33,7 +33,8 @@ def canonical_path(path: Column, root: str = ROOT) -> Column:
     text = F.translate(F.regexp_replace(path, r"^\s+|\s+$", ""), "\\", "/")
     text = F.regexp_replace(text, r"^(?i:file):(?://(?i:localhost)?(?=/))?", "")
     full = F.when(text.startswith("/"), text).otherwise(F.concat(F.lit(root + "/"), text))
-    plain = F.regexp_replace(F.regexp_replace(full, r"/(?:\.?/)+", "/"), r"(?<=.)/\.?$", "")
+    plain = F.regexp_replace(F.regexp_replace(full, r"/(?:\.?/)+", "/"), r"/\.?$", "")
+    plain = F.when(plain == "", F.lit("/")).otherwise(plain)
     folded = F.concat(F.lit("/"), F.array_join(_fold(F.split(F.substring(plain, 2, 1_000_000), "/")), "/"))
     whole = F.when(plain.rlike(r"/\.\.(?:/|$)"), folded).otherwise(plain)
     located = F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), F.substring(whole, len(root) + 2, 1_000_000)).otherwise(whole)
