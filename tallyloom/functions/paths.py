@@ -39,3 +39,12 @@ def canonical_path(path: Column, root: str = ROOT) -> Column:
     whole = F.when(plain.rlike(r"/\.\.(?:/|$)"), folded).otherwise(plain)
     located = F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), F.substring(whole, len(root) + 2, 1_000_000)).otherwise(whole)
     return F.when(path.rlike(_VARIED), located).otherwise(path)
+
+
+def location(path: Column, root: str = ROOT) -> Column:
+    """``canonical_path`` where ``path`` is known not to be null.
+
+    Its type says so too, so the filters for nulls that joins add are folded away instead of
+    computing the path twice. Filter the path itself for nulls before; that filter reaches the scan.
+    """
+    return F.coalesce(canonical_path(path, root), F.lit(""))

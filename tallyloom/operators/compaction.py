@@ -14,7 +14,7 @@ import hashlib
 import heapq
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -33,9 +33,12 @@ PLAN = "file_key string, file_id long, size_bytes long, shard int, output_group
 WRITTEN = "shard int, output_group int, output_path string, files long, content_bytes long, digest string"
 
 
-def listed(df: DataFrame, row_id: str, key: Column, size: Column) -> DataFrame:
-    """The rows that point to a file: ``file_id``, ``file_key``, ``size_bytes``. Null keys are no files."""
-    return df.select(F.col(row_id).alias("file_id"), key.alias("file_key"), size.cast("long").alias("size_bytes")).filter("file_key is not null")
+def listed(df: DataFrame, row_id: str, key: Column, size: Column, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
+    """The rows that point to a file: ``file_id``, ``file_key``, ``size_bytes``. Null keys are no files.
+
+    ``spell`` gives a key its one spelling; it must not turn a key into null.
+    """
+    return df.filter(key.isNotNull()).select(F.col(row_id).alias("file_id"), spell(key).alias("file_key"), size.cast("long").alias("size_bytes"))
 
 
 def repeats(files: DataFrame, salts: int = SALTS) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import pyarrow as pa
@@ -72,7 +72,7 @@ def marks_of(values: set[str]) -> dict[str, float]:
     return out
 
 
-def payload_marks(df: DataFrame, key: Column, payload: str) -> DataFrame:
+def payload_marks(df: DataFrame, key: Column, payload: str, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
     """One row per well-formed payload: ``file_key`` and the marks of the fields of its entries.
 
     Only plain fields count, not lists inside an entry. Equal values of a field in one payload count
@@ -95,7 +95,7 @@ def payload_marks(df: DataFrame, key: Column, payload: str) -> DataFrame:
             shape = pa.list_(pa.struct([("field", pa.string()), ("mark", pa.string()), ("weight", pa.float64())]))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(marks, shape)], ["file_key", "marks"])
 
-    return df.select(key.alias("file_key"), payload).filter("file_key is not null").mapInArrow(run, f"file_key string, marks {MARKS}")
+    return df.filter(key.isNotNull()).select(spell(key).alias("file_key"), payload).mapInArrow(run, f"file_key string, marks {MARKS}")
 
 
 def field_facts(listings: DataFrame, keys: list[str], names: str) -> DataFrame:

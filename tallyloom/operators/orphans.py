@@ -9,25 +9,30 @@ spread over ``SALTS`` tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
-def references(df: DataFrame, name: str, row_id: str, key: Column, time: Column) -> DataFrame:
-    """The non-null references of one table. Repeated rows each count; extra columns are dropped."""
-    return df.select(F.lit(name).alias("ref_table"), F.col(row_id).alias("ref_id"), key.alias("ref_key"), time.alias("ref_time")).filter("ref_key is not null")
+def references(df: DataFrame, name: str, row_id: str, key: Column, time: Column, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
+    """The non-null references of one table. Repeated rows each count; extra columns are dropped.
+
+    ``spell`` gives a key its one spelling; it must not turn a key into null.
+    """
+    return df.filter(key.isNotNull()).select(F.lit(name).alias("ref_table"), F.col(row_id).alias("ref_id"), spell(key).alias("ref_key"), time.alias("ref_time"))
 
 
-def parents(df: DataFrame, key: Column, since: Column, deleted: Column) -> DataFrame:
+def parents(df: DataFrame, key: Column, since: Column, deleted: Column, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
     """One row per parent key: when its earliest row without a deletion was stored, null if all are deleted.
 
     A live row without a time counts as always there.
     """
     always = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
-    rows = df.select(key.alias("ref_key"), F.when(deleted.isNull(), F.coalesce(since, always)).alias("since"))
-    return rows.filter("ref_key is not null").groupBy("ref_key").agg(F.min("since").alias("since"))
+    rows = df.filter(key.isNotNull()).select(spell(key).alias("ref_key"), F.when(deleted.isNull(), F.coalesce(since, always)).alias("since"))
+    return rows.groupBy("ref_key").agg(F.min("since").alias("since"))
 
 
 def orphans(refs: DataFrame, known: DataFrame, salts: int = SALTS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.paths import canonical_path
+from tallyloom.functions.paths import canonical_path, location
 from tallyloom.functions.text import call_arguments, clean_component, disposition_name, looks_like_html, normalize_label, safe_params, url_problem, year_of_name
 from tallyloom.functions.times import as_utc
 from tallyloom.operators import contracts, manifest, planning, profiles, reconcile, summaries
@@ -154,7 +154,7 @@ def manifest_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest live row of each file of the store."""
     rows = table(spark, sf_dir, "stored_files", "file_no", "path", "size_bytes", "sha256", "stored_at", "deleted_at").filter("deleted_at is null and path is not null")
-    keyed = rows.select(canonical_path(F.col("path")).alias("file_key"), F.col("size_bytes").alias("fact_size"), F.col("sha256").alias("fact_digest"), "stored_at", "file_no")
+    keyed = rows.select(location(F.col("path")).alias("file_key"), F.col("size_bytes").alias("fact_size"), F.col("sha256").alias("fact_digest"), "stored_at", "file_no")
     return manifest.last_wins(keyed, "file_key", ["stored_at", "file_no"]).select("file_key", "fact_size", "fact_digest")
 
 
@@ -166,7 +166,7 @@ _FACTS = f"""facts AS (SELECT {_sql_path("path")} AS k, size_bytes, sha256 FROM
   SELECT record_id, CASE WHEN f.k IS NULL THEN 'missing' WHEN m.bytes <> f.size_bytes THEN 'changed size' WHEN m.sha256 <> f.sha256 THEN 'changed content' ELSE 'verified' END AS finding
   FROM m LEFT JOIN facts f ON m.k = f.k""")
 def manifest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "bytes", "sha256").filter("raw_path is not null").withColumn("file_key", canonical_path(F.col("raw_path")))
+    rows = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "bytes", "sha256").filter("raw_path is not null").withColumn("file_key", location(F.col("raw_path")))
     return manifest.verified(rows, _facts(spark, sf_dir)).select("record_id", "finding")
 
 
@@ -180,7 +180,7 @@ def manifest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM r LEFT JOIN m ON r.k = m.k LEFT JOIN facts f ON r.k = f.k""")
 def publish_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming = table(spark, sf_dir, "raw_responses", "response_id", "raw_path", "sha256").withColumn("file_key", canonical_path(F.col("raw_path")))
-    known = table(spark, sf_dir, "manifest_records", "raw_path", "sha256").filter("raw_path is not null").select(canonical_path(F.col("raw_path")).alias("file_key"), F.col("sha256").alias("known"))
+    known = table(spark, sf_dir, "manifest_records", "raw_path", "sha256").filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("sha256").alias("known"))
     recorded = known.groupBy("file_key").agg(F.countDistinct("known").alias("digests"), F.collect_set("known").alias("shas"))
     joined = incoming.join(recorded, "file_key", "left").join(_facts(spark, sf_dir), "file_key", "left")
     no = F.lit(False)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.paths import canonical_path
+from tallyloom.functions.paths import location
 from tallyloom.functions.times import as_utc
 from tallyloom.operators import compaction, drift, nested, orphans
 from tallyloom.session import cut, shared_folder
@@ -25,8 +25,8 @@ def _years(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """What the listings say of the fields, and the payloads of their values."""
     listings = _years(spark, sf_dir, "field_names")
-    files = _years(spark, sf_dir, "raw_path", "field_names").filter("size(field_names) > 0").select(*_DATASET, "period", canonical_path(F.col("raw_path")).alias("file_key"))
-    marked = drift.payload_marks(table(spark, sf_dir, "raw_responses", "raw_path", "payload"), canonical_path(F.col("raw_path")), "payload")
+    files = _years(spark, sf_dir, "raw_path", "field_names").filter("raw_path is not null and size(field_names) > 0").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key"))
+    marked = drift.payload_marks(table(spark, sf_dir, "raw_responses", "raw_path", "payload"), F.col("raw_path"), "payload", location)
     return drift.field_facts(listings, _DATASET, "field_names"), cut(drift.value_facts(marked, files, _DATASET))
 
 
@@ -47,14 +47,14 @@ def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = cut(facts)
     renamed = drift.final_names(cut(drift.schema_changes(facts, values, _DATASET)), _DATASET)
     flat = nested.flatten(table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null"), "raw_path", "payload")
-    items = nested.level(flat, "items").select(canonical_path(F.col("raw_path")).alias("file_key"), "item_no", "fields")
-    files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", canonical_path(F.col("raw_path")).alias("file_key")).distinct()
+    items = nested.level(flat, "items").select(location(F.col("raw_path")).alias("file_key"), "item_no", "fields")
+    files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key")).distinct()
     return drift.unified(items.join(files, "file_key"), renamed, drift.usual_spellings(facts), _DATASET).withColumnRenamed("period", "survey_year")
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "bytes")
-    return compaction.listed(rows, "record_id", canonical_path(F.col("raw_path")), F.col("bytes"))
+    return compaction.listed(rows, "record_id", F.col("raw_path"), F.col("bytes"), location)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored responses written to few files in the shared folder: what each output file holds."""
     plan = compaction.schedule(_listing(spark, sf_dir), target_bytes=1 << 20)
     responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload")
-    contents = responses.select(canonical_path(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
+    contents = responses.filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
     folder = f"{shared_folder(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"
     return compaction.publish(compaction.compact(plan, contents, folder), folder).drop("output_path")
 
@@ -78,14 +78,14 @@ def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     api = table(spark, sf_dir, "manifest_records", "record_id", "raw_path", "collected_at")
     portal = table(spark, sf_dir, "portal_manifest", "entry_no", "local_path", "downloaded_at")
-    return orphans.references(api, "manifest_records", "record_id", canonical_path(F.col("raw_path")), as_utc(api, "collected_at")).unionByName(
-        orphans.references(portal, "portal_manifest", "entry_no", canonical_path(F.col("local_path")), as_utc(portal, "downloaded_at"))
+    return orphans.references(api, "manifest_records", "record_id", F.col("raw_path"), as_utc(api, "collected_at"), location).unionByName(
+        orphans.references(portal, "portal_manifest", "entry_no", F.col("local_path"), as_utc(portal, "downloaded_at"), location)
     )
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "stored_files", "path", "stored_at", "deleted_at")
-    known = orphans.parents(files, canonical_path(F.col("path")), as_utc(files, "stored_at"), F.col("deleted_at"))
+    known = orphans.parents(files, F.col("path"), as_utc(files, "stored_at"), F.col("deleted_at"), location)
     return orphans.orphans(_references(spark, sf_dir), known)
 
 
