@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.paths import location
 from tallyloom.model import MANIFEST, MANIFEST_REQUIRED, PORTAL_MANIFEST
 
 LINES = "path string, line_no long, line string, ended boolean, last boolean"
@@ -77,3 +78,10 @@ def lenient(spark: SparkSession, path: str, schema: str = PORTAL_MANIFEST) -> Da
 def facts(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``fact_size``, ``fact_digest`` of the files of a store."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("fact_size"), F.sha2("content", 256).alias("fact_digest"))
+
+
+def contents(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_key`` (the path below ``folder``) and ``content`` of all files of a store, for ``compaction.compact``."""
+    root = folder.removeprefix("file://").rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select(location(F.col("path"), root).alias("file_key"), "content")

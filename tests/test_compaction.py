@@ -6,6 +6,7 @@ import random
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tallyloom.sources.manifests import contents
 from tallyloom.operators.compaction import balance, compact, group_sizes, listed, publish, repeats, schedule
 
 ROWS = "id long, path string, size long"
@@ -71,3 +72,20 @@ def test_compact(spark, tmp_path):
         lines = open(f"{root}/_manifest.json").read().splitlines()
         assert sorted(json.loads(x)["digest"] for x in lines) == sorted(r.digest for r in written)
         assert not list((tmp_path / root.rsplit("/", 1)[1]).glob("_staging*"))
+
+
+def test_compact_a_store(spark, tmp_path):
+    store = tmp_path / "store"
+    wanted = {}
+    for n in range(30):
+        path = store / f"op{n % 3}" / f"{n}.xml"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(wanted.setdefault(f"op{n % 3}/{n}.xml", f"<r>{n}</r>".encode()))
+    found = contents(spark, str(store))
+    df = found.select(F.monotonically_increasing_id().alias("id"), F.concat(F.lit("./"), "file_key").alias("path"), F.length("content").alias("size"))
+    plan = schedule(listed(df, "id", F.col("path"), F.col("size"), lambda p: F.substring(p, 3, 1000)), target_bytes=100)
+    out = str(tmp_path / "out")
+    got = {}
+    for r in publish(compact(plan, found, out), out).collect():
+        got |= {x["file_key"]: x["content"] for x in pq.read_table(r.output_path).to_pylist()}
+    assert got == wanted
