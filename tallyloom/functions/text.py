@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Names of parameters that hold credentials, in their normalised form.
+SECRETS = ("apikey", "authorization", "authkey", "servicekey")
 #: What may not stand in a file name, and the longest name in bytes.
 FORBIDDEN = r"""[\\/:*?"<>|\x00-\x1f]+"""
 MOST_BYTES = 240
@@ -28,7 +30,7 @@ def normalized_key(key: Column) -> Column:
     return F.regexp_replace(F.lower(key), r"[^\p{L}\p{N}]", "")
 
 
-def safe_params(params: Column, secrets: tuple[str, ...] = ("servicekey", "apikey", "authorization", "accesstoken", "token", "password", "secret")) -> Column:
+def safe_params(params: Column, secrets: tuple[str, ...] = SECRETS) -> Column:
     """A map of parameters without the ones whose name is a secret's."""
     return F.map_filter(params, lambda k, _: ~normalized_key(k).isin(*secrets))
 

@@ -21,7 +21,8 @@ from tallyloom.functions.ids import row_digest
 from tallyloom.operators.nested import local_name
 
 #: Elements that hold the result.
-CODES, MESSAGES = ("resultCode", "returnReasonCode"), ("resultMsg", "returnAuthMsg")
+CODES = ("resultCode", "returnReasonCode")
+MESSAGES = ("resultMsg", "resultMessage", "returnAuthMsg", "errMsg")
 PROFILE = "result_code string, result_message string, total_count long, item_count long, field_names array<string>, duplicate_row_count long, first_code string, all_items long, error string"
 
 
@@ -31,6 +32,7 @@ def profile(text: str) -> dict:
     first: dict[str, str] = {}
     names: list[str] = []
     words: list[list[str]] = []
+    plain: list[bool] = []
     fields: set[str] = set()
     digests: set[bytes] = set()
     counts = {"items": 0, "twice": 0, "all": 0}
@@ -41,20 +43,24 @@ def profile(text: str) -> dict:
         item[1].update(len(data).to_bytes(8, "big") + data)
 
     def start(name: str, _) -> None:
+        if plain:
+            plain[-1] = False
         names.append(local_name(name))
         words.append([])
+        plain.append(True)
         if names[-1] == "item":
             counts["all"] += 1
             if item[0] is None:
                 item[:] = [len(names), hashlib.sha256()]
 
     def characters(data: str) -> None:
-        if words and words[-1] is not None:
+        if plain and plain[-1]:  # an element's text ends where its first child starts
             words[-1].append(data)
 
     def end(_: str) -> None:
         name, depth = names[-1], len(names)
-        value = "".join(words.pop() or ()).strip()
+        value = "".join(words.pop()).strip()
+        plain.pop()
         kind = "code" if name in CODES else "message" if name in MESSAGES else "total" if name == "totalCount" else None
         if kind:
             first.setdefault(kind, value)
@@ -104,18 +110,27 @@ def _exact_items(text: str) -> list[list[dict]]:
     """The children of each outermost item as name-value pairs in document order."""
     names: list[str] = []
     words: list[list[str]] = []
+    plain: list[bool] = []
     items: list[list[dict]] = []
     depth: list[int] = []
 
     def start(name: str, _) -> None:
+        if plain:
+            plain[-1] = False
         names.append(local_name(name))
         words.append([])
+        plain.append(True)
         if names[-1] == "item" and not depth:
             depth.append(len(names))
             items.append([])
 
+    def characters(data: str) -> None:
+        if plain and plain[-1]:
+            words[-1].append(data)
+
     def end(_: str) -> None:
         value = "".join(words.pop()).strip()
+        plain.pop()
         if depth and len(names) == depth[0] + 1:
             items[-1].append({"name": names[-1], "value": value})
         elif depth and len(names) == depth[0]:
@@ -124,7 +139,7 @@ def _exact_items(text: str) -> list[list[dict]]:
 
     parser = expat.ParserCreate()
     parser.buffer_text = True
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, lambda data: words[-1].append(data) if words else None
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, characters
     try:
         parser.Parse(text, True)
     except expat.ExpatError:

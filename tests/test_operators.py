@@ -91,6 +91,7 @@ XML = "<response><header><resultCode/><resultCode>00</resultCode><resultMsg>OK</
     ("", "0", ("00", 0, 0, [], 0)),
     ("<item><schlId>01</schlId><value>1</value></item><item><schlId>01</schlId><value>1</value></item><item><schlId>1</schlId><value>1</value><note/></item>", "12", ("00", 12, 3, ["note", "schlId", "value"], 1)),
     ("<item><a/><b/></item><item><b/><a/></item><item><a/></item>", "n/a", ("00", None, 3, ["a", "b"], 0)),
+    ("<item><l>t<m>x</m>tail</l></item><item><l>t</l></item>", "2", ("00", 2, 2, ["l"], 1)),
     ("<x:item xmlns:x='u'><x:a>1</x:a><x:l><x:item>2</x:item></x:l></x:item>", "1", ("00", 1, 1, ["a", "l"], 0)),
 ])
 def test_profile(items, total, wanted):
