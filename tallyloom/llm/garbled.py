@@ -36,7 +36,7 @@ COMMON_SHARE = 0.6
 #: Names that can't be garbled: ASCII and Hangul alone, without question marks.
 SUSPECT = r"[^\x00-\x7F가-힣]|\?"
 _RUN = re.compile(r"[^\x00-\x7f]+")
-_LOST = re.compile(r"(?:^|[^A-Za-z가-힣?!.\d=])\?|\?\?|\d\?(?=[ _(])")
+_LOST = re.compile(r"(?:^|[^A-Za-z가-힣?!.\d=])\?|\?\?|\d\?(?=[ _()])")
 _ESCAPED = re.compile(r"=\?[^?\s]+\?[BbQq]\?[^?]*\?=")
 FOUND = "table_name string, row_id long, name string, restored string, evidence string"
 
