@@ -122,12 +122,3 @@ def url_problem(url: Column) -> Column:
 def ratio(condition: Column) -> Column:
     """Aggregate: ``n/m``, the rows that meet a condition among all."""
     return F.concat(F.count_if(condition).cast("string"), F.lit("/"), F.count("*").cast("string"))
-
-
-def upper_median(name: str) -> Column:
-    """Aggregate: the value at position ``n // 2`` of the sorted non-null values of a column.
-
-    In descending order ``percentile_disc`` takes the upper of the two middle values; it counts
-    distinct values and does not collect rows.
-    """
-    return F.expr(f"percentile_disc(0.5) within group (order by `{name}` desc)")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.skew import join_unique
+
 
 def skipped(tasks: DataFrame, manifest: DataFrame, key: str = "task_id") -> DataFrame:
     """Tasks that the manifest has."""
@@ -19,7 +21,7 @@ def pending(tasks: DataFrame, manifest: DataFrame, key: str = "task_id") -> Data
 def with_status(tasks: DataFrame, manifest: DataFrame, key: str = "task_id") -> DataFrame:
     """Each task with ``status``: skipped or pending. The keys of the manifest are made distinct before the join."""
     known = manifest.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("known", F.lit(True))
-    return tasks.join(known, key, "left").withColumn("status", F.when(F.col("known"), "skipped").otherwise("pending")).drop("known")
+    return join_unique(tasks, known, [key]).withColumn("status", F.when(F.col("known"), "skipped").otherwise("pending")).drop("known")
 
 
 def conflicts(manifest: DataFrame, key: str = "task_id", digest: str = "sha256") -> DataFrame:
@@ -47,7 +49,7 @@ def verified(manifest: DataFrame, facts: DataFrame, key: str = "file_key", size:
 
     ``facts`` has ``key``, ``fact_size``, ``fact_digest``, one row per file. A null size or checksum in the manifest is not compared.
     """
-    joined = manifest.join(facts.withColumn("there", F.lit(True)), key, "left")
+    joined = join_unique(manifest, facts.withColumn("there", F.lit(True)), [key])
     finding = (
         F.when(F.col("there").isNull(), "missing").when(F.col(size) != F.col("fact_size"), "changed size").when(F.col(digest) != F.col("fact_digest"), "changed content").otherwise("verified")
     )

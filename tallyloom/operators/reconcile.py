@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.skew import join_unique
+
 
 def expected_counts(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """``keys``, ``expected``, ``actual`` (0 if there are none) and whether they agree. ``expected`` has ``keys`` and ``expected``."""
@@ -19,7 +21,7 @@ def mapped(files: DataFrame, series: DataFrame, group: str, label: str) -> DataF
     Files of other groups are left out. ``series`` has ``group``, ``label`` and what a label maps to.
     """
     in_scope = files.join(series.select(group).distinct(), group, "left_semi")
-    joined = in_scope.join(series.withColumn("mapped_here", F.lit(True)), [group, label], "left")
+    joined = join_unique(in_scope, series.withColumn("mapped_here", F.lit(True)), [group, label])
     return joined.withColumn("mapping", F.when(F.col("mapped_here"), "mapped").otherwise("unmapped")).drop("mapped_here")
 
 
@@ -66,11 +68,6 @@ def filtered(df: DataFrame, **wanted: list | None) -> DataFrame:
     return out
 
 
-def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
-    """Rows with their position in their group."""
-    return df.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-
-
 def select_scope(datasets: DataFrame, expected: dict[str, int], sources: list[str] | None = None, codes: list[str] | None = None) -> DataFrame:
     """The datasets of the wanted sources and codes, in order.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import ratio, upper_median
+from tallyloom.functions.text import ratio
+from tallyloom.operators.skew import upper_medians
 
 
 def run_summary(results: DataFrame) -> DataFrame:
@@ -20,7 +21,9 @@ def run_summary(results: DataFrame) -> DataFrame:
 def service_summary(probes: DataFrame) -> DataFrame:
     """By service: probes, those with and without rows, and the upper median of the milliseconds."""
     total = F.col("total_count")
-    return probes.groupBy("service").agg(F.count("*").alias("operations"), F.count_if(total > 0).alias("with_rows"), F.count_if(total == 0).alias("zero_rows"), upper_median("elapsed_ms").cast("int").alias("median_ms"))
+    counts = probes.groupBy("service").agg(F.count("*").alias("operations"), F.count_if(total > 0).alias("with_rows"), F.count_if(total == 0).alias("zero_rows"))
+    medians = upper_medians(probes, ["service"], "elapsed_ms", "median_ms").withColumnRenamed("service", "_service")
+    return counts.join(medians, counts.service.eqNullSafe(medians._service), "left").drop("_service")
 
 
 def validation_summary(probes: DataFrame) -> DataFrame:

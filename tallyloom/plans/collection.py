@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.paths import canonical_path, location
 from tallyloom.functions.text import call_arguments, clean_component, disposition_name, looks_like_html, normalize_label, safe_params, url_problem, year_of_name
 from tallyloom.functions.times import as_utc
-from tallyloom.operators import contracts, manifest, planning, profiles, reconcile, summaries
+from tallyloom.operators import contracts, manifest, planning, profiles, reconcile, skew, summaries
 from tallyloom.sources.tables import table
 from tallyloom.plans.problems import _sql_path
 
@@ -99,7 +99,7 @@ def plan_missing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT service, operation, task_id, row_number() OVER (PARTITION BY service ORDER BY operation, task_id) AS ordinal, count(*) OVER (PARTITION BY service) AS planned FROM collection_tasks""")
 def plan_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planning.numbered(table(spark, sf_dir, "collection_tasks", "service", "operation", "task_id"), ["service"], ["operation", "task_id"])
+    return skew.numbered(table(spark, sf_dir, "collection_tasks", "service", "operation", "task_id"), ["service"], ["operation", "task_id"])
 
 
 @query("SELECT service, operation, task_id FROM collection_tasks ORDER BY service, operation, task_id LIMIT 25")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.ids import content_id, row_digest
-from tallyloom.functions.text import ratio, upper_median
+from tallyloom.functions.text import ratio
 from tallyloom.operators import contracts, manifest, reconcile
+from tallyloom.operators.skew import upper_medians
 from tallyloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -65,7 +66,8 @@ def star_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT event_type, count(*) AS events, count(*) FILTER (WHERE value > 100) AS large, list_sort(list(value))[len(list(value)) // 2 + 1] AS median_value FROM events GROUP BY event_type""")
 def star_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events", "event_type", "value")
-    return rows.groupBy("event_type").agg(F.count("*").alias("events"), F.count_if(F.col("value") > 100).alias("large"), upper_median("value").alias("median_value"))
+    counts = rows.groupBy("event_type").agg(F.count("*").alias("events"), F.count_if(F.col("value") > 100).alias("large"))
+    return counts.join(upper_medians(rows, ["event_type"], "value", "median_value"), "event_type")
 
 
 @query("SELECT count(*) FILTER (WHERE value > 100) || '/' || count(*) AS large_ratio FROM events")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import ids, text
 from tallyloom.model import ENDPOINTS
-from tallyloom.operators import contracts, manifest, planning, profiles, reconcile, summaries
+from tallyloom.operators import contracts, manifest, planning, profiles, reconcile, skew, summaries
 
 ERROR = "USER_RAISED_EXCEPTION"
 
@@ -193,6 +193,23 @@ def test_reconcile(spark, rows):
         reconcile.filtered(files, g=["other"], n=[1])
 
 
+def test_join_unique(spark, rows):
+    left = spark.createDataFrame([("hot", n) for n in range(50)] + [("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    right = spark.createDataFrame([("hot", "x"), ("a", "y"), ("c", "z"), (None, "w")], "k string, v string")
+    for how in ("left", "inner"):
+        assert rows(skew.join_unique(left, right, ["k"], how, hot_rows=10)) == rows(left.join(right, "k", how))
+        assert rows(skew.join_unique(left.limit(0), right, ["k"], how)) == []
+
+
+def test_numbered(spark, rows):
+    data = [(k, (7 * n) % 60) for n in range(60) for k in ("hot", "hot2", None)] + [("one", 5), ("one", None)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(5)
+    got = rows(skew.numbered(df, ["k"], ["v"]))
+    assert got == sorted([(k, n, n + 1, 60) for n in range(60) for k in ("hot", "hot2", None)] + [("one", None, 1, 2), ("one", 5, 2, 2)], key=repr)
+    assert rows(skew.upper_medians(df, ["k"], "v", "m")) == sorted([("hot", 30), ("hot2", 30), (None, 30), ("one", 5)], key=repr)
+    assert rows(skew.numbered(df.limit(0), ["k"], ["v"])) == []
+
+
 def test_summaries(spark, rows):
     results = spark.createDataFrame([("stored", 2), ("stored", 3), ("skipped", 0), ("failed", 3)], "status string, requests int")
     assert rows(summaries.run_summary(results)) == [(4, 3, 2, 1, 1, 8)]
