@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import cut
-from tallyloom.operators.nested import local_name, pivot, triples
+from tallyloom.operators.nested import NEST, level_path, local_name, pivot, triples
 
 #: How alike the contents of two fields must be for a renaming, and their names where there are no contents.
 LIKE_CONTENT = 0.5
@@ -72,26 +72,45 @@ def marks_of(values: set[str]) -> dict[str, float]:
     return out
 
 
+def inside_marks(values: dict[str, set[str]]) -> list[dict]:
+    """The marks of leaves inside an entry by their whole path: the kinds of their values, and each spelling of the path."""
+    fields: dict[str, set[str]] = defaultdict(set)
+    for path, found in values.items():
+        fields[path.lower()].update(found)
+    out = [{"field": path.lower(), "mark": f"as {path}", "weight": 1.0} for path in values]
+    for field, found in fields.items():
+        counts: dict[str, float] = defaultdict(float)
+        for kind in filter(None, map(kind_of, found)):
+            counts[f"kind {kind}"] += 1
+        out += [{"field": field, "mark": m, "weight": w} for m, w in counts.items()]
+    return out
+
+
 def payload_marks(df: DataFrame, key: Column, payload: str, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
     """One row per well-formed payload: ``file_key`` and the marks of the fields of its entries.
 
-    Only plain fields count, not lists inside an entry. Equal values of a field in one payload count
-    once. Payloads that are not well-formed are passed over, as null keys are.
+    Equal values of a field in one payload count once. A leaf inside an entry (of a list, an object
+    or a deeper level) is a field by its whole path; of it only the kinds count, and its spelling
+    (``as``). Payloads that are not well-formed are passed over, as null keys are.
     """
+    above = [level_path(depth) for depth in range(len(NEST) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, marks = [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 values: dict[str, set[str]] = defaultdict(set)
+                inside: dict[str, set[str]] = defaultdict(set)
                 for at, row in pivot(triples(text) or []).items():
-                    if len(at) == 1:
-                        for path, found in row.items():
-                            if "/" not in path:
-                                values[local_name(path).lower()].update(found)
-                if values:
+                    for path, found in row.items():
+                        path = above[len(at)] + path
+                        if "/" in path:
+                            inside[path].update(found)
+                        else:
+                            values[local_name(path).lower()].update(found)
+                if values or inside:
                     keys.append(name)
-                    marks.append([{"field": f, "mark": m, "weight": w} for f, v in values.items() for m, w in marks_of(v).items()])
+                    marks.append([{"field": f, "mark": m, "weight": w} for f, v in values.items() for m, w in marks_of(v).items()] + inside_marks(inside))
             shape = pa.list_(pa.struct([("field", pa.string()), ("mark", pa.string()), ("weight", pa.float64())]))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(marks, shape)], ["file_key", "marks"])
 
@@ -114,6 +133,20 @@ def usual_spellings(facts: DataFrame) -> DataFrame:
     return counted.groupBy("field").agg(F.min_by("spelling", F.struct(-F.col("n"), "spelling")).alias("usual"))
 
 
+def _after_root(path: str) -> Column:
+    return F.expr(f"substr({path}, length(substring_index({path}, '/', 1)) + 1)")
+
+
+def usual_paths(facts: DataFrame, values: DataFrame) -> DataFrame:
+    """``usual_spellings``, and those of the leaves inside entries, which begin with the usual spelling of the listed field."""
+    usual = usual_spellings(facts)
+    spelled = values.filter("mark like 'as %'").groupBy("field", F.expr("substr(mark, 4)").alias("path")).agg(F.sum("weight").alias("n"))
+    inside = spelled.groupBy("field").agg(F.min_by("path", F.struct(-F.col("n"), "path")).alias("path")).join(usual, "field", "left_anti")
+    root = usual.select(F.col("field").alias("root"), F.col("usual").alias("first"))
+    named = inside.withColumn("root", F.substring_index("field", "/", 1)).join(root, "root", "left")
+    return usual.unionByName(named.select("field", F.concat(F.coalesce("first", F.substring_index("path", "/", 1)), _after_root("path")).alias("usual")))
+
+
 def value_facts(marked: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
     """``keys``, ``period``, ``field``, ``mark``, ``weight``: the fused profiles of the fields by period.
 
@@ -129,9 +162,11 @@ def fused_schema(facts: DataFrame, values: DataFrame, keys: list[str]) -> DataFr
     """The fused schema: each field of each period with the alternatives of its kind.
 
     ``alternatives`` are the kinds seen, sorted; ``kind`` is the one kind of all values, decimal for
-    integers among decimals, and null for no values or for other mixtures.
+    integers among decimals, and null for no values or for other mixtures. Leaves inside entries are
+    fields by their whole path where payloads have them; ``listings`` is 0 for them.
     """
-    seen = facts.groupBy(*keys, "period", "field").agg(F.sum("listings").alias("listings"))
+    inside = values.filter("field like '%/%'").select(*keys, "period", "field", F.lit(0).cast("long").alias("listings"))
+    seen = facts.select(*keys, "period", "field", "listings").unionByName(inside).groupBy(*keys, "period", "field").agg(F.sum("listings").alias("listings"))
     kinds = values.filter("mark like 'kind %'").groupBy(*keys, "period", "field").agg(F.array_sort(F.collect_set(F.substring("mark", 6, 20))).alias("alternatives"))
     one = (
         F.when(F.size("alternatives") == 1, F.col("alternatives")[0])
@@ -197,14 +232,16 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
 
     Periods without listings are passed over; a dataset with one period has no changes. The period
     of a change is the first with the new state. For a change of kind, periods without values or with
-    mixed kinds are passed over, and the field must have been there in between.
+    mixed kinds are passed over, and the field must have been there in between. Leaves inside entries
+    are in no listing, so of them only changes of kind are found, while the field around them is listed.
     """
     schema = cut(fused_schema(facts, values, keys))  # as small as the report, and read many times
     in_order = Window.partitionBy(*keys).orderBy("period")
-    periods = schema.select(*keys, "period").distinct()
+    listed = schema.filter("listings > 0")
+    periods = listed.select(*keys, "period").distinct()
     steps = periods.select(*keys, "period", F.lag("period").over(in_order).alias("previous"), F.row_number().over(in_order).alias("step"))
     before = steps.filter("previous is not null").select(*keys, "period", "previous")
-    here = schema.select(*keys, "period", "field")
+    here = listed.select(*keys, "period", "field")
     then = here.withColumnRenamed("period", "previous").join(before, [*keys, "previous"]).select(*keys, "period", "field")
     gone = cut(then.join(here, [*keys, "period", "field"], "left_anti"))
     come = here.join(before.drop("previous"), [*keys, "period"], "left_semi").join(then, [*keys, "period", "field"], "left_anti")
@@ -212,8 +249,10 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
     renamed = cut(renamings(gone, come, values, before, keys))
     empty = F.lit(None).cast("string")
     kept = Window.partitionBy(*keys, "field").orderBy("step")
-    stepped = schema.join(steps.select(*keys, "period", "step"), [*keys, "period"])
-    runs = stepped.withColumn("run", F.col("step") - F.row_number().over(kept)).filter("kind is not null")
+    stepped = listed.join(steps.select(*keys, "period", "step"), [*keys, "period"])
+    there = stepped.select(*keys, "period", F.col("field").alias("root"), "step", (F.col("step") - F.row_number().over(kept)).alias("run"))
+    root = F.when(F.col("listings") > 0, F.col("field")).otherwise(F.substring_index("field", "/", 1))
+    runs = schema.filter("kind is not null").withColumn("root", root).join(there, [*keys, "period", "root"])
     turned = runs.withColumn("was", F.lag("kind").over(Window.partitionBy(*keys, "field", "run").orderBy("step"))).filter("was <> kind")
     same_old = [*keys, "period", "field"]
     changes = (
@@ -222,7 +261,7 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
         .unionByName(come.join(renamed.select(*keys, "period", F.col("new_field").alias("field")), same_old, "left_anti").select(*keys, "period", F.lit("added").alias("change_kind"), "field", empty.alias("new_field")))
         .unionByName(turned.select(*keys, "period", F.lit("retyped").alias("change_kind"), "field", empty.alias("new_field")))
     )
-    usual = usual_spellings(facts)
+    usual = usual_paths(facts, values)
     return (
         changes.join(usual, "field").withColumnRenamed("usual", "field_name")
         .join(usual.select(F.col("field").alias("new_field"), F.col("usual").alias("new_name")), "new_field", "left")
@@ -253,14 +292,23 @@ def typed_values(items: DataFrame, value: str = "value") -> DataFrame:
     return items.withColumns({"canonical": known, "as_integer": integer, "as_decimal": decimal, "as_date": date, "as_text": F.when(F.coalesce(integer.cast("string"), decimal.cast("string"), date.cast("string")).isNull(), known)})
 
 
+def final_paths(renamed: DataFrame, values: DataFrame, usual: DataFrame, keys: list[str]) -> DataFrame:
+    """``renamed``, the ``final_names``, and the leaves inside entries, whose paths begin with the last name of the listed field, in the usual spelling there."""
+    inside = values.filter("field like '%/%'").select(*keys, "field").distinct().withColumn("root", F.substring_index("field", "/", 1))
+    moved = inside.join(renamed.select(*keys, F.col("field").alias("root"), "final"), [*keys, "root"]).join(usual, "field", "left")
+    path = moved.select(*keys, F.col("field").alias("was"), F.concat("final", _after_root("coalesce(usual, field)")).alias("path")).withColumn("field", F.lower("path"))
+    return renamed.unionByName(path.join(usual, "field", "left").select(*keys, F.col("was").alias("field"), F.coalesce("usual", "path").alias("final")))
+
+
 def unified(items: DataFrame, renamed: DataFrame, usual: DataFrame, keys: list[str]) -> DataFrame:
-    """One consistent table of ``keys``, ``period``, ``file_key``, ``item_no``, ``field`` and its typed values.
+    """One consistent table of ``keys``, ``period``, ``file_key``, the numbers of the entry, ``field``, ``value_no`` and the typed values.
 
-    ``items`` has these with ``fields``, a map of names as they came; a field goes by its last name in
-    its usual spelling. Lists inside an entry are left out here; they are tables of their own.
+    ``items`` has the ``entries`` of all levels, with names as they came; a field goes by its last
+    name in its usual spelling, a leaf inside an entry by its whole path (``usual_paths``,
+    ``final_paths``). The values of a list are rows of their own, numbered by ``value_no``.
     """
-    each = items.select(*keys, "period", "file_key", "item_no", F.explode("fields").alias("name", "value")).filter("not name like '%/%'")
-    plain = each.withColumn("field", F.lower(plain_name(F.col("name"))))
-    named = plain.join(renamed, [*keys, "field"], "left").join(usual, "field", "left")
-    final = F.coalesce("final", "usual", plain_name(F.col("name")))
-    return typed_values(named.select(*keys, "period", "file_key", "item_no", final.alias("field"), "value")).drop("value")
+    place = ["period", "file_key", *(f"{entry}_no" for _, entry in NEST)]
+    each = items.select(*keys, *place, F.inline("leaves")).withColumn("field", F.lower(plain_name(F.col("path"))))
+    named = each.join(renamed, [*keys, "field"], "left").join(usual, "field", "left")
+    final = F.coalesce("final", "usual", plain_name(F.col("path")))
+    return typed_values(named.select(*keys, *place, final.alias("field"), "value_no", "value")).drop("value")

@@ -172,6 +172,41 @@ def pivot(found: list[Triple]) -> dict[tuple[int, ...], dict[str, list[str]]]:
     return rows
 
 
+def level_path(depth: int, nest: tuple[tuple[str, str], ...] = NEST) -> str:
+    """What stands before a path of a level in the whole path below the item: empty, ``majorList/major/`` and so on."""
+    return "".join(f"{wrap}/{entry}/" for wrap, entry in nest[1:depth])
+
+
+def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str], ...] = NEST) -> DataFrame:
+    """One row per entry of any level: ``row_id``, its number in each level (0 below its own), its ``leaves``.
+
+    A leaf has its whole ``path`` below the item, its ``value`` and ``value_no``, its number among
+    the values of that path in the entry. Payloads that are not well-formed give no rows, entries
+    without values neither.
+    """
+    numbers = [f"{entry}_no" for _, entry in nest]
+    schema = f"`{row_id}` {dict(df.dtypes)[row_id]}, " + ", ".join(f"`{n}` long" for n in numbers) + ", leaves array<struct<path:string,value_no:long,value:string>>"
+    above = [level_path(depth, nest) for depth in range(len(nest) + 1)]
+    leaf = pa.list_(pa.struct([("path", pa.string()), ("value_no", pa.int64()), ("value", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 1000):
+                part = batch.slice(start, 1000)
+                ids, at, leaves = [], [[] for _ in nest], []
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    for where, row in pivot(triples(text, nest) or []).items():
+                        if row:
+                            ids.append(key)
+                            for n, numbers_of in enumerate(at):
+                                numbers_of.append(where[n] if n < len(where) else 0)
+                            leaves.append([{"path": above[len(where)] + path, "value_no": n, "value": v} for path, values in row.items() for n, v in enumerate(values, 1)])
+                columns = [pa.array(ids, batch.schema.field(0).type), *(pa.array(a, pa.int64()) for a in at), pa.array(leaves, leaf)]
+                yield pa.RecordBatch.from_arrays(columns, [row_id, *numbers, "leaves"])
+
+    return df.select(row_id, payload).mapInArrow(run, schema)
+
+
 def flatten(df: DataFrame, row_id: str, payload: str, fields: bool = True, nest: tuple[tuple[str, str], ...] = NEST, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """One row per entry of each level: ``row_id``, its table, its number in each level (0 below its own), its fields.
 

@@ -42,14 +42,15 @@ def p1_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All values of all responses in one table, with a branch for each kind."""
+    """All values of all responses at all levels in one table, with a branch for each kind."""
     facts, values = _facts(spark, sf_dir)
     facts = cut(facts)
-    renamed = drift.final_names(cut(drift.schema_changes(facts, values, _DATASET)), _DATASET)
-    flat = nested.flatten(table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null"), "raw_path", "payload")
-    items = nested.level(flat, "items").select(location(F.col("raw_path")).alias("file_key"), "item_no", "fields")
+    usual = cut(drift.usual_paths(facts, values))
+    renamed = cut(drift.final_paths(drift.final_names(cut(drift.schema_changes(facts, values, _DATASET)), _DATASET), values, usual, _DATASET))
+    responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null")
+    items = nested.entries(responses.select(location(F.col("raw_path")).alias("file_key"), "payload"), "file_key", "payload")
     files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key")).distinct()
-    return drift.unified(items.join(files, "file_key"), renamed, drift.usual_spellings(facts), _DATASET).withColumnRenamed("period", "survey_year")
+    return drift.unified(items.join(files, "file_key"), renamed, usual, _DATASET).withColumnRenamed("period", "survey_year")
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:

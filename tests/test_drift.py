@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import drift
+from tallyloom.operators import drift, nested
 
 KEYS = ["service", "operation"]
 
@@ -84,3 +84,25 @@ def test_fused_schema_and_typed_values(spark, rows):
 def test_final_names(spark, rows):
     report = spark.createDataFrame([("S", "o", 1, "renamed", "A", "B"), ("S", "o", 2, "renamed", "B", "C"), ("S", "o", 2, "removed", "X", "")], "service string, operation string, period int, change_kind string, field_name string, new_name string")
     assert rows(drift.final_names(report, KEYS), "field", "final") == [("a", "C"), ("b", "C")]
+
+
+def test_leaves_inside_entries(spark, rows):
+    payload = "<r><items><item><Cd>07</Cd><note><item>1</item><item>x</item></note><majorList><major><nm>화학</nm><quotaList><quota><n>{0}</n></quota></quotaList></major></majorList></item></items></r>"
+    names = {1: ["cd", "note", "majorList"], 2: ["cd", "remark", "majorList"]}
+    texts = {"f1": payload.format(5), "f2": '{"items": [{"cd": "08", "remark": {"Item": ["2", "y"]}, "majorList": [{"nm": "물리", "quotaList": [{"n": "1.5"}]}]}]}'}
+    listings = spark.createDataFrame([("S", "o", n, names[n], f"f{n}") for n in names], "service string, operation string, period int, field_names array<string>, file_key string")
+    payloads = spark.createDataFrame([*texts.items()], "path string, payload string")
+    facts, values = drift.field_facts(listings, KEYS, "field_names"), drift.value_facts(drift.payload_marks(payloads, F.col("path"), "payload"), listings, KEYS)
+    schema = rows(drift.fused_schema(facts, values, KEYS).filter("field like '%/%'"), "period", "field", "alternatives", "kind")
+    assert (1, "note/item", ["integer", "text"], None) in schema and (2, "majorlist/major/quotalist/quota/n", ["decimal"], "decimal") in schema and len(schema) == 6
+    assert ("o", 2, "retyped", "majorList/major/quotaList/quota/n", "") in rows(drift.schema_changes(facts, values, KEYS), "operation", "period", "change_kind", "field_name", "new_name")
+    renamed = spark.createDataFrame([("S", "o", "note", "remark")], "service string, operation string, field string, final string")
+    usual = drift.usual_paths(facts, values)
+    items = nested.entries(payloads.withColumnRenamed("path", "file_key"), "file_key", "payload").join(listings.drop("field_names"), "file_key")
+    got = rows(drift.unified(items, drift.final_paths(renamed, values, usual, KEYS), usual, KEYS), "period", "item_no", "major_no", "quota_no", "field", "value_no", "canonical", "as_integer")
+    assert got == sorted([
+        (1, 1, 0, 0, "cd", 1, "07", 7), (1, 1, 0, 0, "remark/Item", 1, "1", 1), (1, 1, 0, 0, "remark/Item", 2, "x", None),
+        (1, 1, 1, 0, "majorList/major/nm", 1, "화학", None), (1, 1, 1, 1, "majorList/major/quotaList/quota/n", 1, "5", 5),
+        (2, 1, 0, 0, "cd", 1, "08", 8), (2, 1, 0, 0, "remark/Item", 1, "2", 2), (2, 1, 0, 0, "remark/Item", 2, "y", None),
+        (2, 1, 1, 0, "majorList/major/nm", 1, "물리", None), (2, 1, 1, 1, "majorList/major/quotaList/quota/n", 1, "1.5", None),
+    ], key=repr)
