@@ -233,6 +233,21 @@ def test_stream(spark, rows, tmp_path):
     assert tail.counts(static, ["service"]).select("service", "rows", "bytes").first() == ("S", 1, 5)
 
 
+def test_stream_late_and_undated_rows(spark, rows, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    late = ROW | {"task_id": "late", "collected_at": "2024-06-01T00:00:00Z"}
+    undated = ROW | {"task_id": "undated", "collected_at": "n/a"}
+    for n, text in enumerate([lines(ROW, undated, undated, "{broken"), lines(ROW | {"task_id": "new", "collected_at": "2025-12-01T00:00:00Z"}), lines(late, undated), lines(late, ROW)]):
+        (folder / f"{n}.jsonl").write_text(text)
+        tail.run_once(tail.tail(spark, str(folder)), out, str(tmp_path / "state"))
+    assert rows(spark.read.parquet(out), "task_id") == [("late",), ("new",), ("t1",)]
+    assert rows(spark.read.parquet(f"{out}-quarantine"), "task_id", "_corrupt_record") == sorted([("undated", None), (None, "{broken")], key=repr)
+    with pytest.raises(ValueError, match="log of the file sink"):
+        (tmp_path / "old" / "_spark_metadata").mkdir(parents=True)
+        tail.run_once(tail.tail(spark, str(folder)), str(tmp_path / "old"), str(tmp_path / "state2"))
+
+
 def test_command_line(spark, capsys, tmp_path):
     catalogue = {"endpoints": [{"data_id": "d", "service": "S", "operation": "o", "scope_strategy": "nationwide_by_year", "endpoint_url": "https://x/o", "output_fields": ["v"]}]}
     (tmp_path / "c.json").write_text(json.dumps(catalogue))
