@@ -5,7 +5,8 @@ id stays, the others are reported as repeats. The files are hashed into shards o
 ``SHARD_FILES`` files; in each shard, longest first, a heap gives each file to the least loaded of a
 fixed number of output groups (about ``target_bytes`` each). A group is then streamed through
 pyarrow into one parquet file, checked, and published by renaming it; the manifest that names the
-published files is written last, so readers see a whole compaction or none.
+published files is written last, so readers see all that was written or none. What was planned is
+compared with what was written: the manifest counts the files without content by group.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ SHARD_FILES = 50_000
 TARGET_BYTES = 128 << 20
 ROW_GROUP_BYTES = 8 << 20
 PLAN = "file_key string, file_id long, size_bytes long, shard int, output_group int"
-WRITTEN = "shard int, output_group int, output_path string, files long, content_bytes long, digest string"
+WRITTEN = "shard int, output_group int, output_path string, files long, content_bytes long, digest string, planned_files long, planned_bytes long, missing_files long"
 
 
 def listed(df: DataFrame, row_id: str, key: Column, size: Column, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
@@ -108,8 +109,14 @@ class _Part:
         self.system, self.path = system, f"{staging}/{uuid.uuid4().hex}.parquet"
         self.writer = pq.ParquetWriter(self.path, self.SCHEMA, compression="zstd", filesystem=system)
         self.digest, self.rows, self.size, self.waiting, self.held = hashlib.sha256(), 0, 0, [], 0
-
-    def add(self, key: str, file_id: int, content: bytes) -> None:
+        self.planned = self.planned_size = self.missing = 0
+
+    def add(self, key: str, file_id: int, size: int, content: bytes | None) -> None:
+        """Takes a planned file; one without content is counted as missing."""
+        self.planned, self.planned_size = self.planned + 1, self.planned_size + size
+        if content is None:
+            self.missing += 1
+            return
         self.waiting.append({"file_key": key, "file_id": file_id, "content": content})
         self.digest.update(content)
         self.rows, self.size, self.held = self.rows + 1, self.size + len(content), self.held + len(content)
@@ -134,14 +141,15 @@ class _Part:
         if (again, check.digest()) != (self.rows, self.digest.digest()):
             raise OSError(f"{self.path} does not hold what was written")
         self.system.move(self.path, final)
-        return {"output_path": final, "files": self.rows, "content_bytes": self.size, "digest": self.digest.hexdigest()}
+        return {"output_path": final, "files": self.rows, "content_bytes": self.size, "digest": self.digest.hexdigest(), "planned_files": self.planned, "planned_bytes": self.planned_size, "missing_files": self.missing}
 
 
 def compact(plan: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
     """``WRITTEN``: writes the contents of each output group to one file of ``folder``.
 
-    ``contents`` has ``file_key`` and ``content`` (binary or text); files without content are left out
-    of the output, contents without a plan too, and repeated contents of a key count once. ``folder``
+    ``contents`` has ``file_key`` and ``content`` (binary or text); planned files without content are
+    not in the output and count as missing in its row (a group without any has an empty file),
+    contents without a plan are left out, and repeated contents of a key count once. ``folder``
     must be shared by all executors. Each task writes to a name of its own, reads the file back to
     compare rows and digest, and moves it to its place; a task that runs again puts the same bytes there.
     """
@@ -158,36 +166,44 @@ def compact(plan: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
 
         for batch in batches:
             for n in range(len(batch)):
-                shard, output, key, file_id, content = (c[n].as_py() for c in batch.columns)
+                shard, output, key, file_id, size, content = (c[n].as_py() for c in batch.columns)
                 if group != (shard, output):
                     if part is not None:
                         finish()
                     part, group, last = _Part(system, f"{root}/{staging}"), (shard, output), None
                 if key != last:
-                    part.add(key, file_id, content)
+                    part.add(key, file_id, size, content)
                 last = key
         if part is not None:
             finish()
-            yield pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int32()), ("output_group", pa.int32()), ("output_path", pa.string()), ("files", pa.int64()), ("content_bytes", pa.int64()), ("digest", pa.string())]))
+            counts = [(name, pa.int64()) for name in ("planned_files", "planned_bytes", "missing_files")]
+            yield pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int32()), ("output_group", pa.int32()), ("output_path", pa.string()), ("files", pa.int64()), ("content_bytes", pa.int64()), ("digest", pa.string()), *counts]))
 
     known = contents.select("file_key", F.col("content").cast("binary").alias("content")).filter("file_key is not null and content is not null")
-    held = plan.select("shard", "output_group", "file_key", "file_id").join(known, "file_key").select("shard", "output_group", "file_key", "file_id", "content")
+    held = plan.select("shard", "output_group", "file_key", "file_id", "size_bytes").join(known, "file_key", "left").select("shard", "output_group", "file_key", "file_id", "size_bytes", "content")
     ordered = held.repartition("shard", "output_group").sortWithinPartitions("shard", "output_group", "file_id", "file_key")
     return ordered.mapInArrow(write, WRITTEN)
 
 
 def publish(written: DataFrame, folder: str) -> DataFrame:
-    """Runs the compaction once, then writes ``_manifest.json``, the sign of a whole compaction, by a rename.
+    """Runs the compaction once, then writes ``_manifest.json``, the sign that it ended, by a rename.
 
-    The manifest has one line per output file; the driver writes it line by line.
+    The manifest has one line per output file, with ``complete``, whether the file holds all that was
+    planned for it; the driver writes it line by line. Where any is not complete, ``_INCOMPLETE`` is
+    written first, with the planned, written and missing files of the whole.
     """
     done = cut(written)
     system, root = file_system(folder)
     system.create_dir(root, recursive=True)
+    whole = done.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("planned_files", "files", "missing_files"))).first().asDict()
+    if whole["planned_files"] != whole["files"]:
+        with system.open_output_stream(f"{root}/_INCOMPLETE") as out:
+            out.write((json.dumps(whole, sort_keys=True) + "\n").encode())
     part = f"{root}/_manifest-{uuid.uuid4().hex}"
     with system.open_output_stream(part) as out:
         for row in done.orderBy("shard", "output_group").toLocalIterator():
-            out.write((json.dumps(row.asDict(), sort_keys=True) + "\n").encode())
+            line = row.asDict() | {"complete": row.planned_files == row.files}
+            out.write((json.dumps(line, sort_keys=True) + "\n").encode())
     system.move(part, f"{root}/_manifest.json")
     for info in system.get_file_info(fs.FileSelector(root)):
         if info.base_name.startswith("_staging-"):

@@ -89,3 +89,15 @@ def test_compact_a_store(spark, tmp_path):
     for r in publish(compact(plan, found, out), out).collect():
         got |= {x["file_key"]: x["content"] for x in pq.read_table(r.output_path).to_pylist()}
     assert got == wanted
+
+
+def test_missing_contents_are_reported(spark, tmp_path):
+    plan = spark.createDataFrame([("a", 1, 2, 0, 0), ("b", 2, 3, 0, 0), ("c", 3, 4, 0, 1)], "file_key string, file_id long, size_bytes long, shard int, output_group int")
+    given = spark.createDataFrame([("a", b"xy"), ("b", None)], "file_key string, content binary")
+    publish(compact(plan, given, str(tmp_path / "part")), str(tmp_path / "part"))
+    lines = [json.loads(x) for x in (tmp_path / "part" / "_manifest.json").read_text().splitlines()]
+    assert [(x["output_group"], x["planned_files"], x["planned_bytes"], x["files"], x["missing_files"], x["complete"]) for x in lines] == [(0, 2, 5, 1, 1, False), (1, 1, 4, 0, 1, False)]
+    assert json.loads((tmp_path / "part" / "_INCOMPLETE").read_text()) == {"planned_files": 3, "files": 1, "missing_files": 2}
+    whole = spark.createDataFrame([(k, b"z") for k in "abc"], "file_key string, content binary")
+    publish(compact(plan, whole, str(tmp_path / "whole")), str(tmp_path / "whole"))
+    assert not (tmp_path / "whole" / "_INCOMPLETE").exists() and '"complete": false' not in (tmp_path / "whole" / "_manifest.json").read_text()
