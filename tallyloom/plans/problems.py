@@ -63,13 +63,13 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sizes of the output groups; the target suits the small test files."""
-    return compaction.group_sizes(compaction.schedule(_listing(spark, sf_dir), target_bytes=1 << 20))
+    """The sizes of the output groups."""
+    return compaction.group_sizes(compaction.schedule(_listing(spark, sf_dir)))
 
 
 def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored responses written to few files in the shared folder: what each output file holds."""
-    plan = compaction.schedule(_listing(spark, sf_dir), target_bytes=1 << 20)
+    plan = compaction.schedule(_listing(spark, sf_dir))
     responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload")
     contents = responses.filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
     folder = f"{shared_folder(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"

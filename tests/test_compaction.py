@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tallyloom.sources.manifests import contents
+from tallyloom.plans.problems import QUERIES
 from tallyloom.operators.compaction import balance, compact, group_sizes, listed, publish, repeats, schedule
 
 ROWS = "id long, path string, size long"
@@ -101,3 +102,9 @@ def test_missing_contents_are_reported(spark, tmp_path):
     whole = spark.createDataFrame([(k, b"z") for k in "abc"], "file_key string, content binary")
     publish(compact(plan, whole, str(tmp_path / "whole")), str(tmp_path / "whole"))
     assert not (tmp_path / "whole" / "_INCOMPLETE").exists() and '"complete": false' not in (tmp_path / "whole" / "_manifest.json").read_text()
+
+
+def test_queries_have_the_production_target(spark, rows, tmp_path):
+    listing = [(n, f"data/{n}.xml", 1 << 20) for n in range(130)]
+    spark.createDataFrame(listing, "record_id long, raw_path string, bytes long").write.parquet(str(tmp_path / "manifest_records.parquet"))
+    assert rows(QUERIES["p2_groups"](spark, str(tmp_path)), "files", "bytes") == [(65, 65 << 20), (65, 65 << 20)]
