@@ -368,6 +368,13 @@ def order_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "kess_files", "group_code", "series", "file_year", "entry_no").orderBy("group_code", "series", F.desc_nulls_last("file_year"), "entry_no").limit(40)
 
 
+@query("""SELECT group_code, series, file_year, entry_no, row_number() OVER (PARTITION BY group_code ORDER BY series NULLS FIRST, file_year DESC NULLS LAST, entry_no) AS ordinal, count(*) OVER (PARTITION BY group_code) AS planned FROM kess_files""")
+def order_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every file in the mixed order of its group."""
+    rows = table(spark, sf_dir, "kess_files", "group_code", "series", "file_year", "entry_no")
+    return skew.numbered(rows, ["group_code"], ["series", F.desc_nulls_last("file_year"), "entry_no"])
+
+
 # --- summaries --------------------------------------------------------------------------------------
 
 _RUN = """SELECT t.task_id, CASE WHEN m.task_id IS NULL THEN 'skipped' WHEN m.code = '00' THEN 'stored' ELSE 'failed' END AS status, coalesce(m.n, 0) AS requests

@@ -102,6 +102,14 @@ def star_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.expected_counts(regions, nations, ["r_regionkey"]).join(regions.select("r_regionkey", "r_name"), "r_regionkey").drop("r_regionkey")
 
 
+@query("""SELECT r_name, 3 + r_regionkey AS expected, count(n_nationkey) AS actual, count(n_nationkey) = 3 + r_regionkey AS agrees FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name, r_regionkey""")
+def star_expected_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nations, against expectations that differ by region."""
+    regions = table(spark, sf_dir, "region", "r_regionkey", "r_name").withColumn("expected", F.col("r_regionkey") + 3)
+    nations = table(spark, sf_dir, "nation", "n_regionkey").withColumnRenamed("n_regionkey", "r_regionkey")
+    return reconcile.expected_counts(regions, nations, ["r_regionkey"]).join(regions.select("r_regionkey", "r_name"), "r_regionkey").drop("r_regionkey")
+
+
 @query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds FROM events GROUP BY user_id")
 def star_field_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events", "user_id", "event_type").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))

@@ -28,3 +28,10 @@ def test_entry(spark):
 
     assert entry.entry(spark).columns == ["ref_table", "ref_id", "orphan_kind", "period"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_over_all_rows(spark):
+    files = spark.read.parquet(str(DATA / "kess_files.parquet")).count()
+    assert collection.QUERIES["order_ranked"](spark, str(DATA)).count() == files
+    found = star.QUERIES["star_expected_nations"](spark, str(DATA)).collect()
+    assert sum(r.actual for r in found) == spark.read.parquet(str(DATA / "nation.parquet")).count() and len({r.expected for r in found}) == len(found)
