@@ -16,6 +16,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from datetime import date
 from zlib import crc32
 
 import pyarrow as pa
@@ -54,7 +55,7 @@ def kind_of(value: str) -> str | None:
 
 
 def marks_of(values: set[str]) -> dict[str, float]:
-    """What a set of values adds to the profile of its field: kinds, moments of magnitudes, letter pairs."""
+    """What a set of values adds to the profile of its field: kinds, moments of magnitudes and of dates in years, letter pairs."""
     out: dict[str, float] = defaultdict(float)
     for value in values:
         kind = kind_of(value)
@@ -65,6 +66,13 @@ def marks_of(values: set[str]) -> dict[str, float]:
             size = math.log2(1 + min(abs(float(value[:300])), 1e300))
             for power in range(3):
                 out[f"{kind} {power}"] += size**power
+        elif kind == "date":
+            try:
+                years = date.fromisoformat(value).toordinal() / 365.2425
+            except ValueError:  # a day that is in no calendar
+                continue
+            for power in range(3):
+                out[f"date {power}"] += years**power
         elif kind == "text":
             framed = f"\x02{value}\x03"
             for pair in map("".join, zip(framed, framed[1:], strict=False)):
@@ -182,10 +190,13 @@ def _profiles(fields: DataFrame, values: DataFrame, keys: list[str], nearness: C
     rows = fields.join(values.withColumnRenamed("period", "at"), [*keys, "field"]).filter(where)
     profile = rows.groupBy(*keys, "period", "field").agg(
         F.max_by(F.when(is_kind, kind), F.when(is_kind, F.struct(nearness, "weight", kind))).alias("kind"),
-        *(F.sum(F.when(F.col("mark") == f"{k} {power}", F.col("weight"))).alias(f"{k} {power}") for k in ("integer", "decimal") for power in range(3)),
+        *(F.sum(F.when(F.col("mark") == f"{k} {power}", F.col("weight"))).alias(f"{k} {power}") for k in ("integer", "decimal", "date") for power in range(3)),
+        *(F.sum(F.when(F.col("mark") == f"date {power}", F.col("weight") * F.pow("at", F.lit(by)))).alias(f"date {power} at {by}") for power, by in ((0, 1), (0, 2), (1, 1))),
     )
-    moments = [F.when(F.col("kind") == "integer", F.col(f"integer {power}")).otherwise(F.col(f"decimal {power}")).alias(name) for power, name in enumerate(("n", "s", "ss"))]
-    profile = profile.select(*keys, "period", "field", "kind", *moments)
+    of_kind = lambda power: F.when(F.col("kind").isin("integer", "date"), F.when(F.col("kind") == "integer", F.col(f"integer {power}")).otherwise(F.col(f"date {power}"))).otherwise(F.col(f"decimal {power}"))
+    moments = [of_kind(power).alias(name) for power, name in enumerate(("n", "s", "ss"))]
+    since = [(F.col("date 1") - F.col("date 0 at 1")).alias("since_s"), (F.col("date 2") - 2 * F.col("date 1 at 1") + F.col("date 0 at 2")).alias("since_ss")]
+    profile = profile.select(*keys, "period", "field", "kind", *moments, *since)
     pairs = rows.filter("mark like 'pair %'").groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
     maps = pairs.groupBy(*keys, "period", "field").agg(F.map_from_entries(F.collect_list(F.struct("mark", "weight"))).alias("pairs"))
     same = [*keys, "period", "field"]
@@ -193,15 +204,23 @@ def _profiles(fields: DataFrame, values: DataFrame, keys: list[str], nearness: C
 
 
 def _likeness() -> Column:
-    """How alike two contents of the same kind are: magnitudes of numbers, letter pairs of texts, all dates."""
-    mean_a, mean_b = F.col("a.s") / F.col("a.n"), F.col("b.s") / F.col("b.n")
-    spread = (F.greatest(F.col("a.ss") / F.col("a.n") - mean_a * mean_a, F.lit(0.0)) + F.greatest(F.col("b.ss") / F.col("b.n") - mean_b * mean_b, F.lit(0.0))) / 2 + 0.02
-    numbers = F.exp(-(mean_a - mean_b) * (mean_a - mean_b) / (4 * spread))
+    """How alike two contents of the same kind are: magnitudes of numbers, letter pairs of texts, dates.
+
+    Dates are alike if they are near each other in years, or if they go along with the periods, taken as years.
+    """
+
+    def near(s: str, ss: str) -> Column:
+        mean_a, mean_b = F.col(f"a.{s}") / F.col("a.n"), F.col(f"b.{s}") / F.col("b.n")
+        spread = (F.greatest(F.col(f"a.{ss}") / F.col("a.n") - mean_a * mean_a, F.lit(0.0)) + F.greatest(F.col(f"b.{ss}") / F.col("b.n") - mean_b * mean_b, F.lit(0.0))) / 2 + 0.02
+        return F.exp(-(mean_a - mean_b) * (mean_a - mean_b) / (4 * spread))
+
+    numbers = near("s", "ss")
+    dates = F.greatest(numbers, near("since_s", "since_ss"))
     zero = F.lit(0.0)
     dot = F.aggregate(F.map_entries("a.pairs"), zero, lambda t, e: t + e["value"] * F.coalesce(F.try_element_at(F.col("b.pairs"), e["key"]), zero))
     norm = lambda side: F.sqrt(F.aggregate(F.map_values(f"{side}.pairs"), zero, lambda t, w: t + w * w))
     texts = F.when((norm("a") > 0) & (norm("b") > 0), dot / (norm("a") * norm("b")))
-    return F.when(F.col("a.kind") == "text", texts).when(F.col("a.kind") == "date", 1.0).otherwise(numbers)
+    return F.when(F.col("a.kind") == "text", texts).when(F.col("a.kind") == "date", dates).otherwise(numbers)
 
 
 def renamings(gone: DataFrame, come: DataFrame, values: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:

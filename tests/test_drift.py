@@ -106,3 +106,17 @@ def test_leaves_inside_entries(spark, rows):
         (2, 1, 0, 0, "cd", 1, "08", 8), (2, 1, 0, 0, "remark/Item", 1, "2", 2), (2, 1, 0, 0, "remark/Item", 2, "y", None),
         (2, 1, 1, 0, "majorList/major/nm", 1, "물리", None), (2, 1, 1, 1, "majorList/major/quotaList/quota/n", 1, "1.5", None),
     ], key=repr)
+
+
+def test_dates_are_compared(spark, rows):
+    def dated(names, since, *days):
+        return [dict(zip(names, (day, f"{since}-0{n}-15"), strict=True)) for n, day in enumerate(days, 1)]
+
+    got = changes(spark, rows, [
+        year(2020, ["crtrYmd", "opened"], dated(["crtrYmd", "opened"], 1971, "2020-04-01", "2020-04-02")),
+        year(2021, ["crtrYmd", "opened"], dated(["crtrYmd", "opened"], 1971, "2021-04-01", "2021-04-02")),
+        year(2024, ["baseDt", "closes"], dated(["baseDt", "closes"], 2090, "2024-04-01", "2024-04-02")),
+    ])
+    assert got == sorted([("o", 2024, "renamed", "crtrYmd", "baseDt"), ("o", 2024, "removed", "opened", ""), ("o", 2024, "added", "closes", "")], key=repr)
+    got = changes(spark, rows, [year(1, ["openDt"], [{"openDt": "2021-02-30"}]), year(2, ["opnDt"], [{"opnDt": "2022-02-30"}])])
+    assert got == [("o", 2, "renamed", "openDt", "opnDt")]
