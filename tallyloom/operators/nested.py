@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 NEST = (("items", "item"), ("majorList", "major"), ("quotaList", "quota"))
 TABLES = ("items", "majors", "quotas")
 
+#: Characters of a document that the parser is given at a time.
+PIECE = 1 << 16
+
 Triple = tuple[tuple[int, ...], str, "str | None"]
 
 
@@ -71,6 +74,50 @@ def _xml_triples(text: str, nest: tuple[tuple[str, str], ...]) -> list[Triple]:
     return out
 
 
+def elements(text: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
+    """Every element of an XML document in the order of the document, as a path-ordinal-value triple.
+
+    The path has the local names from the root down, the ordinals the place of each among its
+    siblings, and the value is the stripped text before the first child. A document that is not
+    well-formed ends with an ``ExpatError``.
+    """
+    ready: list[tuple[tuple[str, ...], tuple[int, ...], str]] = []
+    path: tuple[str, ...] = ()
+    at: tuple[int, ...] = ()
+    born = [0]  # children so far, by depth
+    words: list[str] = []
+    waiting = False  # the innermost element has neither child nor end yet
+
+    def settle() -> None:
+        nonlocal waiting
+        if waiting:
+            ready.append((path, at, "".join(words).strip()))
+        waiting = False
+        words.clear()
+
+    def start(name: str, _: Any) -> None:
+        nonlocal path, at, waiting
+        settle()
+        born[-1] += 1
+        path, at = (*path, local_name(name)), (*at, born[-1])
+        born.append(0)
+        waiting = True
+
+    def end(_: str) -> None:
+        nonlocal path, at
+        settle()
+        path, at = path[:-1], at[:-1]
+        born.pop()
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, words.append
+    for begin in range(0, max(1, len(text)), PIECE):
+        parser.Parse(text[begin : begin + PIECE], begin + PIECE >= len(text))
+        yield from ready
+        ready.clear()
+
+
 def _no_constant(name: str) -> None:
     raise ValueError(name)
 

@@ -8,8 +8,8 @@ name even if it is empty and counts every item, nested ones too.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from xml.parsers import expat
 
@@ -18,80 +18,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.ids import row_digest
-from tallyloom.operators.nested import local_name
-
-#: Elements that hold the result.
-CODES = ("resultCode", "returnReasonCode")
-MESSAGES = ("resultMsg", "resultMessage", "returnAuthMsg", "errMsg")
+from tallyloom.operators.nested import elements
+
+#: Elements that hold the result, and the one that holds a row.
+KINDS = {
+    "resultCode": "code", "returnReasonCode": "code",
+    "resultMsg": "message", "resultMessage": "message", "returnAuthMsg": "message", "errMsg": "message",
+    "totalCount": "total",
+}
+ITEM = "item"
 PROFILE = "result_code string, result_message string, total_count long, item_count long, field_names array<string>, duplicate_row_count long, first_code string, all_items long, error string"
 
 
 def profile(text: str) -> dict:
     """Both readings of one document; ``error`` is set and the rest empty if it is not well-formed."""
-    seen: dict[str, str] = {}
-    first: dict[str, str] = {}
-    names: list[str] = []
-    words: list[list[str]] = []
-    plain: list[bool] = []
-    fields: set[str] = set()
-    digests: set[bytes] = set()
-    counts = {"items": 0, "twice": 0, "all": 0}
-    item: list = [None, None]
-
-    def frame(value: str) -> None:
-        data = value.encode()
-        item[1].update(len(data).to_bytes(8, "big") + data)
-
-    def start(name: str, _) -> None:
-        if plain:
-            plain[-1] = False
-        names.append(local_name(name))
-        words.append([])
-        plain.append(True)
-        if names[-1] == "item":
-            counts["all"] += 1
-            if item[0] is None:
-                item[:] = [len(names), hashlib.sha256()]
-
-    def characters(data: str) -> None:
-        if plain and plain[-1]:  # an element's text ends where its first child starts
-            words[-1].append(data)
-
-    def end(_: str) -> None:
-        name, depth = names[-1], len(names)
-        value = "".join(words.pop()).strip()
-        plain.pop()
-        kind = "code" if name in CODES else "message" if name in MESSAGES else "total" if name == "totalCount" else None
-        if kind:
-            first.setdefault(kind, value)
-            if value:
-                seen.setdefault(kind, value)
-        if item[0] == depth:
-            counts["items"] += 1
-            digest = item[1].digest()
-            counts["twice"] += digest in digests
-            digests.add(digest)
-            item[:] = [None, None]
-        elif item[0] is not None and depth == item[0] + 1:
-            fields.add(name)
-            frame(name)
-            frame(value)
-        names.pop()
-
-    parser = expat.ParserCreate()
-    parser.buffer_text = True
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, characters
+    said: dict[str, list[str]] = {"code": [], "message": [], "total": []}
+    every = 0
     try:
-        parser.Parse(text, True)
+        rows = defaultdict(list)
+        for path, at, value in elements(text):
+            every += path[-1] == ITEM
+            if kind := KINDS.get(path[-1]):
+                said[kind].append(value)
+            _take(rows, path, at, value)
     except expat.ExpatError as e:
         return {"error": str(e)}
-    total = seen.get("total", "")
+    code, message, total = (next(filter(None, said[kind]), None) for kind in ("code", "message", "total"))
+    items = [tuple(pairs) for pairs in rows.values()]
     return {
-        "result_code": seen.get("code"), "result_message": seen.get("message"), "total_count": int(total) if re.fullmatch(r"[+-]?\d{1,18}", total) else None,
-        "item_count": counts["items"], "field_names": sorted(fields), "duplicate_row_count": counts["twice"], "first_code": first.get("code"), "all_items": counts["all"], "error": None,
+        "result_code": code, "result_message": message, "total_count": int(total) if re.fullmatch(r"[+-]?\d{1,18}", total or "") else None,
+        "item_count": len(items), "field_names": sorted({name for pairs in items for name, _ in pairs}), "duplicate_row_count": len(items) - len(set(items)),
+        "first_code": next(iter(said["code"]), None), "all_items": every, "error": None,
     }
 
 
+def _take(rows: dict[tuple[int, ...], list[tuple[str, str]]], path: tuple[str, ...], at: tuple[int, ...], value: str) -> None:
+    """Puts an element to the row of its outermost item, by the item's ordinals: the item opens it, its children are its pairs."""
+    if ITEM in path:
+        depth = path.index(ITEM) + 1
+        if len(path) <= depth + 1:
+            pairs = rows[at[:depth]]
+            if len(path) > depth:
+                pairs.append((path[-1], value))
+
+
 def xml_profiles(df: DataFrame, row_id: str, payload: str) -> DataFrame:
     """``row_id`` and ``PROFILE`` of each XML payload; others, null ones too, are passed over."""
     kind = dict(df.dtypes)[row_id]
@@ -107,44 +77,14 @@ def xml_profiles(df: DataFrame, row_id: str, payload: str) -> DataFrame:
 
 
 def _exact_items(text: str) -> list[list[dict]]:
-    """The children of each outermost item as name-value pairs in document order."""
-    names: list[str] = []
-    words: list[list[str]] = []
-    plain: list[bool] = []
-    items: list[list[dict]] = []
-    depth: list[int] = []
-
-    def start(name: str, _) -> None:
-        if plain:
-            plain[-1] = False
-        names.append(local_name(name))
-        words.append([])
-        plain.append(True)
-        if names[-1] == "item" and not depth:
-            depth.append(len(names))
-            items.append([])
-
-    def characters(data: str) -> None:
-        if plain and plain[-1]:
-            words[-1].append(data)
-
-    def end(_: str) -> None:
-        value = "".join(words.pop()).strip()
-        plain.pop()
-        if depth and len(names) == depth[0] + 1:
-            items[-1].append({"name": names[-1], "value": value})
-        elif depth and len(names) == depth[0]:
-            depth.clear()
-        names.pop()
-
-    parser = expat.ParserCreate()
-    parser.buffer_text = True
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, characters
+    """The children of each outermost item as name-value pairs in document order; none if it is not well-formed."""
+    rows = defaultdict(list)
     try:
-        parser.Parse(text, True)
+        for path, at, value in elements(text):
+            _take(rows, path, at, value)
     except expat.ExpatError:
         return []
-    return items
+    return [[{"name": n, "value": v} for n, v in pairs] for pairs in rows.values()]
 
 
 def exact_rows(df: DataFrame, row_id: str, payload: str) -> DataFrame:
