@@ -12,6 +12,8 @@ FORBIDDEN = r"""[\\/:*?"<>|\x00-\x1f]+"""
 MOST_BYTES = 240
 SUFFIX = r"\.[A-Za-z0-9]{1,10}$"
 ZIP_MAGIC = "504B0304"
+#: A parameter of a header: its name, and its value, quoted or up to the next semicolon.
+_PARAMETER = r'([\w-]+\*?)\s*=\s*("[^"]*"?|[^;"]*)'
 
 
 def local_tag(name: Column) -> Column:
@@ -73,8 +75,13 @@ def disposition_name(header: Column, fallback: str = "unnamed") -> Column:
 
     The extended form comes first; the plain one may be percent-encoded, or UTF-8 read as Latin-1.
     """
-    extended = F.regexp_extract(header, r"(?i)filename\*=UTF-8''([^;]+)", 1)
-    plain = F.regexp_extract(header, r'(?i)filename="?([^";]+)', 1)
+    names = F.transform(F.regexp_extract_all(header, F.lit(_PARAMETER), 1), F.lower)
+    values = F.regexp_extract_all(header, F.lit(_PARAMETER), 2)
+    parameters = F.arrays_zip(names.alias("name"), values.alias("value"))
+    first = lambda name: F.get(F.filter(parameters, lambda p: p["name"] == name), F.lit(0))["value"]
+    coded = F.coalesce(first("filename*"), F.lit(""))
+    extended = F.when(F.lower(F.substring_index(coded, "'", 1)) == "utf-8", F.regexp_replace(coded, r"^[^']*'[^']*'", "")).otherwise(F.lit(""))
+    plain = F.regexp_replace(F.coalesce(first("filename"), F.lit("")), r'^"|"$', "")
     narrow = plain.rlike(r"^[\x00-\xff]*$")
     data = F.encode(F.when(narrow, plain).otherwise(F.lit("")), "ISO-8859-1")
     repaired = F.when(narrow & F.is_valid_utf8(data.cast("string")), F.decode(data, "UTF-8")).otherwise(plain)
