@@ -36,8 +36,8 @@ def first_match(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def unknown(requested: DataFrame, available: DataFrame, key: str) -> DataFrame:
-    """Requested values that are not available."""
-    return requested.select(key).exceptAll(available.select(key).distinct()).distinct()
+    """Requested values that are not available, each once; null is a value like any other."""
+    return requested.select(key).subtract(available.select(key))
 
 
 def same_set(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
