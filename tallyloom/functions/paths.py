@@ -23,6 +23,11 @@ def _fold(parts: Column) -> Column:
     return F.aggregate(parts, none, step)
 
 
+def _after(text: Column, start: int) -> Column:
+    """All of ``text`` from its character number ``start`` on."""
+    return F.substr(text, F.lit(start))
+
+
 def canonical_path(path: Column, root: str = ROOT) -> Column:
     """The path relative to ``root``, or absolute if it lies elsewhere.
 
@@ -35,9 +40,9 @@ def canonical_path(path: Column, root: str = ROOT) -> Column:
     full = F.when(text.startswith("/"), text).otherwise(F.concat(F.lit(root + "/"), text))
     plain = F.regexp_replace(F.regexp_replace(full, r"/(?:\.?/)+", "/"), r"/\.?$", "")
     plain = F.when(plain == "", F.lit("/")).otherwise(plain)
-    folded = F.concat(F.lit("/"), F.array_join(_fold(F.split(F.substring(plain, 2, 1_000_000), "/")), "/"))
+    folded = F.concat(F.lit("/"), F.array_join(_fold(F.split(_after(plain, 2), "/")), "/"))
     whole = F.when(plain.rlike(r"/\.\.(?:/|$)"), folded).otherwise(plain)
-    located = F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), F.substring(whole, len(root) + 2, 1_000_000)).otherwise(whole)
+    located = F.when(whole == root, F.lit("")).when(whole.startswith(root + "/"), _after(whole, len(root) + 2)).otherwise(whole)
     return F.when(path.rlike(_VARIED), located).otherwise(path)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.ids import content_id, sorted_pairs
+from tallyloom.functions.text import SECRETS, normalized_key
 
 #: The strategies, each with the parameters that a task of it has.
 STRATEGIES = {
@@ -69,7 +70,7 @@ def parameter_clashes(catalogue: DataFrame) -> DataFrame:
     scope = F.create_map(*(x for s, p in STRATEGIES.items() for x in (F.lit(s), F.array(*map(F.lit, p)).cast("array<string>"))))
     keys = F.coalesce(F.map_keys("fixed_params"), F.array().cast("array<string>"))
     clash = F.array_intersect(keys, F.coalesce(F.try_element_at(scope, F.col("scope_strategy")), F.array().cast("array<string>")))
-    secret = F.filter(keys, lambda k: F.regexp_replace(F.lower(k), "[^a-z0-9]", "") == "servicekey")
+    secret = F.filter(keys, lambda k: normalized_key(k).isin(*SECRETS))
     return catalogue.select("service", "operation", F.array_sort(F.array_union(clash, secret)).alias("clashes")).filter(F.size("clashes") > 0)
 
 

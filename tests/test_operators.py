@@ -248,3 +248,16 @@ def test_names(spark):
 def test_safe_params(spark):
     df = spark.createDataFrame([({"serviceKey": "x", "Service-Key": "y", "svyYr": "1"},), (None,)], "p map<string,string>")
     assert [r[0] for r in df.select(text.safe_params(F.col("p"))).collect()] == [{"svyYr": "1"}, None]
+
+
+def test_unknown_with_repeats(spark, rows):
+    asked = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), (None,)], "k string").withColumn("extra", F.lit(1))
+    there = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    assert rows(reconcile.unknown(asked, there, "k")) == sorted([("c",), (None,)], key=repr)
+    assert rows(reconcile.unknown(asked, there.limit(0), "k")) == sorted([("a",), ("b",), ("c",), (None,)], key=repr)
+    assert reconcile.unknown(asked, asked, "k").count() == 0
+
+
+def test_secrets_in_a_catalogue(spark, rows):
+    catalog = catalogue(spark, ("S", "a", "lookup_once", {"api-key": "x", "page": "1"}), ("S", "b", "lookup_once", {"Authorization": "x"}), ("S", "c", "lookup_once", None))
+    assert rows(planning.parameter_clashes(catalog)) == [("S", "a", ["api-key"]), ("S", "b", ["Authorization"])]
