@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import cut
-from tallyloom.operators.nested import NEST, level_path, local_name, pivot, triples
+from tallyloom.operators.nested import NEST, joined, local_name, pivot, triples
 
 #: How alike the contents of two fields must be for a renaming, and their names where there are no contents.
 LIKE_CONTENT = 0.5
@@ -101,17 +101,15 @@ def payload_marks(df: DataFrame, key: Column, payload: str, spell: Callable[[Col
     or a deeper level) is a field by its whole path; of it only the kinds count, and its spelling
     (``as``). Payloads that are not well-formed are passed over, as null keys are.
     """
-    above = [level_path(depth) for depth in range(len(NEST) + 1)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, marks = [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 values: dict[str, set[str]] = defaultdict(set)
                 inside: dict[str, set[str]] = defaultdict(set)
-                for at, row in pivot(triples(text) or []).items():
+                for (table, _), row in pivot(triples(text) or []).items():
                     for path, found in row.items():
-                        path = above[len(at)] + path
+                        path = joined(table, path)
                         if "/" in path:
                             inside[path].update(found)
                         else:

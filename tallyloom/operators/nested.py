@@ -1,20 +1,27 @@
 """Deeply nested records as related flat tables.
 
-A payload, XML or JSON, is streamed into path-value-ordinal triples: the path of a leaf below its
-nearest repeated ancestor, its text, and the ordinals of the repeated ancestors. Triples with the
-same ancestors are pivoted into one row; rows at the same level form one table, and the ordinals
-link it to its parents. A record is handled in one task without a shuffle.
+A payload, XML or JSON, is turned into path-value-ordinal triples: the table of the nearest repeated
+ancestor, the ordinals of the repeated ancestors, the path of a leaf below the nearest one, its text.
+Triples with the same ancestors are pivoted into one row; rows at the same path form one table, and
+the ordinals link it to its parents. A record is handled in one task without a shuffle.
+
+Some levels are declared (``NEST``), because they come in several spellings. All other repeated
+ancestors are found in the data: ``discover`` reads all records once and tells which paths are
+repeated and hold elements of their own. That is the ``Layout``: a table for each of them, a column
+for each field, bounded by the number of different paths and not by that of the records.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from typing import Any
 from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: A level of repeated elements: the element that wraps the list, and the element of each entry.
 NEST = (("items", "item"), ("majorList", "major"), ("quotaList", "quota"))
@@ -22,8 +29,25 @@ TABLES = ("items", "majors", "quotas")
 
 #: Characters of a document that the parser is given at a time.
 PIECE = 1 << 16
+#: The field that holds an entry's own text, where an entry is a plain value.
+OWN = "#text"
 
-Triple = tuple[tuple[int, ...], str, "str | None"]
+#: Table (the whole path of its entries below an item), ordinals, path below the entry, value.
+Triple = tuple[str, tuple[int, ...], str, "str | None"]
+
+
+class Seen:
+    """What a pass over records meets: paths that are repeated, paths that hold elements, and the leaves of the declared levels."""
+
+    def __init__(self) -> None:
+        self.found: set[tuple[str, str, str]] = set()
+
+    def note(self, what: str, table: str, path: str) -> None:
+        self.found.add((what, table, path))
+
+
+def joined(*parts: str) -> str:
+    return "/".join(p for p in parts if p)
 
 
 def local_name(name: str) -> str:
@@ -31,46 +55,82 @@ def local_name(name: str) -> str:
     return name.strip().rpartition("}")[2].rpartition(":")[2].strip()
 
 
-def _xml_triples(text: str, nest: tuple[tuple[str, str], ...]) -> list[Triple]:
+def _xml_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[str], seen: Seen | None) -> list[Triple]:
     out: list[Triple] = []
     names: list[str] = []
-    rows: list[int] = []  # depths of the open entries
-    counts = [0] * (len(nest) + 1)
+    rows: list[tuple[int, str, tuple[int, ...], int]] = []  # open entries: depth, table, ordinals, declared levels above and here
+    counts: list[dict[str, int]] = [{}]  # by open entry: how many entries of each table it has
+    twins: list[dict[str, int]] = [{}]  # by open element: how many children of each name it has
     inner = [False]
     words: list[str] = []
 
+    def opened(name: str) -> tuple[str, int] | None:
+        """The table and the declared level of an element that is an entry."""
+        if not rows:
+            return ("", 1) if name == nest[0][1] else None
+        depth, table, _, level = rows[-1]
+        between = names[depth:]
+        if 0 < level < len(nest) and name == nest[level][1] and between in ([], [nest[level][0]]):
+            return joined(table, *nest[level]), level + 1
+        if extra and (whole := joined(table, *between, name)) in extra:
+            return whole, 0
+        return None
+
     def start(name: str, _: Any) -> None:
         name = local_name(name)
-        level = len(rows)
-        if level < len(nest) and name == nest[level][1]:
-            parent = names[-1] if names else ""
-            if level == 0 or len(names) == rows[-1] or (parent == nest[level][0] and len(names) == rows[-1] + 1):
-                counts[level] += 1
-                counts[level + 1 :] = [0] * (len(nest) - level)
-                rows.append(len(names) + 1)
-                out.append((tuple(counts[: level + 1]), "", None))
+        entry = opened(name)
+        if seen is not None and rows:
+            if not (entry and entry[1]):
+                twins[-1][name] = twins[-1].get(name, 0) + 1
+                if twins[-1][name] == 2:
+                    seen.note("repeated", "", joined(rows[-1][1], *names[rows[-1][0] :], name))
+            twins.append({})
+        elif seen is not None:
+            twins.append({})
+        if entry:
+            counts[-1][entry[0]] = number = counts[-1].get(entry[0], 0) + 1
+            at = (*rows[-1][2], number) if rows else (number,)
+            rows.append((len(names) + 1, entry[0], at, entry[1]))
+            counts.append({})
+            out.append((entry[0], at, "", None))
         names.append(name)
         inner[-1] = True
         inner.append(False)
         words.clear()
 
     def end(_: str) -> None:
-        depth = len(names)
-        if rows and rows[-1] == depth:
-            rows.pop()
-        elif rows and not inner[-1]:
-            level = len(rows)
-            path = names[rows[-1] :]
-            if level == len(nest) or path[0] != nest[level][0]:
-                out.append((tuple(counts[:level]), "/".join(path), "".join(words).strip()))
+        if rows:
+            depth, table, at, level = rows[-1]
+            if depth == len(names):
+                own = "" if inner[-1] else "".join(words).strip()
+                if own:
+                    out.append((table, at, OWN, own))
+                    if seen is not None:
+                        seen.note("leaf", table, OWN)
+                rows.pop()
+                counts.pop()
+            else:
+                path = names[depth:]
+                if inner[-1]:
+                    if seen is not None:
+                        seen.note("object", "", joined(table, *path))
+                else:
+                    value = "".join(words).strip()
+                    if value or not (0 < level < len(nest) and path == [nest[level][0]]):  # an empty wrapper is no value
+                        out.append((table, at, "/".join(path), value))
+                        if seen is not None:
+                            seen.note("leaf", table, "/".join(path))
         names.pop()
         inner.pop()
+        if seen is not None:
+            twins.pop()
         words.clear()
 
     parser = expat.ParserCreate()
     parser.buffer_text = True
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, words.append
-    parser.Parse(text, True)
+    for begin in range(0, max(1, len(text)), PIECE):
+        parser.Parse(text[begin : begin + PIECE], begin + PIECE >= len(text))
     return out
 
 
@@ -161,67 +221,140 @@ def _find(value: Any, name: str) -> Any:
     return None
 
 
-def _json_triples(text: str, nest: tuple[tuple[str, str], ...]) -> list[Triple]:
+def _json_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[str], seen: Seen | None) -> list[Triple]:
     root = json.loads(text.lstrip("\ufeff"), parse_float=str, parse_int=str, parse_constant=_no_constant)
     out: list[Triple] = []
 
-    def leaves(value: Any, path: str, at: tuple[int, ...]) -> None:
-        if isinstance(value, dict):
-            for k, v in value.items():
-                leaves(v, f"{path}/{local_name(k)}", at)
-        elif isinstance(value, list):
+    def leaf(table: str, at: tuple[int, ...], path: str, value: Any) -> None:
+        out.append((table, at, path, "" if value is None else str(value).lower() if isinstance(value, bool) else str(value).strip()))
+        if seen is not None:
+            seen.note("leaf", table, path)
+
+    def inside(value: Any, path: str, table: str, at: tuple[int, ...], counts: dict[str, int], listed: bool = False) -> None:
+        if isinstance(value, list):
             for v in value:
-                leaves(v, path, at)
+                inside(v, path, table, at, counts, True)
+            return
+        whole = joined(table, path)
+        if extra and whole in extra:
+            counts[whole] = counts.get(whole, 0) + 1
+            below = (*at, counts[whole])
+            out.append((whole, below, "", None))
+            if isinstance(value, dict):
+                fields(value, whole, below, 0)
+            elif value is not None:
+                leaf(whole, below, OWN, value)
+        elif isinstance(value, dict):
+            if seen is not None and path:
+                seen.note("object", "", whole)
+                if listed:
+                    seen.note("repeated", "", whole)
+            for k, v in value.items():
+                inside(v, joined(path, local_name(k)), table, at, counts)
         else:
-            out.append((at, path, "" if value is None else str(value).lower() if isinstance(value, bool) else str(value).strip()))
-
-    def walk(entries: list, level: int, above: tuple[int, ...]) -> None:
+            leaf(table, at, path, value)
+
+    def fields(one: dict, table: str, at: tuple[int, ...], level: int) -> None:
+        counts: dict[str, int] = {}
+        for k, v in one.items():
+            name = local_name(k)
+            if 0 < level < len(nest) and name == nest[level][0]:
+                walk(_entries(v, nest[level][1]), joined(table, *nest[level]), at, level + 1)
+            else:
+                inside(v, name, table, at, counts)
+
+    def walk(entries: list, table: str, above: tuple[int, ...], level: int) -> None:
         for n, one in enumerate(entries, 1):
             at = (*above, n)
-            out.append((at, "", None))
-            for k, v in one.items() if isinstance(one, dict) else ():
-                name = local_name(k)
-                if level + 1 < len(nest) and name == nest[level + 1][0]:
-                    walk(_entries(v, nest[level + 1][1]), level + 1, at)
-                else:
-                    leaves(v, name, at)
+            out.append((table, at, "", None))
+            if isinstance(one, dict):
+                fields(one, table, at, level)
+            elif not isinstance(one, list):
+                leaf(table, at, OWN, one)
 
     found = root if isinstance(root, list) else _find(root, nest[0][0])
-    walk(_entries(found, nest[0][1]), 0, ())
+    walk(_entries(found, nest[0][1]), "", (), 1)
     return out
 
 
-def triples(payload: str | None, nest: tuple[tuple[str, str], ...] = NEST) -> list[Triple] | None:
+def triples(payload: str | None, nest: tuple[tuple[str, str], ...] = NEST, extra: frozenset[str] = frozenset(), seen: Seen | None = None) -> list[Triple] | None:
     """The triples of a payload, the entry itself first with an empty path; None if it is not well-formed.
 
-    Null, empty and blank payloads and payloads that are neither XML nor JSON are not well-formed.
-    Empty leaves have an empty text, as JSON nulls have. The depth of nesting that JSON may have is
-    Python's limit; deeper payloads count as not well-formed.
+    ``extra`` has the repeated paths beyond ``nest`` that are tables. Null, empty and blank payloads and
+    payloads that are neither XML nor JSON are not well-formed. Empty leaves have an empty text, as JSON
+    nulls have. The depth of nesting that JSON may have is Python's limit; deeper payloads count as not
+    well-formed.
     """
     head = (payload or "").lstrip("\ufeff \t\r\n")[:1]
     try:
         if head == "<":
-            return _xml_triples(payload.lstrip("\ufeff \t\r\n"), nest)
+            return _xml_triples(payload.lstrip("\ufeff \t\r\n"), nest, extra, seen)
         if head in ("{", "["):
-            return _json_triples(payload, nest)
+            return _json_triples(payload, nest, extra, seen)
     except (expat.ExpatError, ValueError, RecursionError):
         pass
     return None
 
 
-def pivot(found: list[Triple]) -> dict[tuple[int, ...], dict[str, list[str]]]:
-    """The row of each entry: by path, its values in the order of the payload."""
-    rows: dict[tuple[int, ...], dict[str, list[str]]] = {}
-    for at, path, value in found:
-        row = rows.setdefault(at, {})
+def pivot(found: list[Triple]) -> dict[tuple[str, tuple[int, ...]], dict[str, list[str]]]:
+    """The row of each entry, by table and ordinals: by path, its values in the order of the payload."""
+    rows: dict[tuple[str, tuple[int, ...]], dict[str, list[str]]] = {}
+    for table, at, path, value in found:
+        row = rows.setdefault((table, at), {})
         if path:
             row.setdefault(path, []).append(value)
     return rows
 
 
-def level_path(depth: int, nest: tuple[tuple[str, str], ...] = NEST) -> str:
-    """What stands before a path of a level in the whole path below the item: empty, ``majorList/major/`` and so on."""
-    return "".join(f"{wrap}/{entry}/" for wrap, entry in nest[1:depth])
+def declared(nest: tuple[tuple[str, str], ...] = NEST, tables: tuple[str, ...] = TABLES) -> dict[str, str]:
+    """The names of the declared tables by the whole path of their entries below an item."""
+    return {"/".join(f"{wrap}/{entry}" for wrap, entry in nest[1 : n + 1]): name for n, name in enumerate(tables)}
+
+
+@dataclass(frozen=True)
+class Layout:
+    """The tables of a collection of records: their fields by table, and the table above each. Tables go by their whole path below an item."""
+
+    fields: dict[str, tuple[str, ...]]
+    parents: dict[str, str | None]
+
+    @property
+    def extra(self) -> frozenset[str]:
+        return frozenset(self.parents) - declared().keys()
+
+
+def layout_of(found: Iterable[tuple[str, str, str]], nest: tuple[tuple[str, str], ...] = NEST) -> Layout:
+    """The layout out of what ``discover`` met: paths that are both repeated and hold elements are tables of their own."""
+    known = set(found)
+    paths = {what: {p for w, _, p in known if w == what} for what in ("repeated", "object")}
+    levels = list(declared(nest))
+    extra = paths["repeated"] & paths["object"]
+    fields: dict[str, set[str]] = {t: set() for t in [*levels, *extra]}
+    for _, table, path in (k for k in known if k[0] == "leaf"):
+        whole, below = joined(table, path), table
+        for t in extra:
+            if (whole == t or whole.startswith(t + "/")) and len(t) > len(below):
+                below = t
+        fields[below].add(OWN if whole == below else whole[len(below) + 1 :] if below else whole)
+    above = {t: max((p for p in fields if p != t and (not p or t.startswith(p + "/"))), key=len, default=None) for t in fields}
+    return Layout({t: tuple(sorted(f)) for t, f in fields.items()}, above)
+
+
+def discover(df: DataFrame, payload: str, nest: tuple[tuple[str, str], ...] = NEST) -> Layout:
+    """The ``Layout`` of all records of a table. Each task tells every path once; payloads that are not well-formed tell nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[str, str, str]] = set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen = Seen()
+                if triples(text, nest, seen=seen) is not None:
+                    told |= seen.found
+        what, table, path = zip(*sorted(told), strict=True) if told else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(what, pa.string()), pa.array(table, pa.string()), pa.array(path, pa.string())], ["what", "table", "path"])
+
+    found = df.select(payload).mapInArrow(run, "what string, table string, path string").distinct()
+    return layout_of((tuple(r) for r in found.collect()), nest)
 
 
 def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str], ...] = NEST) -> DataFrame:
@@ -233,7 +366,6 @@ def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str
     """
     numbers = [f"{entry}_no" for _, entry in nest]
     schema = f"`{row_id}` {dict(df.dtypes)[row_id]}, " + ", ".join(f"`{n}` long" for n in numbers) + ", leaves array<struct<path:string,value_no:long,value:string>>"
-    above = [level_path(depth, nest) for depth in range(len(nest) + 1)]
     leaf = pa.list_(pa.struct([("path", pa.string()), ("value_no", pa.int64()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,50 +374,75 @@ def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str
                 part = batch.slice(start, 1000)
                 ids, at, leaves = [], [[] for _ in nest], []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for where, row in pivot(triples(text, nest) or []).items():
+                    for (table, where), row in pivot(triples(text, nest) or []).items():
                         if row:
                             ids.append(key)
                             for n, numbers_of in enumerate(at):
                                 numbers_of.append(where[n] if n < len(where) else 0)
-                            leaves.append([{"path": above[len(where)] + path, "value_no": n, "value": v} for path, values in row.items() for n, v in enumerate(values, 1)])
+                            leaves.append([{"path": joined(table, path), "value_no": n, "value": v} for path, values in row.items() for n, v in enumerate(values, 1)])
                 columns = [pa.array(ids, batch.schema.field(0).type), *(pa.array(a, pa.int64()) for a in at), pa.array(leaves, leaf)]
                 yield pa.RecordBatch.from_arrays(columns, [row_id, *numbers, "leaves"])
 
     return df.select(row_id, payload).mapInArrow(run, schema)
 
 
-def flatten(df: DataFrame, row_id: str, payload: str, fields: bool = True, nest: tuple[tuple[str, str], ...] = NEST, tables: tuple[str, ...] = TABLES) -> DataFrame:
-    """One row per entry of each level: ``row_id``, its table, its number in each level (0 below its own), its fields.
+def flatten(df: DataFrame, row_id: str, payload: str, fields: bool = True, layout: Layout | None = None, nest: tuple[tuple[str, str], ...] = NEST, tables: tuple[str, ...] = TABLES) -> DataFrame:
+    """One row per entry of each level: ``row_id``, its table, its number in each declared level (0 below its own), its fields.
 
     ``fields`` maps each path to its value; several values of a path become a JSON list. Without
-    ``fields`` the column is left out. Payloads that are not well-formed and those without entries
-    give no rows; repeated records give their rows again. Other columns of ``df`` are dropped.
+    ``fields`` the column is left out. With a ``layout`` every repeated ancestor has a table of its
+    own, called by its whole path, and ``ordinals`` has the numbers of an entry in all tables above
+    and its own; without its last it is the ``ordinals`` of the entry's parent. Payloads that are not
+    well-formed and those without entries give no rows; repeated records give their rows again. Other
+    columns of ``df`` are dropped.
     """
     numbers = [f"{entry}_no" for _, entry in nest]
     kind = dict(df.dtypes)[row_id]
-    schema = f"`{row_id}` {kind}, level_table string, " + ", ".join(f"`{n}` long" for n in numbers) + (", fields map<string,string>" if fields else "")
-    source = df.select(row_id, payload)
+    extra = layout.extra if layout else frozenset()
+    columns = [("ordinals", "array<long>", pa.list_(pa.int64()))] * (layout is not None) + [("fields", "map<string,string>", pa.map_(pa.string(), pa.string()))] * fields
+    schema = f"`{row_id}` {kind}, level_table string, " + ", ".join([*(f"`{n}` long" for n in numbers), *(f"{n} {t}" for n, t, _ in columns)])
+    called = declared(nest, tables)
+    depths = {table: depth for depth, table in enumerate(called, 1)}
+    for table in sorted(extra, key=len):
+        depths[table] = max((d for t, d in depths.items() if t in called and (not t or table.startswith(t + "/"))), default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, levels, at, maps = [], [], [[] for _ in nest], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = triples(text, nest)
-                for where, row in (pivot(found) if found else {}).items():
-                    ids.append(key)
-                    levels.append(tables[len(where) - 1])
-                    for n, numbers_of in enumerate(at):
-                        numbers_of.append(where[n] if n < len(where) else 0)
-                    if fields:
-                        maps.append([(k, v[0] if len(v) == 1 else json.dumps(v, ensure_ascii=False)) for k, v in row.items()])
-            columns = [pa.array(ids, batch.schema.field(0).type), pa.array(levels, pa.string()), *(pa.array(a, pa.int64()) for a in at)]
-            if fields:
-                columns.append(pa.array(maps, pa.map_(pa.string(), pa.string())))
-            yield pa.RecordBatch.from_arrays(columns, [row_id, "level_table", *numbers, *(["fields"] if fields else [])])
-
-    return source.mapInArrow(run, schema)
+            for start in range(0, len(batch), 1000):
+                part = batch.slice(start, 1000)
+                ids, levels, at, more = [], [], [[] for _ in nest], {n: [] for n, _, _ in columns}
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    for (table, where), row in pivot(triples(text, nest, extra) or []).items():
+                        ids.append(key)
+                        levels.append(called.get(table, table))
+                        for n, numbers_of in enumerate(at):
+                            numbers_of.append(where[n] if n < depths[table] else 0)
+                        if layout:
+                            more["ordinals"].append(where)
+                        if fields:
+                            more["fields"].append([(k, v[0] if len(v) == 1 else json.dumps(v, ensure_ascii=False)) for k, v in row.items()])
+                arrays = [pa.array(ids, part.schema.field(0).type), pa.array(levels, pa.string()), *(pa.array(a, pa.int64()) for a in at), *(pa.array(more[n], t) for n, _, t in columns)]
+                yield pa.RecordBatch.from_arrays(arrays, [row_id, "level_table", *numbers, *(n for n, _, _ in columns)])
+
+    return df.select(row_id, payload).mapInArrow(run, schema)
 
 
 def level(flat: DataFrame, name: str) -> DataFrame:
     """The table of one level out of ``flatten``."""
     return flat.filter(flat.level_table == name).drop("level_table")
+
+
+def wide(flat: DataFrame, layout: Layout, path: str, tables: tuple[str, ...] = TABLES, nest: tuple[tuple[str, str], ...] = NEST) -> DataFrame:
+    """The table at ``path`` out of ``flatten``, with a column for each of its fields.
+
+    Names that differ in letter case only are one column, in the spelling that sorts first; a field
+    that is called like a link column gets ``_field`` behind its name.
+    """
+    own = level(flat, declared(nest, tables).get(path, path))
+    links = [c for c in own.columns if c != "fields"]
+    by_name: dict[str, list[str]] = {}
+    for name in layout.fields[path]:
+        by_name.setdefault(name.lower(), []).append(name)
+    taken = {c.lower() for c in links}
+    columns = [F.coalesce(*(F.try_element_at("fields", F.lit(n)) for n in names)).alias(names[0] + "_field" * (key in taken)) for key, names in by_name.items()]
+    return own.select(*links, *columns)

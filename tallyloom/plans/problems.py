@@ -103,19 +103,35 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("response_id", "item_no", "major_no", "quota_no")
 
 
-def _p5_level(name: str, numbers: list[str], fields: list[str]):
+def _p5_level(path: str, numbers: list[str]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        flat = nested.flatten(table(spark, sf_dir, "raw_responses", "response_id", "payload"), "response_id", "payload")
-        return nested.level(flat, name).select("response_id", *numbers, *(F.try_element_at("fields", F.lit(f)).alias(f) for f in fields))
+        """A declared level with a column for each field that any response has there."""
+        responses = table(spark, sf_dir, "raw_responses", "response_id", "payload")
+        layout = nested.discover(responses, "payload")
+        flat = nested.flatten(responses, "response_id", "payload", layout=layout)
+        return nested.wide(flat, layout, path).drop("ordinals", *({"item_no", "major_no", "quota_no"} - set(numbers)))
 
     return query
 
 
-p5_items = _p5_level("items", ["item_no"], ["svyYr", "indctId", "schlId", "schlNmKr", "znNm", "rmkList/item"])
-p5_majors = _p5_level("majors", ["item_no", "major_no"], ["mjrNm", "mjrCd"])
-p5_quotas = _p5_level("quotas", ["item_no", "major_no", "quota_no"], ["grd", "qotaCnt"])
+p5_items = _p5_level("", ["item_no"])
+p5_majors = _p5_level("majorList/major", ["item_no", "major_no"])
+p5_quotas = _p5_level("majorList/major/quotaList/quota", ["item_no", "major_no", "quota_no"])
 
-QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
+
+def p5_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of the responses: what lies above each, its rows, and the fields that they fill."""
+    responses = table(spark, sf_dir, "raw_responses", "response_id", "payload")
+    layout = nested.discover(responses, "payload")
+    names = nested.declared()
+    above = spark.createDataFrame([(names.get(t, t), names.get(p, p)) for t, p in layout.parents.items()], "level_table string, parent_table string")
+    flat = nested.flatten(responses, "response_id", "payload", layout=layout)
+    filled = flat.select("level_table", F.explode_outer(F.map_keys("fields")).alias("field"), "fields").groupBy("level_table", "field").agg(F.count("*").alias("entries"))
+    rows = flat.groupBy("level_table").agg(F.count("*").alias("rows"))
+    return rows.join(above, "level_table", "left").join(filled.filter("field is not null"), "level_table", "left").select("level_table", "parent_table", "rows", "field", "entries")
+
+
+QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p5_tables": p5_tables, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
 
 
 def _sql_path(column: str) -> str:

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyloom.operators.nested import flatten, level, pivot, triples
+from tallyloom.operators.nested import discover, elements, flatten, level, pivot, triples, wide
 
 ITEM = st.fixed_dictionaries({"a": st.text("xy<&", max_size=3), "majors": st.none() | st.lists(st.fixed_dictionaries({"n": st.text("pq", min_size=1, max_size=2), "quotas": st.none() | st.lists(st.integers(0, 9), max_size=3)}), max_size=3), "rmk": st.none() | st.lists(st.text("rs", min_size=1, max_size=2), max_size=2)})
 
@@ -54,10 +54,11 @@ def as_json(items, bare, inner):
 def test_shapes(items, flag, inner):
     for text in (as_xml(items), as_xml(items, "c"), as_json(items, flag, inner)):
         rows = pivot(triples(text))
-        assert set(rows) == wanted(items)
+        assert {at for _, at in rows} == wanted(items)
+        assert {table for table, _ in rows} <= {"", "majorList/major", "majorList/major/quotaList/quota"}
         for i, item in enumerate(items, 1):
-            assert rows[(i,)]["a"] == [item["a"].strip()]
-            assert rows[(i,)].get("rmkList/item", []) == (item["rmk"] or [])
+            assert rows["", (i,)]["a"] == [item["a"].strip()]
+            assert rows["", (i,)].get("rmkList/item", []) == (item["rmk"] or [])
 
 
 def test_cut_payloads():
@@ -85,3 +86,30 @@ def test_flatten(spark, rows):
     assert first.fields == {"a": "1", "rmkList/item": '["r", "s"]'}
     assert level(flat, "quotas").first().fields == {"grd": "7"}
     assert flatten(df.limit(0), "response_id", "payload", fields=False).count() == 0
+
+
+KIDS = "<r><items><item><a>1</a><kids><kid><x>1</x></kid><kid><y>2</y><pet><n>p</n></pet><pet><n>q</n></pet></kid></kids></item><item><kids><kid>plain</kid></kids><rmk><item>r</item><item>s</item></rmk></item></items></r>"
+
+
+def test_repeated_lists_become_tables(spark, rows):
+    texts = [(1, KIDS), (2, '{"items": [{"a": "2", "kids": {"kid": {"X": "7", "item_no": "n"}}, "A": "3"}]}'), (3, "<broken>"), (4, None)]
+    df = spark.createDataFrame(texts, "response_id long, payload string").withColumns({"ordinals": F.lit(1), "fields": F.lit(2)})
+    layout = discover(df, "payload")
+    assert layout.extra == {"kids/kid", "kids/kid/pet"} and layout.parents["kids/kid/pet"] == "kids/kid" and layout.parents["kids/kid"] == ""
+    assert layout.fields[""] == ("A", "a", "rmk/item") and layout.fields["kids/kid"] == ("#text", "X", "item_no", "x", "y")
+    flat = flatten(df, "response_id", "payload", layout=layout)
+    assert rows(flat, "response_id", "level_table", "item_no", "major_no", "ordinals") == sorted([
+        (1, "items", 1, 0, [1]), (1, "kids/kid", 1, 0, [1, 1]), (1, "kids/kid", 1, 0, [1, 2]), (1, "kids/kid/pet", 1, 0, [1, 2, 1]), (1, "kids/kid/pet", 1, 0, [1, 2, 2]),
+        (1, "items", 2, 0, [2]), (1, "kids/kid", 2, 0, [2, 1]), (2, "items", 1, 0, [1]), (2, "kids/kid", 1, 0, [1, 1]),
+    ], key=repr)
+    kids = wide(flat, layout, "kids/kid")
+    assert kids.columns == ["response_id", "item_no", "major_no", "quota_no", "ordinals", "#text", "X", "item_no_field", "y"]
+    assert rows(kids, "`#text`", "X", "item_no_field", "y") == sorted([(None, "1", None, None), (None, None, None, "2"), ("plain", None, None, None), (None, "7", "n", None)], key=repr)
+    assert rows(wide(flat, layout, ""), "A", "`rmk/item`") == sorted([("1", None), (None, '["r", "s"]'), ("3", None)], key=repr)
+    empty = discover(df.limit(0), "payload")
+    assert empty.extra == frozenset() and flatten(df.limit(0), "response_id", "payload", layout=empty).count() == 0
+
+
+def test_elements():
+    assert list(elements("<r> x <a>1</a><a> 2<b/>3</a></r>")) == [(("r",), (1,), "x"), (("r", "a"), (1, 1), "1"), (("r", "a"), (1, 2), "2"), (("r", "a", "b"), (1, 2, 1), "")]
+    assert len(list(elements("<r>" + "<a>가</a>" * 50_000 + "</r>"))) == 50_001
