@@ -15,16 +15,17 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import date
 from zlib import crc32
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import cut
 from tallyloom.operators.nested import NEST, joined, local_name, pivot, triples
+from tallyloom.operators.skew import small
 
 #: How alike the contents of two fields must be for a renaming, and their names where there are no contents.
 LIKE_CONTENT = 0.5
@@ -54,6 +55,16 @@ def kind_of(value: str) -> str | None:
     return "date" if _DATE.fullmatch(value) else "text"
 
 
+def magnitude(value: str) -> float:
+    """The binary logarithm of one more than a number's size, also where the number is beyond any float."""
+    size = abs(float(value))
+    if size < math.inf:
+        return math.log2(1 + size)
+    mantissa, _, exponent = value.lower().partition("e")
+    digits = mantissa.lstrip("+-").partition(".")[0].lstrip("0")
+    return (len(digits) + min(float(exponent or 0), 1e100)) * math.log2(10) + math.log2(float(f"0.{digits}"))
+
+
 def marks_of(values: set[str]) -> dict[str, float]:
     """What a set of values adds to the profile of its field: kinds, moments of magnitudes and of dates in years, letter pairs."""
     out: dict[str, float] = defaultdict(float)
@@ -63,7 +74,7 @@ def marks_of(values: set[str]) -> dict[str, float]:
             continue
         out[f"kind {kind}"] += 1
         if kind in ("integer", "decimal"):
-            size = math.log2(1 + min(abs(float(value[:300])), 1e300))
+            size = magnitude(value)
             for power in range(3):
                 out[f"{kind} {power}"] += size**power
         elif kind == "date":
@@ -181,67 +192,153 @@ def fused_schema(facts: DataFrame, values: DataFrame, keys: list[str]) -> DataFr
     return seen.join(kinds, [*keys, "period", "field"], "left").withColumn("kind", one)
 
 
-def _profiles(fields: DataFrame, values: DataFrame, keys: list[str], nearness: Column, where: str) -> DataFrame:
-    """The profile of each of ``fields`` over the periods of ``values`` (``at``) that ``where`` selects; its kind is that of the nearest period."""
-    kind = F.substring("mark", 6, 20)
-    is_kind = F.col("mark").startswith("kind ")
-    rows = fields.join(values.withColumnRenamed("period", "at"), [*keys, "field"]).filter(where)
-    profile = rows.groupBy(*keys, "period", "field").agg(
-        F.max_by(F.when(is_kind, kind), F.when(is_kind, F.struct(nearness, "weight", kind))).alias("kind"),
-        *(F.sum(F.when(F.col("mark") == f"{k} {power}", F.col("weight"))).alias(f"{k} {power}") for k in ("integer", "decimal", "date") for power in range(3)),
-        *(F.sum(F.when(F.col("mark") == f"date {power}", F.col("weight") * F.pow("at", F.lit(by)))).alias(f"date {power} at {by}") for power, by in ((0, 1), (0, 2), (1, 1))),
-    )
-    of_kind = lambda power: F.when(F.col("kind").isin("integer", "date"), F.when(F.col("kind") == "integer", F.col(f"integer {power}")).otherwise(F.col(f"date {power}"))).otherwise(F.col(f"decimal {power}"))
-    moments = [of_kind(power).alias(name) for power, name in enumerate(("n", "s", "ss"))]
-    since = [(F.col("date 1") - F.col("date 0 at 1")).alias("since_s"), (F.col("date 2") - 2 * F.col("date 1 at 1") + F.col("date 0 at 2")).alias("since_ss")]
-    profile = profile.select(*keys, "period", "field", "kind", *moments, *since)
-    pairs = rows.filter("mark like 'pair %'").groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
-    maps = pairs.groupBy(*keys, "period", "field").agg(F.map_from_entries(F.collect_list(F.struct("mark", "weight"))).alias("pairs"))
-    same = [*keys, "period", "field"]
-    return fields.select(*same).join(profile, same, "left").join(maps, same, "left")
-
-
-def _likeness() -> Column:
-    """How alike two contents of the same kind are: magnitudes of numbers, letter pairs of texts, dates.
-
-    Dates are alike if they are near each other in years, or if they go along with the periods, taken as years.
+def _distance(a: str, b: str) -> int:
+    """How many letters must be changed, added or taken away to turn one name into the other."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+class Content:
+    """What the values of a field are like over some periods: the kind at the period ``nearest``, sums for the rest."""
+
+    def __init__(self, marks: dict[int, dict[str, float]], periods: Iterable[int], nearest: int) -> None:
+        self.kind: str | None = None
+        self.sums: dict[str, float] = defaultdict(float)
+        best = None
+        for at in periods:
+            for mark, weight in marks.get(at, {}).items():
+                if mark.startswith("kind "):
+                    best = max(filter(None, (best, (-abs(at - nearest), weight, mark[5:]))))
+                self.sums[mark] += weight
+                if mark.startswith("date "):
+                    self.sums[f"{mark} at 1"] += weight * at
+                    self.sums[f"{mark} at 2"] += weight * at * at
+        if best:
+            self.kind = best[2]
+
+    def moments(self) -> list[tuple[float, float]]:
+        """Mean and variance of the magnitudes of numbers; of dates in years, and of their distance from the periods."""
+        s, k = self.sums, self.kind
+        n = s.get(f"{k} 0", 0.0)
+        if not n:
+            return []
+        out = [(s[f"{k} 1"], s[f"{k} 2"])]
+        if k == "date":
+            out.append((s["date 1"] - s["date 0 at 1"], s["date 2"] - 2 * s["date 1 at 1"] + s["date 0 at 2"]))
+        return [(a / n, max(b / n - (a / n) ** 2, 0.0)) for a, b in out]
+
+
+def likeness(a: Content, b: Content) -> float | None:
+    """How alike two contents are, from 0 to 1; -1 for different kinds, None where there is nothing to compare.
+
+    Numbers are compared by their magnitudes, texts by their letter pairs. Dates are alike if they are
+    near each other in years, or if they go along with the periods, taken as years.
     """
-
-    def near(s: str, ss: str) -> Column:
-        mean_a, mean_b = F.col(f"a.{s}") / F.col("a.n"), F.col(f"b.{s}") / F.col("b.n")
-        spread = (F.greatest(F.col(f"a.{ss}") / F.col("a.n") - mean_a * mean_a, F.lit(0.0)) + F.greatest(F.col(f"b.{ss}") / F.col("b.n") - mean_b * mean_b, F.lit(0.0))) / 2 + 0.02
-        return F.exp(-(mean_a - mean_b) * (mean_a - mean_b) / (4 * spread))
-
-    numbers = near("s", "ss")
-    dates = F.greatest(numbers, near("since_s", "since_ss"))
-    zero = F.lit(0.0)
-    dot = F.aggregate(F.map_entries("a.pairs"), zero, lambda t, e: t + e["value"] * F.coalesce(F.try_element_at(F.col("b.pairs"), e["key"]), zero))
-    norm = lambda side: F.sqrt(F.aggregate(F.map_values(f"{side}.pairs"), zero, lambda t, w: t + w * w))
-    texts = F.when((norm("a") > 0) & (norm("b") > 0), dot / (norm("a") * norm("b")))
-    return F.when(F.col("a.kind") == "text", texts).when(F.col("a.kind") == "date", dates).otherwise(numbers)
+    if a.kind is None or b.kind is None:
+        return None
+    if a.kind != b.kind:
+        return -1.0
+    if a.kind == "text":
+        pairs = [{m: w for m, w in c.sums.items() if m.startswith("pair ")} for c in (a, b)]
+        norm = math.prod(math.sqrt(sum(w * w for w in p.values())) for p in pairs)
+        return sum(w * pairs[1].get(m, 0.0) for m, w in pairs[0].items()) / norm if norm else None
+    near = [math.exp(-((m - n) ** 2) / (4 * ((u + v) / 2 + 0.02))) for (m, u), (n, v) in zip(a.moments(), b.moments(), strict=True)] if a.moments() and b.moments() else []
+    return max(near, default=None)
 
 
-def renamings(gone: DataFrame, come: DataFrame, values: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, ``period``, ``field``, ``new_field``: vanished fields whose content goes on under a new name.
+def matched(scores: dict[tuple[str, str], float]) -> list[tuple[str, str]]:
+    """Pairs of old and new names, each name once, with the largest sum of scores; ties go to the names that sort first.
 
-    ``before`` gives the period before each. A vanished and an appearing field of the same dataset and
-    period are compared by the content of their values in all periods before and after, if they are of
-    one kind at the change; where either has no values, by their names.
-    The pairs are taken most alike first, each field once. The fields of a dataset bound the pairs.
+    Each new pair is reached over the best chain of exchanges from the pairs so far (augmenting paths), so
+    no exchange of partners can raise the sum in the end.
+    """
+    olds, news = sorted({a for a, _ in scores}), sorted({b for _, b in scores})
+    partner: dict[str, str] = {}  # by new name
+    while True:
+        gain = {a: (0.0, [a]) for a in olds if a not in partner.values()}
+        best: tuple[float, list[str]] | None = None
+        for _ in range(len(olds)):
+            reached: dict[str, tuple[float, list[str]]] = {}
+            for a, (g, way) in gain.items():
+                for b in news:
+                    if (a, b) in scores and partner.get(b) != a:
+                        total = g + scores[a, b]
+                        if b not in partner:
+                            if best is None or total > best[0] + 1e-12:
+                                best = (total, [*way, b])
+                        elif partner[b] not in way:
+                            total -= scores[partner[b], b]
+                            if total > max(reached.get(partner[b], (-math.inf,))[0], gain.get(partner[b], (-math.inf,))[0]) + 1e-12:
+                                reached[partner[b]] = (total, [*way, b, partner[b]])
+            if not reached:
+                break
+            gain |= reached
+        if best is None or best[0] <= 0:
+            return sorted((a, b) for b, a in partner.items())
+        partner |= {b: a for a, b in zip(best[1][::2], best[1][1::2], strict=True)}
+
+
+def renamed_fields(gone: set[str], come: set[str], marks: dict[str, dict[int, dict[str, float]]], previous: int, period: int) -> dict[str, str]:
+    """The fields of ``gone`` whose content goes on under a name of ``come``.
+
+    Contents are those of all periods up to ``previous`` and from ``period`` on, if they are of one kind
+    at the change; where either has no values, the names decide. The pairs with the largest sum of
+    likenesses are taken, each field once. The fields of a dataset bound the pairs.
+    """
+    sides = []
+    for fields, here in ((gone, lambda at: at <= previous), (come, lambda at: at >= period)):
+        nearest = previous if fields is gone else period
+        sides.append({f: Content(marks.get(f, {}), filter(here, marks.get(f, {})), nearest) for f in fields})
+    scores = {}
+    for old, a in sides[0].items():
+        for new, b in sides[1].items():
+            names = 1 - _distance(old, new) / max(len(old), len(new))
+            content = likeness(a, b)
+            if (names >= LIKE_NAME) if content is None else (content >= LIKE_CONTENT):
+                scores[old, new] = (content or 0.0) + names / 4
+    return dict(matched(scores))
+
+
+def kind_of_all(kinds: Iterable[str]) -> str | None:
+    """The one kind of all values: decimal for integers among decimals; None for no values and other mixtures."""
+    found = set(kinds)
+    return "decimal" if found == {"decimal", "integer"} else found.pop() if len(found) == 1 else None
+
+
+def dataset_changes(facts: Iterable[tuple[int, str, str, float]]) -> list[tuple[int, str, str, str]]:
+    """The changes of one dataset: period, kind of change, field, new field (empty but for ``renamed``).
+
+    ``facts`` has period, field, mark and weight; the mark ``listed`` says that the field was listed.
     """
-    old = _profiles(gone.join(before, [*keys, "period"]), values, keys, F.col("at"), "at <= previous")
-    new = _profiles(come, values, keys, -F.col("at"), "at >= period")
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "period"]]
-    pairs = old.alias("a").join(new.alias("b"), on)
-    names = 1 - F.levenshtein(F.col("a.field"), F.col("b.field")) / F.greatest(F.length("a.field"), F.length("b.field"))
-    content = F.when(F.col("a.kind") == F.col("b.kind"), _likeness()).when(F.col("a.kind").isNotNull() & F.col("b.kind").isNotNull(), -1.0)
-    scored = pairs.select(*[F.col(f"a.{k}") for k in [*keys, "period"]], F.col("a.field").alias("field"), F.col("b.field").alias("new_field"), content.alias("content"), names.alias("names"))
-    fit = scored.filter(F.when(F.col("content").isNotNull(), F.col("content") >= LIKE_CONTENT).otherwise(F.col("names") >= LIKE_NAME))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.coalesce("content", F.lit(0.0)) - F.col("names") / 4).alias("cost"), "field", "new_field")))
-    none = F.slice(F.col("ranked"), 1, 0)
-    taken = F.aggregate("ranked", none, lambda done, x: F.when(F.exists(done, lambda y: (y["field"] == x["field"]) | (y["new_field"] == x["new_field"])), done).otherwise(F.concat(done, F.array(x))))
-    chosen = fit.groupBy(*keys, "period").agg(ranked.alias("ranked")).select(*keys, "period", F.explode(taken).alias("x"))
-    return chosen.select(*keys, "period", "x.field", "x.new_field")
+    marks: dict[str, dict[int, dict[str, float]]] = defaultdict(lambda: defaultdict(dict))
+    listed: dict[int, set[str]] = defaultdict(set)
+    for period, field, mark, weight in facts:
+        if mark == "listed":
+            listed[period].add(field)
+        else:
+            marks[field][period][mark] = weight
+    periods = sorted(listed)
+    out: list[tuple[int, str, str, str]] = []
+    for previous, period in zip(periods, periods[1:], strict=False):
+        gone, come = listed[previous] - listed[period], listed[period] - listed[previous]
+        renamed = renamed_fields(gone, come, marks, previous, period)
+        out += [(period, "renamed", old, new) for old, new in renamed.items()]
+        out += [(period, "removed", f, "") for f in gone - set(renamed)] + [(period, "added", f, "") for f in come - set(renamed.values())]
+    for field, by_period in marks.items():
+        root = field if any(field in names for names in listed.values()) else field.partition("/")[0]
+        was = None
+        for period in periods:
+            if root not in listed[period]:
+                was = None
+            elif kind := kind_of_all(m[5:] for m in by_period.get(period, ()) if m.startswith("kind ")):
+                if was and was != kind:
+                    out.append((period, "retyped", field, ""))
+                was = kind
+    return sorted(out)
 
 
 def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
@@ -251,33 +348,19 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
     of a change is the first with the new state. For a change of kind, periods without values or with
     mixed kinds are passed over, and the field must have been there in between. Leaves inside entries
     are in no listing, so of them only changes of kind are found, while the field around them is listed.
+    The facts about a dataset, bounded by its periods, fields and classes of marks, meet in one task.
     """
-    schema = cut(fused_schema(facts, values, keys))  # as small as the report, and read many times
-    in_order = Window.partitionBy(*keys).orderBy("period")
-    listed = schema.filter("listings > 0")
-    periods = listed.select(*keys, "period").distinct()
-    steps = periods.select(*keys, "period", F.lag("period").over(in_order).alias("previous"), F.row_number().over(in_order).alias("step"))
-    before = steps.filter("previous is not null").select(*keys, "period", "previous")
-    here = listed.select(*keys, "period", "field")
-    then = here.withColumnRenamed("period", "previous").join(before, [*keys, "previous"]).select(*keys, "period", "field")
-    gone = cut(then.join(here, [*keys, "period", "field"], "left_anti"))
-    come = here.join(before.drop("previous"), [*keys, "period"], "left_semi").join(then, [*keys, "period", "field"], "left_anti")
-    come = cut(come)
-    renamed = cut(renamings(gone, come, values, before, keys))
-    empty = F.lit(None).cast("string")
-    kept = Window.partitionBy(*keys, "field").orderBy("step")
-    stepped = listed.join(steps.select(*keys, "period", "step"), [*keys, "period"])
-    there = stepped.select(*keys, "period", F.col("field").alias("root"), "step", (F.col("step") - F.row_number().over(kept)).alias("run"))
-    root = F.when(F.col("listings") > 0, F.col("field")).otherwise(F.substring_index("field", "/", 1))
-    runs = schema.filter("kind is not null").withColumn("root", root).join(there, [*keys, "period", "root"])
-    turned = runs.withColumn("was", F.lag("kind").over(Window.partitionBy(*keys, "field", "run").orderBy("step"))).filter("was <> kind")
-    same_old = [*keys, "period", "field"]
-    changes = (
-        renamed.select(*keys, "period", F.lit("renamed").alias("change_kind"), "field", "new_field")
-        .unionByName(gone.join(renamed, same_old, "left_anti").select(*keys, "period", F.lit("removed").alias("change_kind"), "field", empty.alias("new_field")))
-        .unionByName(come.join(renamed.select(*keys, "period", F.col("new_field").alias("field")), same_old, "left_anti").select(*keys, "period", F.lit("added").alias("change_kind"), "field", empty.alias("new_field")))
-        .unionByName(turned.select(*keys, "period", F.lit("retyped").alias("change_kind"), "field", empty.alias("new_field")))
-    )
+    of = dict(facts.dtypes)
+    listed = facts.select(*keys, "period", "field", F.lit("listed").alias("mark"), F.col("listings").cast("double").alias("weight"))
+    marks = values.filter("mark not like 'as %'").select(*keys, "period", "field", "mark", "weight")
+    summed = listed.unionByName(marks).groupBy(*keys, "period", "field", "mark").agg(F.sum("weight").alias("weight"))
+
+    def report(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = dataset_changes(pdf[["period", "field", "mark", "weight"]].itertuples(index=False, name=None))
+        return pd.DataFrame([(*key, *change) for change in found], columns=[*keys, "period", "change_kind", "field", "new_field"])
+
+    schema = ", ".join(f"`{k}` {of[k]}" for k in [*keys, "period"]) + ", change_kind string, field string, new_field string"
+    changes = summed.groupBy(*keys).applyInPandas(report, schema)
     usual = usual_paths(facts, values)
     return (
         changes.join(usual, "field").withColumnRenamed("usual", "field_name")
@@ -286,14 +369,36 @@ def schema_changes(facts: DataFrame, values: DataFrame, keys: list[str]) -> Data
     )
 
 
-def final_names(changes: DataFrame, keys: list[str], steps: int = 3) -> DataFrame:
-    """``keys``, ``field`` (lower case), ``final``: the last name of each renamed field, through ``steps`` further renamings."""
-    once = changes.filter("change_kind = 'renamed'").groupBy(*keys, F.lower("field_name").alias("field")).agg(F.max_by("new_name", "period").alias("final"))
-    out = once
-    for _ in range(steps):
-        on = once.select(*keys, F.col("field").alias("next"), F.col("final").alias("further"))
-        out = out.withColumn("next", F.lower("final")).join(on, [*keys, "next"], "left").select(*keys, "field", F.coalesce("further", "final").alias("final"))
-    return out
+def appearing_alternatives(schema: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, ``period``, ``field``, ``alternative``, ``before``: each kind that the values of a field take on in a period and had not in the one before.
+
+    ``schema`` is ``fused_schema``. Periods in which a field has no values are passed over, and its first
+    period with values is no change. Unlike a change of kind it is told of mixtures too; integers are
+    no alternative to decimals.
+    """
+    order = Window.partitionBy(*keys, "field").orderBy("period")
+    known = schema.filter("size(alternatives) > 0").select(*keys, "period", "field", "alternatives")
+    then = known.withColumn("before", F.lag("alternatives").over(order)).filter("before is not null")
+    new = F.array_except("alternatives", F.when(F.array_contains("before", "decimal"), F.array_append("before", F.lit("integer"))).otherwise(F.col("before")))
+    return then.select(*keys, "period", "field", F.explode(new).alias("alternative"), "before")
+
+
+def final_names(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, ``field`` (lower case), ``since``, ``until``, ``final``: the last name of a field, called ``field`` in the periods from ``since`` to before ``until``.
+
+    The renamings of a dataset, bounded by its fields and periods, are followed in the order of their
+    periods, at most one a period, from each name on; a name that is given back or used again has
+    one row for each time. ``since`` is null for the first.
+    """
+    step = F.struct(F.col("period").alias("at"), F.lower("field_name").alias("old"), F.lower("new_name").alias("new"), F.col("new_name").alias("name"))
+    each = changes.filter("change_kind = 'renamed'").select(*keys, step.alias("step"))
+    ways = each.groupBy(*keys).agg(F.array_sort(F.collect_set("step")).alias("steps"))
+    start = F.struct(F.col("step.at").alias("at"), F.col("step.new").alias("new"), F.col("step.name").alias("name"))
+    on = lambda done, x: F.when((x["old"] == done["new"]) & (x["at"] > done["at"]), F.struct(x["at"].alias("at"), x["new"].alias("new"), x["name"].alias("name"))).otherwise(done)
+    last = F.aggregate("steps", start, on)
+    once = ways.select(*keys, "steps", F.explode("steps").alias("step")).select(*keys, F.col("step.old").alias("field"), F.col("step.at").alias("until"), last["name"].alias("final"))
+    earlier = F.lag("until").over(Window.partitionBy(*keys, "field").orderBy("until"))
+    return once.select(*keys, "field", earlier.alias("since"), "until", "final")
 
 
 def typed_values(items: DataFrame, value: str = "value") -> DataFrame:
@@ -303,29 +408,33 @@ def typed_values(items: DataFrame, value: str = "value") -> DataFrame:
     """
     text = F.trim(value)
     known = F.when((text != "") & (text != "-"), text)
-    integer = F.when(known.rlike(f"^(?:{_INTEGER.pattern})$"), known.try_cast("bigint"))
-    decimal = F.when(known.rlike(f"^(?:{_DECIMAL.pattern})$"), known.try_cast("decimal(38,10)"))
-    date = F.when(known.rlike(f"^(?:{_DATE.pattern})$"), known.try_cast("date"))
-    return items.withColumns({"canonical": known, "as_integer": integer, "as_decimal": decimal, "as_date": date, "as_text": F.when(F.coalesce(integer.cast("string"), decimal.cast("string"), date.cast("string")).isNull(), known)})
+    of = lambda kind, cast: F.when(F.col("canonical").rlike(f"^(?:{kind.pattern})$"), F.col("canonical").try_cast(cast))
+    typed = items.withColumn("canonical", known).withColumns({"as_integer": of(_INTEGER, "bigint"), "as_decimal": of(_DECIMAL, "decimal(38,10)"), "as_date": of(_DATE, "date")})
+    return typed.withColumn("as_text", F.when(F.col("as_integer").isNull() & F.col("as_decimal").isNull() & F.col("as_date").isNull(), F.col("canonical")))
 
 
 def final_paths(renamed: DataFrame, values: DataFrame, usual: DataFrame, keys: list[str]) -> DataFrame:
     """``renamed``, the ``final_names``, and the leaves inside entries, whose paths begin with the last name of the listed field, in the usual spelling there."""
     inside = values.filter("field like '%/%'").select(*keys, "field").distinct().withColumn("root", F.substring_index("field", "/", 1))
-    moved = inside.join(renamed.select(*keys, F.col("field").alias("root"), "final"), [*keys, "root"]).join(usual, "field", "left")
-    path = moved.select(*keys, F.col("field").alias("was"), F.concat("final", _after_root("coalesce(usual, field)")).alias("path")).withColumn("field", F.lower("path"))
-    return renamed.unionByName(path.join(usual, "field", "left").select(*keys, F.col("was").alias("field"), F.coalesce("usual", "path").alias("final")))
+    moved = inside.join(renamed.select(*keys, F.col("field").alias("root"), "since", "until", "final"), [*keys, "root"]).join(usual, "field", "left")
+    path = moved.select(*keys, F.col("field").alias("was"), "since", "until", F.concat("final", _after_root("coalesce(usual, field)")).alias("path")).withColumn("field", F.lower("path"))
+    return renamed.unionByName(path.join(usual, "field", "left").select(*keys, F.col("was").alias("field"), "since", "until", F.coalesce("usual", "path").alias("final")))
 
 
 def unified(items: DataFrame, renamed: DataFrame, usual: DataFrame, keys: list[str]) -> DataFrame:
     """One consistent table of ``keys``, ``period``, ``file_key``, the numbers of the entry, ``field``, ``value_no`` and the typed values.
 
-    ``items`` has the ``entries`` of all levels, with names as they came; a field goes by its last
-    name in its usual spelling, a leaf inside an entry by its whole path (``usual_paths``,
-    ``final_paths``). The values of a list are rows of their own, numbered by ``value_no``.
+    ``items`` has the ``entries`` of all levels; a field goes by its last name in its usual spelling, a
+    leaf inside an entry by its whole path (``usual_paths``, ``final_paths``). The values of a list are
+    rows of their own, numbered by ``value_no``. Rows of no known dataset or period stay, their fields
+    under the names that they have.
     """
     place = ["period", "file_key", *(f"{entry}_no" for _, entry in NEST)]
-    each = items.select(*keys, *place, F.inline("leaves")).withColumn("field", F.lower(plain_name(F.col("path"))))
-    named = each.join(renamed, [*keys, "field"], "left").join(usual, "field", "left")
-    final = F.coalesce("final", "usual", plain_name(F.col("path")))
+    each = items.select(*keys, *place, F.inline("leaves")).withColumn("field", F.lower("path"))
+    r = renamed.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("field").alias("_field"), "since", "until", "final")
+    same = (F.col("field") == F.col("_field")) & (F.col("period") < F.col("until")) & (F.col("since").isNull() | (F.col("period") >= F.col("since")))
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    named = each.join(small(r), same, "left").join(small(usual), "field", "left")
+    final = F.coalesce("final", "usual", "path")
     return typed_values(named.select(*keys, *place, final.alias("field"), "value_no", "value")).drop("value")

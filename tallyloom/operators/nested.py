@@ -386,6 +386,20 @@ def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str
     return df.select(row_id, payload).mapInArrow(run, schema)
 
 
+def unreadable(df: DataFrame, columns: list[str], payload: str) -> DataFrame:
+    """``columns`` and ``problem`` of the records whose payload is missing, blank or not well-formed."""
+    types = dict(df.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(len(columns)).to_pylist()
+            bad = [(n, "not well-formed" if (text or "").strip() else "no content") for n, text in enumerate(texts) if triples(text) is None]
+            at = pa.array([n for n, _ in bad], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(len(columns))), pa.array([p for _, p in bad], pa.string())], [*columns, "problem"])
+
+    return df.select(*columns, payload).mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in columns) + ", problem string")
+
+
 def flatten(df: DataFrame, row_id: str, payload: str, fields: bool = True, layout: Layout | None = None, nest: tuple[tuple[str, str], ...] = NEST, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """One row per entry of each level: ``row_id``, its table, its number in each declared level (0 below its own), its fields.
 

@@ -9,6 +9,13 @@ from tallyloom.session import cut
 
 #: A key with more rows than this is hot. With n rows there are at most n / HOT_ROWS such keys, so what belongs to them can be broadcast.
 HOT_ROWS = 1_000_000
+#: A table with at most so many rows, of a few short columns, is sent whole to all executors.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` to be sent whole to all executors if a count shows that it is small; else as it is. ``df`` should be stored already (``cut``)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:

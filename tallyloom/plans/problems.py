@@ -22,17 +22,22 @@ def _years(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return rows.withColumn("period", F.expr("try_cast(try_element_at(params, 'svyYr') as int)")).drop("params")
 
 
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses with the one spelling of their path; a null path stays null."""
+    rows = table(spark, sf_dir, "raw_responses", "response_id", "raw_path", "payload")
+    return rows.select("response_id", F.when(F.col("raw_path").isNotNull(), location(F.col("raw_path"))).alias("file_key"), "payload")
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """What the listings say of the fields, and the payloads of their values."""
+    """What the listings say of the fields, and the payloads of their values; both stored, as they are small and read often."""
     listings = _years(spark, sf_dir, "field_names")
     files = _years(spark, sf_dir, "raw_path", "field_names").filter("raw_path is not null and size(field_names) > 0").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key"))
     marked = drift.payload_marks(table(spark, sf_dir, "raw_responses", "raw_path", "payload"), F.col("raw_path"), "payload", location)
-    return drift.field_facts(listings, _DATASET, "field_names"), cut(drift.value_facts(marked, files, _DATASET))
+    return cut(drift.field_facts(listings, _DATASET, "field_names")), cut(drift.value_facts(marked, files, _DATASET))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, values = _facts(spark, sf_dir)
-    return drift.schema_changes(cut(facts), values, _DATASET).withColumnRenamed("period", "survey_year")
+    return drift.schema_changes(*_facts(spark, sf_dir), _DATASET).withColumnRenamed("period", "survey_year")
 
 
 def p1_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,16 +46,36 @@ def p1_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.fused_schema(facts, values, _DATASET).withColumnRenamed("period", "survey_year").withColumn("alternatives", F.array_join("alternatives", ","))
 
 
+def p1_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each kind that the values of a field take on in a year and had not in the year before."""
+    facts, values = _facts(spark, sf_dir)
+    found = drift.appearing_alternatives(drift.fused_schema(facts, values, _DATASET), _DATASET).withColumn("before", F.array_join("before", ","))
+    return found.join(drift.usual_paths(facts, values), "field").select(*_DATASET, F.col("period").alias("survey_year"), F.col("usual").alias("field_name"), "alternative", "before")
+
+
+def p1_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each field was listed by operation and year."""
+    facts = drift.field_facts(_years(spark, sf_dir, "field_names"), _DATASET, "field_names")
+    return facts.groupBy(*_DATASET, F.col("period").alias("survey_year"), "field").agg(F.sum("listings").alias("listings"), F.count("*").alias("spellings"))
+
+
 def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All values of all responses at all levels in one table, with a branch for each kind."""
+    """All values of all responses at all levels in one table, with a branch for each kind.
+
+    Responses that the manifest lacks have no operation, and those asked for without a survey year no
+    year. What cannot be read is in ``p1_quarantine``.
+    """
     facts, values = _facts(spark, sf_dir)
-    facts = cut(facts)
     usual = cut(drift.usual_paths(facts, values))
     renamed = cut(drift.final_paths(drift.final_names(cut(drift.schema_changes(facts, values, _DATASET)), _DATASET), values, usual, _DATASET))
-    responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload").filter("raw_path is not null")
-    items = nested.entries(responses.select(location(F.col("raw_path")).alias("file_key"), "payload"), "file_key", "payload")
-    files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null and period is not null").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key")).distinct()
-    return drift.unified(items.join(files, "file_key"), renamed, usual, _DATASET).withColumnRenamed("period", "survey_year")
+    items = nested.entries(_payloads(spark, sf_dir), "file_key", "payload")
+    files = _years(spark, sf_dir, "raw_path").filter("raw_path is not null").select(*_DATASET, "period", location(F.col("raw_path")).alias("file_key")).distinct()
+    return drift.unified(items.join(files, "file_key", "left"), renamed, usual, _DATASET).withColumnRenamed("period", "survey_year")
+
+
+def p1_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses that cannot be read, so that none is lost unseen."""
+    return nested.unreadable(_payloads(spark, sf_dir), ["response_id", "file_key"], "payload")
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +156,7 @@ def p5_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(above, "level_table", "left").join(filled.filter("field is not null"), "level_table", "left").select("level_table", "parent_table", "rows", "field", "entries")
 
 
-QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p5_tables": p5_tables, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
+QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_alternatives": p1_alternatives, "p1_fields": p1_fields, "p1_quarantine": p1_quarantine, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p5_tables": p5_tables, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
 
 
 def _sql_path(column: str) -> str:
@@ -158,6 +183,10 @@ _ORPHANS = f"""
       CASE WHEN known.k IS NULL THEN 'missing' WHEN since IS NULL THEN 'deleted' WHEN since > t THEN 'late' END AS orphan_kind
     FROM refs LEFT JOIN known ON refs.k = known.k)"""
 SQL = {
+    "p1_fields": r"""
+      WITH listed AS (SELECT service, operation, try_cast(params['svyYr'] AS INT) AS survey_year, unnest(list_distinct(list_filter(field_names, lambda x: x IS NOT NULL))) AS name FROM manifest_records),
+      plain AS (SELECT service, operation, survey_year, trim(regexp_replace(trim(name, E' \t\r\n'), '^\{[^}]*\}|^[^:]*:', ''), E' \t\r\n') AS spelling FROM listed WHERE survey_year IS NOT NULL)
+      SELECT service, operation, survey_year, lower(spelling) AS field, count(*) AS listings, count(DISTINCT spelling) AS spellings FROM plain WHERE spelling <> '' GROUP BY ALL""",
     "p2_found": f"""
       WITH files AS (SELECT record_id, {_sql_path("raw_path")} AS k FROM manifest_records WHERE raw_path IS NOT NULL),
       firsts AS (SELECT k, min(record_id) AS first_id FROM files GROUP BY k)

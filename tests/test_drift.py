@@ -81,9 +81,57 @@ def test_fused_schema_and_typed_values(spark, rows):
     assert ("2.50", None, Decimal("2.5"), None) in got and ("9" * 30, None, None, "9" * 30) in got and got.count((None,) * 4) == 3
 
 
+def renamings(spark, *steps):
+    return spark.createDataFrame([("S", "o", at, "renamed", old, new) for at, old, new in steps] + [("S", "o", 2, "removed", "X", "")], "service string, operation string, period int, change_kind string, field_name string, new_name string")
+
+
 def test_final_names(spark, rows):
-    report = spark.createDataFrame([("S", "o", 1, "renamed", "A", "B"), ("S", "o", 2, "renamed", "B", "C"), ("S", "o", 2, "removed", "X", "")], "service string, operation string, period int, change_kind string, field_name string, new_name string")
-    assert rows(drift.final_names(report, KEYS), "field", "final") == [("a", "C"), ("b", "C")]
+    report = renamings(spark, *((2000 + n, f"F{n}", f"F{n + 1}") for n in range(8)))
+    assert rows(drift.final_names(report, KEYS), "field", "since", "until", "final") == sorted([(f"f{n}", None, 2000 + n, "F8") for n in range(8)], key=repr)
+    back = renamings(spark, (2019, "a", "b"), (2021, "b", "a"))
+    assert rows(drift.final_names(back, KEYS), "field", "since", "until", "final") == [("a", None, 2019, "a"), ("b", None, 2021, "a")]
+    twice = renamings(spark, (2015, "x", "y"), (2020, "x", "z"))
+    assert rows(drift.final_names(twice, KEYS), "field", "since", "until", "final") == sorted([("x", None, 2015, "y"), ("x", 2015, 2020, "z")], key=repr)
+    swap = renamings(spark, (2015, "x", "y"), (2015, "y", "x"))
+    assert rows(drift.final_names(swap, KEYS), "field", "until", "final") == [("x", 2015, "y"), ("y", 2015, "x")]
+    assert drift.final_names(report.limit(0), KEYS).count() == 0
+
+
+def test_matching_is_best():
+    from itertools import permutations
+    from random import Random
+
+    r = Random(4)
+    for _ in range(300):
+        olds, news = [f"o{n}" for n in range(r.randint(1, 4))], [f"n{n}" for n in range(r.randint(1, 4))]
+        scores = {(a, b): r.choice([0.25, 0.5, 0.75, 1.0, 1.25]) for a in olds for b in news if r.random() < 0.8}
+        found = drift.matched(scores)
+        assert len({a for a, _ in found}) == len({b for _, b in found}) == len(found) and set(found) <= set(scores)
+        padded = news + [None] * len(olds)
+        best = max(sum(scores.get(pair, 0.0) for pair in zip(olds, p, strict=False)) for p in set(permutations(padded, len(olds))))
+        assert abs(sum(scores[f] for f in found) - best) < 1e-9, (scores, found)
+
+
+def test_two_renamed_at_once(spark, rows):
+    """Taken one after the other, the likest pair first, these would be exchanged."""
+    def values(*means):
+        return [{("f" if n < 2 else "g") + str(n): str(round(m * k)) for n, m in means} for k in (0.25, 1, 4)]
+
+    got = changes(spark, rows, [year(1, ["f0", "f1"], values((0, 1000), (1, 2000))), year(2, ["g2", "g3"], values((2, 1900), (3, 3600)))])
+    assert got == [("o", 2, "renamed", "f0", "g2"), ("o", 2, "renamed", "f1", "g3")]
+
+
+def test_appearing_alternatives(spark, rows):
+    facts, values = setting(spark, [year(1, ["v"], [{"v": "1"}]), year(2, ["v"], [{"v": "2"}, {"v": "x"}]), year(3, ["v"], [{"v": "-"}]), year(4, ["v"], [{"v": "1.5"}]), year(5, ["v"], [{"v": "7"}])])
+    found = drift.appearing_alternatives(drift.fused_schema(facts, values, KEYS), KEYS)
+    assert rows(found, "period", "field", "alternative", "before") == sorted([(2, "v", "text", ["integer"]), (4, "v", "decimal", ["integer", "text"])], key=repr)
+
+
+def test_magnitudes_of_very_long_numbers():
+    long = "1" * 299
+    assert abs(drift.magnitude(f"{long}e+55") - 353 * 3.3219) < 2 and abs(drift.magnitude("9" * 5000) - 5000 * 3.3219) < 1
+    assert drift.magnitude("-0.000") == 0 and drift.magnitude("1e-5000") == 0 and drift.magnitude("3") == 2 and drift.magnitude("1e" + "9" * 400) > 1e99
+    assert drift.marks_of({f"{long}.5e+5", "-1.5"})["decimal 0"] == 2
 
 
 def test_leaves_inside_entries(spark, rows):
@@ -96,7 +144,7 @@ def test_leaves_inside_entries(spark, rows):
     schema = rows(drift.fused_schema(facts, values, KEYS).filter("field like '%/%'"), "period", "field", "alternatives", "kind")
     assert (1, "note/item", ["integer", "text"], None) in schema and (2, "majorlist/major/quotalist/quota/n", ["decimal"], "decimal") in schema and len(schema) == 6
     assert ("o", 2, "retyped", "majorList/major/quotaList/quota/n", "") in rows(drift.schema_changes(facts, values, KEYS), "operation", "period", "change_kind", "field_name", "new_name")
-    renamed = spark.createDataFrame([("S", "o", "note", "remark")], "service string, operation string, field string, final string")
+    renamed = spark.createDataFrame([("S", "o", "note", None, 2, "remark")], "service string, operation string, field string, since int, until int, final string")
     usual = drift.usual_paths(facts, values)
     items = nested.entries(payloads.withColumnRenamed("path", "file_key"), "file_key", "payload").join(listings.drop("field_names"), "file_key")
     got = rows(drift.unified(items, drift.final_paths(renamed, values, usual, KEYS), usual, KEYS), "period", "item_no", "major_no", "quota_no", "field", "value_no", "canonical", "as_integer")
@@ -106,6 +154,9 @@ def test_leaves_inside_entries(spark, rows):
         (2, 1, 0, 0, "cd", 1, "08", 8), (2, 1, 0, 0, "remark/Item", 1, "2", 2), (2, 1, 0, 0, "remark/Item", 2, "y", None),
         (2, 1, 1, 0, "majorList/major/nm", 1, "물리", None), (2, 1, 1, 1, "majorList/major/quotaList/quota/n", 1, "1.5", None),
     ], key=repr)
+    alone = items.withColumns({"service": F.lit(None).cast("string"), "operation": F.lit(None).cast("string"), "period": F.lit(None).cast("int")})
+    left = drift.unified(alone, drift.final_paths(renamed, values, usual, KEYS), usual, KEYS)
+    assert left.count() == len(got) and {r.field for r in left.filter("field like '%tem'").collect()} == {"note/item", "remark/Item"}
 
 
 def test_dates_are_compared(spark, rows):
