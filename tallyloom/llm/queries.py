@@ -43,7 +43,7 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "subject_labels", "doc_id", "subject", "annotator")
-    names = sorted(r.subject for r in table(spark, sf_dir, "subject_areas", "subject").filter("subject is not null").distinct().limit(1000).collect())
+    names = sorted(r.subject for r in table(spark, sf_dir, "subject_areas", "subject").filter("subject is not null").distinct().collect())
     return subjects.assign(documents, "doc_id", "text", subjects.train(documents, labels, "doc_id", "text", names))
 
 

@@ -1,21 +1,24 @@
 """Subject areas of texts by interpolated n-gram language models.
 
-A text is split into sentences and lines. For each subject, and for a background of office routine, a
-language model (bigrams over unigrams over the corpus) is trained on labelled texts: labels name the
-subjects of a text, not of its sentences, so the models are found by expectation maximisation, each
-sentence belonging to a labelled subject or to the background. A sentence is about the subject whose
-cross-entropy is lowest, if it is below that of the background and of the runner-up by a margin; a
-subject is accepted for a text by its share of the sentences. Margin and shares are calibrated on
-labelled texts that the models have not seen.
+A text is split into sentences and lines. For each subject a language model (bigrams over unigrams
+over the corpus) is trained on labelled texts: labels name the subjects of a text, not of its
+sentences, so the models are found by expectation maximisation, each sentence belonging to a labelled
+subject or to office routine. There are two background models, one of that routine and one of the
+corpus, all sentences together. A sentence is about the subject under which its cross-entropy per
+token is lowest, if that is below both backgrounds, and below routine and the runner-up by a margin,
+which is wider for short sentences, whose cross-entropy is less certain; a subject is accepted for a
+text by its share of the sentences. Margin and shares are calibrated on labelled texts that the models
+have not seen.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 from itertools import product
 
@@ -24,16 +27,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled texts that the models are fitted on at most, and the longest of them. Classification has no bound.
-SAMPLE_TEXTS, SAMPLE_CHARS = 6000, 30_000
+#: Labelled texts that the models are fitted on at most, and the words of each, in sentences drawn evenly over the whole text. Classification has no bound.
+SAMPLE_TEXTS, SAMPLE_WORDS = 6000, 6000
 ROUNDS = 6
 #: Share of the sentences that may come from subjects without a label, as annotators err.
 MISLABELLED = 0.02
 #: Counts that the corpus adds to a subject's unigrams, and unigrams to the bigrams after a word.
-UNIGRAM_PRIOR, BIGRAM_PRIOR = 200.0, 5.0
+UNIGRAM_PRIOR, BIGRAM_PRIOR = 200.0, 20.0
+#: How much of what a subject's bigrams are interpolated with is the corpus's bigrams; the rest is the subject's unigrams.
+CORPUS_SHARE = 0.5
 #: Sentences that a worker remembers.
 REMEMBERED = 200_000
-MARGINS, SHARES, SHORT = (0.5, 1.0, 2.0), (0.14, 0.15, 0.16, 0.17, 0.18, 0.2), (2, 3, 5)
+#: Margins (nats per token, and nats to be divided by the number of tokens), shares of a text's sentences, and lengths of short texts among which calibration chooses.
+MARGINS = tuple(product((0.0, 0.05, 0.1), (0.5, 1.0, 2.0)))
+SHARES, SHORT = (0.14, 0.15, 0.16, 0.17, 0.18, 0.2), (2, 3, 5)
 
 _TAGS = re.compile(r"</?(?:p|br|li|ul|ol|div|tr|td|th|table|h\d)\b[^>\n]{0,200}>", re.I)
 _INLINE = re.compile(r"</?[A-Za-z][^>\n]{0,200}>")
@@ -71,7 +78,7 @@ def sentences(text: str | None) -> list[tuple[str, ...]]:
 
 @dataclass
 class Models:
-    """Bigrams and unigrams as log probabilities by subject; the last column is the background. ``met`` has the sentences judged so far, by margin."""
+    """Bigrams and unigrams as log probabilities by subject; the last two columns are the backgrounds. ``met`` has the sentences judged so far, by margin."""
 
     subjects: list[str]
     words: dict[str, int]
@@ -79,13 +86,13 @@ class Models:
     pair_logs: np.ndarray
     word_logs: np.ndarray
     start_logs: np.ndarray
-    margin: float = 1.0
+    margin: tuple[float, float] = (0.05, 1.0)
     share: float = 0.16
     short: int = 3
     met: dict = field(default_factory=dict)
 
-    def scores(self, asked: list[tuple[str, ...]]) -> np.ndarray:
-        """The log likelihood of each sentence under each model. Words that were never seen tell nothing and are left out."""
+    def scores(self, asked: list[tuple[str, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """The cross-entropy per token of each sentence under each model, 0 without any known token, and the number of known tokens, at least 1. Words that were never seen tell nothing and are left out."""
         seen, seen_of, rows, after, of = [], [], [], [], []
         for n, sentence in enumerate(asked):
             last = "\x02"
@@ -103,19 +110,22 @@ class Models:
         total = np.zeros((len(asked), self.pair_logs.shape[1]))
         for k in range(total.shape[1]):
             total[:, k] = np.bincount(seen_of, self.pair_logs[seen, k], len(asked)) + np.bincount(of, self.word_logs[rows, k] + self.start_logs[after, k], len(asked))
-        return total
+        tokens = np.maximum(np.bincount(seen_of, minlength=len(asked)) + np.bincount(of, minlength=len(asked)), 1)
+        return -total / tokens[:, None], tokens
 
-    def about(self, asked: list[tuple[str, ...]], margin: float) -> list[int]:
+    def about(self, asked: list[tuple[str, ...]], margin: tuple[float, float]) -> list[int]:
         """The number of the subject that each sentence is about, -1 for none."""
-        scores, k = self.scores(asked), len(self.subjects)
+        k = len(self.subjects)
         if not k:
             return [-1] * len(asked)
+        scores, tokens = self.scores(asked)
         ordered = np.sort(scores[:, :k], axis=1)
-        second = ordered[:, -2] if k > 1 else -np.inf
-        clear = (ordered[:, -1] - scores[:, k] > margin) & (ordered[:, -1] - second > margin)
-        return np.where(clear, scores[:, :k].argmax(axis=1), -1).tolist()
+        routine, corpus = scores[:, k], scores[:, k + 1]
+        other = np.minimum(routine, ordered[:, 1]) if k > 1 else routine
+        clear = (other - ordered[:, 0] > margin[0] + margin[1] / tokens) & (corpus > ordered[:, 0])
+        return np.where(clear, scores[:, :k].argmin(axis=1), -1).tolist()
 
-    def votes(self, texts: list[list[tuple[str, ...]]], margin: float) -> np.ndarray:
+    def votes(self, texts: list[list[tuple[str, ...]]], margin: tuple[float, float]) -> np.ndarray:
         """By text and subject: the sentences about it. Sentences that were met before are looked up."""
         known = self.met.setdefault(margin, {})
         if len(known) > REMEMBERED:
@@ -162,18 +172,24 @@ def fit(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects: list[s
     corpus /= corpus.sum()
     log_prior = np.log(prior)[np.array(owner, np.int64)]
     posterior = np.exp(log_prior)
-    pair_logs, word_logs, start_logs = np.zeros((p, k + 1)), np.zeros((v, k + 1)), np.zeros((v + 1, k + 1))
+    pair_logs, word_logs, start_logs = np.zeros((p, k + 2)), np.zeros((v, k + 2)), np.zeros((v + 1, k + 2))
+
+    def model(c: int, weight: np.ndarray | None) -> None:
+        ones = np.bincount(w, weight, v)
+        twos = np.bincount(g, weight, p)
+        base = (ones + UNIGRAM_PRIOR * corpus) / (ones.sum() + UNIGRAM_PRIOR)
+        context = np.bincount(before, twos, v + 1)
+        word_logs[:, c] = np.log(base)
+        start_logs[:, c] = np.log(BIGRAM_PRIOR / (context + BIGRAM_PRIOR))
+        expected = base[second] if weight is None else CORPUS_SHARE * whole + (1 - CORPUS_SHARE) * base[second]
+        pair_logs[:, c] = np.log((twos + BIGRAM_PRIOR * expected) / (context[before] + BIGRAM_PRIOR))
+
+    model(k + 1, None)  # the corpus, all sentences together
+    whole = np.exp(pair_logs[:, k + 1])
     for _ in range(rounds):
         likely = np.zeros_like(log_prior)
         for c in range(k + 1):
-            weight = posterior[sid, c]
-            ones = np.bincount(w, weight, v)
-            twos = np.bincount(g, weight, p)
-            base = (ones + UNIGRAM_PRIOR * corpus) / (ones.sum() + UNIGRAM_PRIOR)
-            context = np.bincount(before, twos, v + 1)
-            word_logs[:, c] = np.log(base)
-            start_logs[:, c] = np.log(BIGRAM_PRIOR / (context + BIGRAM_PRIOR))
-            pair_logs[:, c] = np.log((twos + BIGRAM_PRIOR * base[second]) / (context[before] + BIGRAM_PRIOR))
+            model(c, posterior[sid, c])
             likely[:, c] = log_prior[:, c] + np.bincount(sid, pair_logs[g, c], len(sizes))
         posterior = np.exp(likely - likely.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
@@ -189,7 +205,7 @@ def calibrate(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects:
     asked = [t for t, h in zip(texts, held, strict=True) if h]
     truth = shares[held] > 0.5
     known = truth | (shares[held] == 0)
-    best = (-1.0, 0, MARGINS[0], SHARES[0], SHORT[0])
+    best: tuple = (-1.0, 0, MARGINS[0], SHARES[0], SHORT[0])
     for margin in MARGINS:
         votes = first.votes(asked, margin)
         for n, (share, short) in enumerate(product(SHARES, SHORT)):
@@ -201,18 +217,37 @@ def calibrate(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects:
     return models
 
 
+def drawn_sentences(text: str | None, words: int = SAMPLE_WORDS) -> list[tuple[str, ...]]:
+    """Sentences of a text, evenly over the whole of it, of at most about ``words`` words; all if it has no more. A single longer sentence is left out."""
+    found = [s for s in sentences(text) if len(s) <= words]
+    step = max(1, -(-sum(map(len, found)) // words))
+    return found[::step]
+
+
+_FITTED: dict[str, Models] = {}
+
+
 def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, subjects: list[str], sample: int = SAMPLE_TEXTS) -> Models:
     """Models from a sample of at most ``sample`` labelled texts, drawn by a hash of their id.
 
     ``labels`` has ``row_id``, ``subject`` and ``annotator``; a null subject means none, unknown
-    subjects are passed over. Null texts and those longer than ``SAMPLE_CHARS`` are not drawn. Without
-    labelled texts the models accept nothing.
+    subjects are passed over. Of a long text, sentences of about ``SAMPLE_WORDS`` words are drawn, on the
+    executors; null texts have none. Without labelled texts the models accept nothing. The same
+    sample is fitted once in a process.
     """
-    drawn = F.broadcast(labels.select(row_id).filter(F.col(row_id).isNotNull()).distinct().orderBy(F.xxhash64(row_id), row_id).limit(sample))
-    votes = labels.join(drawn, row_id, "left_semi").select(row_id, "subject", F.coalesce(F.col("annotator").cast("string"), F.lit("")).alias("annotator"))
+    chosen = F.broadcast(labels.select(row_id).filter(F.col(row_id).isNotNull()).distinct().orderBy(F.xxhash64(row_id), row_id).limit(sample))
+    votes = labels.join(chosen, row_id, "left_semi").select(row_id, "subject", F.coalesce(F.col("annotator").cast("string"), F.lit("")).alias("annotator"))
     annotators = dict(votes.groupBy(row_id).agg(F.countDistinct("annotator")).collect())
     counts = votes.filter(F.col("subject").isin(subjects)).groupBy(row_id, "subject").agg(F.countDistinct("annotator").alias("n")).collect()
-    texts = documents.select(row_id, text).join(drawn, row_id, "left_semi").filter(F.length(text) <= SAMPLE_CHARS).dropDuplicates([row_id]).collect()
+    kind = dict(documents.dtypes)[row_id]
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            drawn = [[" ".join(s) for s in drawn_sentences(t)] for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(drawn, pa.list_(pa.string()))], [row_id, "sentences"])
+
+    known = documents.select(row_id, text).filter(F.col(text).isNotNull()).join(chosen, row_id, "left_semi")
+    texts = known.mapInArrow(draw, f"`{row_id}` {kind}, sentences array<string>").groupBy(row_id).agg(F.min("sentences").alias("sentences")).collect()
     rows = sorted(texts, key=lambda r: r[row_id])
     at = {r[row_id]: n for n, r in enumerate(rows)}
     column = {s: n for n, s in enumerate(subjects)}
@@ -220,7 +255,11 @@ def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, subje
     for r in counts:
         if r[row_id] in at:
             shares[at[r[row_id]], column[r.subject]] = r.n / annotators[r[row_id]]
-    return calibrate([sentences(r[text]) for r in rows], shares, subjects)
+    key = hashlib.sha256(repr((subjects, [r.sentences for r in rows])).encode("utf-8", "surrogatepass") + shares.tobytes()).hexdigest()
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = calibrate([[tuple(s.split(" ")) for s in r.sentences] for r in rows], shares, subjects)
+    return replace(_FITTED[key], met={})
 
 
 def assign(documents: DataFrame, row_id: str, text: str, models: Models, batch: int = 500) -> DataFrame:

@@ -64,3 +64,23 @@ def test_tables(spark, rows):
     assert subjects.assign(docs, "doc_id", "text", nothing).count() == 0
     shares = subjects.composition(subjects.assign(docs.drop("subject"), "doc_id", "text", models), docs.withColumn("lang", F.lit(None).cast("string")).dropDuplicates(["doc_id"]), "doc_id", "lang")
     assert abs(sum(r.share for r in shares.collect()) - 1) < 1e-9
+
+
+def test_sentences_drawn_from_long_texts():
+    text = "\n".join(f"line {n} of text" for n in range(9000))
+    drawn = subjects.drawn_sentences(text, 1000)
+    assert sum(map(len, drawn)) <= 1000 and len(drawn) > 200
+    assert subjects.drawn_sentences("a b. c d.", 1000) == [("a", "b"), ("c", "d")] and subjects.drawn_sentences(None) == []
+    marked = "\n".join(["first half"] * 5000 + ["second part"] * 5000)
+    assert {s[0] for s in subjects.drawn_sentences(marked, 100)} == {"first", "second"}
+
+
+def test_margin_is_per_token():
+    names = sorted(TERMS)
+    texts, truth = make(300, 9)
+    models = subjects.fit([subjects.sentences(t) for t in texts], np.array([[float(s in t) for s in names] for t in truth]), names)
+    one = subjects.sentences("판결 취지 현황을 표시한다")[0]
+    (once,), (n,) = models.scores([one])
+    (again,), (m,) = models.scores([one * 40])
+    assert m == 40 * n and abs(once.min() - again.min()) < 2.5 and once[:-2].argmin() == again[:-2].argmin()
+    assert models.scores([("never", "met")])[0].sum() == 0 and models.about([("never", "met")], (0.0, 0.0)) == [-1]
