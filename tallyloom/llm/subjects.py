@@ -5,10 +5,10 @@ over the corpus) is trained on labelled texts: labels name the subjects of a tex
 sentences, so the models are found by expectation maximisation, each sentence belonging to a labelled
 subject or to office routine. There are two background models, one of that routine and one of the
 corpus, all sentences together. A sentence is about the subject under which its cross-entropy per
-token is lowest, if that is below both backgrounds, and below routine and the runner-up by a margin,
-which is wider for short sentences, whose cross-entropy is less certain; a subject is accepted for a
-text by its share of the sentences. Margin and shares are calibrated on labelled texts that the models
-have not seen.
+token is lowest, if that is below routine and the runner-up by a margin, which is wider for short
+sentences, whose cross-entropy is less certain, and not above that of the corpus by more than a
+tolerance; a subject is accepted for a text by its share of the sentences. Margin, tolerance and
+shares are calibrated on labelled texts that the models have not seen.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ UNIGRAM_PRIOR, BIGRAM_PRIOR = 200.0, 20.0
 CORPUS_SHARE = 0.5
 #: Sentences that a worker remembers.
 REMEMBERED = 200_000
-#: Margins (nats per token, and nats to be divided by the number of tokens), shares of a text's sentences, and lengths of short texts among which calibration chooses.
-MARGINS = tuple(product((0.0, 0.05, 0.1), (0.5, 1.0, 2.0)))
+#: Margins (nats per token, nats to be divided by the number of tokens, tolerance towards the corpus), shares of a text's sentences, and lengths of short texts among which calibration chooses.
+Margin = tuple[float, float, float]
+MARGINS: tuple[Margin, ...] = tuple(product((0.0, 0.05, 0.1), (0.5, 1.0, 2.0), (0.0, 2.0)))
 SHARES, SHORT = (0.14, 0.15, 0.16, 0.17, 0.18, 0.2), (2, 3, 5)
 
 _TAGS = re.compile(r"</?(?:p|br|li|ul|ol|div|tr|td|th|table|h\d)\b[^>\n]{0,200}>", re.I)
@@ -86,7 +87,7 @@ class Models:
     pair_logs: np.ndarray
     word_logs: np.ndarray
     start_logs: np.ndarray
-    margin: tuple[float, float] = (0.05, 1.0)
+    margin: Margin = (0.05, 1.0, 0.0)
     share: float = 0.16
     short: int = 3
     met: dict = field(default_factory=dict)
@@ -113,25 +114,24 @@ class Models:
         tokens = np.maximum(np.bincount(seen_of, minlength=len(asked)) + np.bincount(of, minlength=len(asked)), 1)
         return -total / tokens[:, None], tokens
 
-    def about(self, asked: list[tuple[str, ...]], margin: tuple[float, float]) -> list[int]:
-        """The number of the subject that each sentence is about, -1 for none."""
+    def about(self, scores: np.ndarray, tokens: np.ndarray, margin: Margin) -> list[int]:
+        """The number of the subject that each sentence of these ``scores`` is about, -1 for none."""
         k = len(self.subjects)
         if not k:
-            return [-1] * len(asked)
-        scores, tokens = self.scores(asked)
+            return [-1] * len(scores)
         ordered = np.sort(scores[:, :k], axis=1)
         routine, corpus = scores[:, k], scores[:, k + 1]
         other = np.minimum(routine, ordered[:, 1]) if k > 1 else routine
-        clear = (other - ordered[:, 0] > margin[0] + margin[1] / tokens) & (corpus > ordered[:, 0])
+        clear = (other - ordered[:, 0] > margin[0] + margin[1] / tokens) & (corpus + margin[2] > ordered[:, 0])
         return np.where(clear, scores[:, :k].argmin(axis=1), -1).tolist()
 
-    def votes(self, texts: list[list[tuple[str, ...]]], margin: tuple[float, float]) -> np.ndarray:
+    def votes(self, texts: list[list[tuple[str, ...]]], margin: Margin) -> np.ndarray:
         """By text and subject: the sentences about it. Sentences that were met before are looked up."""
         known = self.met.setdefault(margin, {})
         if len(known) > REMEMBERED:
             known.clear()
         new = list({s for t in texts for s in t if s not in known})
-        known.update(zip(new, self.about(new, margin), strict=True))
+        known.update(zip(new, self.about(*self.scores(new), margin), strict=True))
         votes = np.zeros((len(texts), len(self.subjects)), np.int64)
         for row, text in enumerate(texts):
             for sentence in text:
@@ -206,7 +206,10 @@ def calibrate(texts: list[list[tuple[str, ...]]], shares: np.ndarray, subjects:
     truth = shares[held] > 0.5
     known = truth | (shares[held] == 0)
     best: tuple = (-1.0, 0, MARGINS[0], SHARES[0], SHORT[0])
+    once = list({s for t in asked for s in t})
+    scores = first.scores(once)
     for margin in MARGINS:
+        first.met[margin] = dict(zip(once, first.about(*scores, margin), strict=True))
         votes = first.votes(asked, margin)
         for n, (share, short) in enumerate(product(SHARES, SHORT)):
             got = first.accept(asked, votes, share, short)

@@ -83,4 +83,4 @@ def test_margin_is_per_token():
     (once,), (n,) = models.scores([one])
     (again,), (m,) = models.scores([one * 40])
     assert m == 40 * n and abs(once.min() - again.min()) < 2.5 and once[:-2].argmin() == again[:-2].argmin()
-    assert models.scores([("never", "met")])[0].sum() == 0 and models.about([("never", "met")], (0.0, 0.0)) == [-1]
+    assert models.scores([("never", "met")])[0].sum() == 0 and models.about(*models.scores([("never", "met")]), (0.0, 0.0, 0.0)) == [-1]
