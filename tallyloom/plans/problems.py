@@ -84,7 +84,8 @@ def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compaction.repeats(_listing(spark, sf_dir)).select(F.col("file_id").alias("record_id"))
+    rows = _listing(spark, sf_dir)
+    return compaction.repeats(rows, compaction.schedule(rows)).select(F.col("file_id").alias("record_id"))
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,13 +93,30 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.group_sizes(compaction.schedule(_listing(spark, sf_dir)))
 
 
-def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored responses written to few files in the shared folder: what each output file holds."""
-    plan = compaction.schedule(_listing(spark, sf_dir))
+def p2_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file of the plan, once, by the row that it is taken from."""
+    return compaction.schedule(_listing(spark, sf_dir)).files.select(F.col("file_id").alias("record_id"), "size_bytes")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = _listing(spark, sf_dir)
+    plan = compaction.schedule(listing)
+    plan = plan._replace(files=cut(plan.files))
     responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload")
     contents = responses.filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
     folder = f"{shared_folder(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"
-    return compaction.publish(compaction.compact(plan, contents, folder), folder).drop("output_path")
+    return compaction.publish(plan, compaction.compact(plan, contents, folder), folder)
+
+
+def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored responses written to few files in the shared folder: what each output file holds."""
+    return _compacted(spark, sf_dir).drop("output_path", "missing_path")
+
+
+def p2_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the published files hold, read back: the row that a content is listed by, its bytes and its digest."""
+    held = compaction.contents_of(spark, _compacted(spark, sf_dir))
+    return held.select(F.col("file_id").alias("record_id"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("digest"))
 
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +174,7 @@ def p5_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(above, "level_table", "left").join(filled.filter("field is not null"), "level_table", "left").select("level_table", "parent_table", "rows", "field", "entries")
 
 
-QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_alternatives": p1_alternatives, "p1_fields": p1_fields, "p1_quarantine": p1_quarantine, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p5_tables": p5_tables, "p2_found": p2_found, "p2_groups": p2_groups, "p2_compacted": p2_compacted, "p3_found": p3_found, "p3_counts": p3_counts}
+QUERIES = {"p1_found": p1_found, "p1_schema": p1_schema, "p1_alternatives": p1_alternatives, "p1_fields": p1_fields, "p1_quarantine": p1_quarantine, "p1_unified": p1_unified, "p5_found": p5_found, "p5_items": p5_items, "p5_majors": p5_majors, "p5_quotas": p5_quotas, "p5_tables": p5_tables, "p2_found": p2_found, "p2_groups": p2_groups, "p2_planned": p2_planned, "p2_compacted": p2_compacted, "p2_written": p2_written, "p3_found": p3_found, "p3_counts": p3_counts}
 
 
 def _sql_path(column: str) -> str:
@@ -191,6 +209,13 @@ SQL = {
       WITH files AS (SELECT record_id, {_sql_path("raw_path")} AS k FROM manifest_records WHERE raw_path IS NOT NULL),
       firsts AS (SELECT k, min(record_id) AS first_id FROM files GROUP BY k)
       SELECT record_id FROM files JOIN firsts USING (k) WHERE record_id > first_id""",
+    "p2_planned": f"""
+      WITH files AS (SELECT record_id, bytes, {_sql_path("raw_path")} AS k FROM manifest_records WHERE raw_path IS NOT NULL)
+      SELECT min(record_id) AS record_id, greatest(coalesce((list(bytes ORDER BY record_id))[1], max(bytes), 0), 0) AS size_bytes FROM files GROUP BY k""",
+    "p2_written": f"""
+      WITH files AS (SELECT min(record_id) AS record_id, {_sql_path("raw_path")} AS k FROM manifest_records WHERE raw_path IS NOT NULL GROUP BY k),
+      held AS (SELECT DISTINCT {_sql_path("raw_path")} AS k, payload FROM raw_responses WHERE raw_path IS NOT NULL AND payload IS NOT NULL)
+      SELECT record_id, octet_length(encode(payload)) AS bytes, sha256(payload) AS digest FROM files JOIN held USING (k)""",
     "p3_found": f"{_ORPHANS} SELECT ref_table, ref_id, orphan_kind, period FROM found WHERE orphan_kind IS NOT NULL",
     "p3_counts": f"""{_ORPHANS}
       SELECT ref_table, period, orphan_kind, count(*) AS orphan_refs, count(DISTINCT k) AS orphan_keys

@@ -4,11 +4,12 @@ import json
 import random
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.sources.manifests import contents
 from tallyloom.plans.problems import QUERIES
-from tallyloom.operators.compaction import balance, compact, group_sizes, listed, publish, repeats, schedule
+from tallyloom.operators.compaction import Plan, balance, compact, compact_store, group_sizes, listed, publish, repeats, schedule, shard_count
 
 ROWS = "id long, path string, size long"
 
@@ -25,9 +26,10 @@ def test_repeats(spark, rows):
     for n, path, _ in data:
         if path is not None and first.setdefault(path, n) != n:
             wanted.append((n, path, first[path]))
-    assert rows(repeats(files(spark, data))) == sorted(wanted, key=repr)
-    assert rows(repeats(files(spark, []))) == []
-    assert rows(repeats(files(spark, [(1, "a", 1), (1, "a", 1), (2, None, 3)]))) == []
+    found = lambda data: rows(repeats(files(spark, data), schedule(files(spark, data))), "file_id", "file_key", "first_id")
+    assert found(data) == sorted(wanted, key=repr)
+    assert found([]) == []
+    assert found([(1, "a", 1), (1, "a", 1), (2, None, 3)]) == []
 
 
 def test_balance():
@@ -46,25 +48,34 @@ def test_balance():
 def test_schedule(spark, rows):
     random.seed(4)
     data = [(n, f"p{n % 150}", random.choice([None, random.randint(0, 1000)])) for n in range(200)]
-    plan = schedule(files(spark, data), target_bytes=10_000, shard_files=60)
-    assert plan.count() == 150 == plan.select("file_key").distinct().count()
-    assert plan.select("shard").distinct().count() == 3
-    assert all(r.bytes < 12_000 for r in group_sizes(plan).collect())
-    assert rows(schedule(files(spark, []))) == []
+    plan = schedule(files(spark, data), target_bytes=20_000, shard_files=60)
+    assert plan.shards == 3 and plan.files.count() == 150 == plan.files.select("file_key").distinct().count()
+    assert plan.files.select("shard").distinct().count() == 3
+    assert all(r.bytes + 256 * r.files < 24_000 for r in group_sizes(plan).collect())
+    assert rows(schedule(files(spark, [])).files) == []
+
+
+def test_shards_follow_bytes_and_files(spark, rows):
+    tiny = [(n, f"p{n}", 100) for n in range(200)]
+    assert rows(group_sizes(schedule(files(spark, tiny), target_bytes=1 << 20, shard_files=20)), "files", "bytes") == [(200, 20_000)]
+    assert shard_count(50_000, 50_000 * 1024, 128 << 20) == 1 and shard_count(10**9, 10**9 * 2048, 128 << 20) == 2000
+    assert shard_count(10**6, 1 << 50, 128 << 20) == (1 << 50) // (8 * 128 << 20) and shard_count(0, 0, 128 << 20) == 1
+    assert shard_count(10**9, 10**9 * 256, 128 << 20) <= 10**9 * 256 // (128 << 20)  # no shard is less than one group
 
 
 def test_compact(spark, tmp_path):
     random.seed(5)
     contents = {f"p{n}": random.randbytes(random.randint(0, 300)) for n in range(80)}
     data = [(n, f"p{n % 100}", 200) for n in range(130)]
-    plan = schedule(files(spark, data), target_bytes=4_000, shard_files=40)
+    plan = schedule(files(spark, data), target_bytes=9_000, shard_files=40)
+    assert plan.shards == 3
     given = spark.createDataFrame([*contents.items(), ("p1", contents["p1"]), ("unlisted", b"x"), (None, b"y"), ("p99", None)], "file_key string, content binary")
     for folder in (str(tmp_path / "a"), f"file://{tmp_path}/b"):
-        written = publish(compact(plan, given, folder), folder).collect()
+        written = publish(plan, compact(plan, given, folder), folder).collect()
         root = folder.removeprefix("file://")
         got = {}
         for r in written:
-            t = pq.read_table(r.output_path).to_pylist()
+            t = pq.read_table(r.output_path).to_pylist() if r.output_path else []
             assert len(t) == r.files and sum(len(x["content"]) for x in t) == r.content_bytes
             for x in t:
                 assert x["file_key"] not in got
@@ -85,23 +96,46 @@ def test_compact_a_store(spark, tmp_path):
     found = contents(spark, str(store))
     df = found.select(F.monotonically_increasing_id().alias("id"), F.concat(F.lit("./"), "file_key").alias("path"), F.length("content").alias("size"))
     plan = schedule(listed(df, "id", F.col("path"), F.col("size"), lambda p: F.substring(p, 3, 1000)), target_bytes=100)
-    out = str(tmp_path / "out")
-    got = {}
-    for r in publish(compact(plan, found, out), out).collect():
-        got |= {x["file_key"]: x["content"] for x in pq.read_table(r.output_path).to_pylist()}
-    assert got == wanted
+    plan = plan._replace(files=spark.createDataFrame(plan.files.collect(), plan.files.schema))
+    (store / "op0" / "0.xml").unlink()
+    found = contents(spark, str(store))
+    for out, written in ((str(tmp_path / "out"), lambda to: compact(plan, found, to)), (str(tmp_path / "by_path"), lambda to: compact_store(plan, str(store), to)), (f"file://{tmp_path}/by_address", lambda to: compact_store(plan, f"file://{store}", to))):
+        got, lost = {}, set()
+        for r in publish(plan, written(out), out).collect():
+            got |= {x["file_key"]: x["content"] for x in pq.read_table(r.output_path).to_pylist()} if r.output_path else {}
+            lost |= {x["file_key"] for x in pq.read_table(r.missing_path).to_pylist()} if r.missing_path else set()
+        assert got == {k: v for k, v in wanted.items() if k != "op0/0.xml"} and lost == {"op0/0.xml"}
+
+
+def small_plan(spark):
+    return Plan(spark.createDataFrame([("a", 1, 1, 2, 0, 0), ("b", 2, 2, 3, 0, 0), ("c", 3, 3, 4, 0, 1)], "file_key string, file_id long, last_id long, size_bytes long, shard int, output_group int"), 1)
 
 
 def test_missing_contents_are_reported(spark, tmp_path):
-    plan = spark.createDataFrame([("a", 1, 2, 0, 0), ("b", 2, 3, 0, 0), ("c", 3, 4, 0, 1)], "file_key string, file_id long, size_bytes long, shard int, output_group int")
+    plan = small_plan(spark)
     given = spark.createDataFrame([("a", b"xy"), ("b", None)], "file_key string, content binary")
-    publish(compact(plan, given, str(tmp_path / "part")), str(tmp_path / "part"))
-    lines = [json.loads(x) for x in (tmp_path / "part" / "_manifest.json").read_text().splitlines()]
+    part = tmp_path / "part"
+    done = publish(plan, compact(plan, given, str(part)), str(part))
+    lines = [json.loads(x) for x in (part / "_manifest.json").read_text().splitlines()]
     assert [(x["output_group"], x["planned_files"], x["planned_bytes"], x["files"], x["missing_files"], x["complete"]) for x in lines] == [(0, 2, 5, 1, 1, False), (1, 1, 4, 0, 1, False)]
-    assert json.loads((tmp_path / "part" / "_INCOMPLETE").read_text()) == {"planned_files": 3, "files": 1, "missing_files": 2}
+    assert json.loads((part / "_INCOMPLETE").read_text()) == {"planned_files": 3, "files": 1, "missing_files": 2}
+    assert {r.missing_path for r in done.collect()} == {str(part / "missing-00000.parquet")}
+    assert pq.read_table(part / "missing-00000.parquet").to_pylist() == [{"file_key": "b", "file_id": 2, "output_group": 0}, {"file_key": "c", "file_id": 3, "output_group": 1}]
     whole = spark.createDataFrame([(k, b"z") for k in "abc"], "file_key string, content binary")
-    publish(compact(plan, whole, str(tmp_path / "whole")), str(tmp_path / "whole"))
+    publish(plan, compact(plan, whole, str(tmp_path / "whole")), str(tmp_path / "whole"))
     assert not (tmp_path / "whole" / "_INCOMPLETE").exists() and '"complete": false' not in (tmp_path / "whole" / "_manifest.json").read_text()
+    with pytest.raises(FileExistsError):
+        publish(plan, compact(plan, whole, str(tmp_path / "whole")), str(tmp_path / "whole"))
+
+
+def test_a_lost_or_doubled_file_is_not_published(spark, tmp_path):
+    plan = small_plan(spark)
+    whole = spark.createDataFrame([(k, b"z") for k in "abc"], "file_key string, content binary")
+    for n, other in enumerate((plan.files.filter("file_key <> 'b'"), plan.files.unionByName(plan.files.withColumn("shard", F.lit(1))))):
+        folder = str(tmp_path / f"bad{n}")
+        with pytest.raises(OSError, match="do not hold what was planned"):
+            publish(plan, compact(Plan(other, 1), whole, folder), folder)
+        assert not (tmp_path / f"bad{n}" / "_manifest.json").exists()
 
 
 def test_queries_have_the_production_target(spark, rows, tmp_path):
