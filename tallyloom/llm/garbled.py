@@ -1,11 +1,12 @@
 """Text that went through a wrong character encoding: found, and restored where nothing was lost.
 
-For each chain of (right, wrong) encodings the garbled sequence of each Hangul syllable is computed
-beforehand; an automaton finds all of them in one pass, and only the matched spans are replaced.
-Where the wrong encoding takes two bytes for a character, sequences depend on their neighbours:
-there the automaton knows the inner characters, and the run around a hit is converted back as a
-whole and must give Hangul. Sequences that other languages use too (two Latin or kana letters) count
-only if the restored syllables are common in the clean names.
+For each chain of (right, wrong) encodings the garbled sequence of each character that the chain can
+produce is computed beforehand; an automaton finds all of them in one pass, and only the matched spans
+are replaced. Where the wrong encoding takes two bytes for a character, sequences depend on their
+neighbours: there the automaton knows the inner characters, and the stretch around a hit that converts
+back is replaced if it gives Hangul. Sequences that other languages use too (two Latin or kana letters)
+count only if the restored syllables are common in the clean names. Where both encodings have one byte
+for a letter, a sequence of one letter tells nothing, so whole words are converted back.
 """
 
 from __future__ import annotations
@@ -20,9 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SYLLABLES = [chr(c) for c in range(0xAC00, 0xD7A4)]
-#: Letters of other languages, whose UTF-8 is known by its form in a Western encoding: Latin, kana, ideographs.
-LETTERS = [chr(c) for a, b in ((0xC0, 0x100), (0x3041, 0x30FF), (0x4E00, 0xA000)) for c in range(a, b)]
-WESTERN = ((("utf-8", "latin-1"),), (("utf-8", "cp1252"),))
+#: Blocks of the other characters whose garbled form is known: Latin with its accents, Greek, Cyrillic, Hebrew,
+#: Arabic, Thai, letters of Hangul, Vietnamese, punctuation, signs and symbols, kana, ideographs, wide forms, emoji.
+BLOCKS = (
+    (0xA0, 0x250), (0x370, 0x530), (0x591, 0x700), (0xE01, 0xE5C), (0x1100, 0x1200), (0x1E00, 0x2000), (0x2010, 0x2060), (0x2070, 0x2800),
+    (0x3000, 0x3400), (0x4E00, 0xA000), (0xFF01, 0xFFE7), (0x1F300, 0x1FB00),
+)
+LETTERS = [chr(c) for a, b in BLOCKS for c in range(a, b)]
 #: (right, wrong) encodings; a chain of two is text that was garbled twice.
 BYTE_CHAINS = (
     (("utf-8", "latin-1"),), (("utf-8", "cp1252"),), (("utf-8", "cp437"),), (("utf-8", "cp850"),), (("utf-8", "mac_roman"),),
@@ -30,13 +35,20 @@ BYTE_CHAINS = (
     (("cp949", "latin-1"),), (("cp949", "cp1252"),), (("cp949", "cp437"),), (("cp949", "mac_roman"),),
     (("cp949", "latin-1"), ("utf-8", "cp1252")), (("cp949", "cp1252"), ("utf-8", "cp1252")),
 )
+#: (right, wrong) encodings with one byte for a letter each, for Cyrillic and Greek; letters without case and vowels look like theirs.
+NARROW_CHAINS = tuple((right, wrong) for right in ("cp1251", "koi8-r", "iso8859-5", "cp1253", "iso8859-7", "cp866") for wrong in ("cp1252", "latin-1", "mac_roman", "cp437"))
 WIDE_CHAINS = (("utf-8", "cp949"), ("utf-8", "cp932"), ("utf-8", "gbk"), ("cp949", "cp932"), ("cp949", "gbk"))
-#: Share of the syllables of a doubtful restoration that must be common.
-COMMON_SHARE = 0.6
+#: Share of the syllables of a doubtful restoration that must be common, and share of all uses that the common ones cover.
+COMMON_SHARE, COVERED = 0.6, 0.999
+#: The least letters of a word that narrow chains are tried on; no language that writes Latin letters has so many accented ones in a row.
+LEAST_WORD = 4
 #: Names that can't be garbled: ASCII and Hangul alone, without question marks.
 SUSPECT = r"[^\x00-\x7F가-힣]|\?"
 _RUN = re.compile(r"[^\x00-\x7f]+")
-_LOST = re.compile(r"(?:^|[^A-Za-z가-힣?!.\d=])\?|\?\?|\d\?(?=[ _()])")
+_MARKS = re.compile(r"\?+")
+_VOWELS = frozenset("аеёиоуыэюяіїєαεηιουωάέήίόύώ")
+#: What is left of syllables (UTF-8, KS X 1001) in bytes, with ASCII that their last byte took along.
+_BYTES = {"utf-8": re.compile(rb"(?:[\xe1-\xef][\x80-\xbf]{2}|[\x20-\x7e])+"), "cp949": re.compile(rb"(?:[\xb0-\xc8][\xa1-\xfe]|[\x20-\x7e])+")}
 _ESCAPED = re.compile(r"=\?[^?\s]+\?[BbQq]\?[^?]*\?=")
 FOUND = "table_name string, row_id long, name string, restored string, evidence string"
 
@@ -87,7 +99,7 @@ def _automaton():
 
     by_pattern: dict[str, list[tuple[int, str]]] = defaultdict(list)
     for n, chain in enumerate(BYTE_CHAINS):
-        for s in SYLLABLES + LETTERS * (chain in WESTERN):
+        for s in SYLLABLES if chain[0][0] == "cp949" else SYLLABLES + LETTERS:
             try:
                 if chain[0][0] == "cp949":
                     s.encode("euc-kr")
@@ -115,6 +127,76 @@ def _plausible(text: str, common: frozenset[str]) -> bool:
     return len(hangul) > 1
 
 
+def _telling(name: str, start: int, end: int, restored: str, chain: tuple[tuple[str, str], ...]) -> bool:
+    """Whether a UTF-8 sequence is one beyond doubt: three characters or more, several letters, or two characters that no language writes so.
+
+    Two characters are doubtful where the first may be a capital letter, or a sign before one. ``Ã`` and
+    ``Â`` are never followed by the signs that they are here; others must stand inside a word, with a
+    sign behind them.
+    """
+    if end - start > 2 or len(restored) > 1:
+        return True
+    first, second = name[start], name[start + 1]
+    if chain[0][1] in ("latin-1", "cp1252") and first in "ÃÂ":
+        return True
+    before, after = name[start - 1 : start], name[end : end + 1]
+    sign = second in "ªº" or not second.isalpha()
+    return first.isalpha() and sign and (before.islower() or (after.isascii() and after.isalpha()))
+
+
+def _narrow(run: str, at: int, name: str) -> list[tuple[int, int, str]]:
+    """A word of another alphabet out of letters that were read one by one: of one case or with a capital first, and with vowels.
+
+    Of several readings one in small letters comes first, then the one whose share of vowels is most usual.
+    """
+    around = name[at - 1 : at] + name[at + len(run) : at + len(run) + 1]
+    if len(run) < LEAST_WORD or any(c.isascii() and c.isalpha() for c in around):
+        return []
+    found: list[tuple[bool, float, str]] = []
+    for right, wrong in NARROW_CHAINS:
+        try:
+            text = run.encode(wrong).decode(right)
+        except UnicodeError:
+            continue
+        small = text.lower()
+        cased = text in (small, text.upper(), text[:1].upper() + small[1:])
+        one = all(c.isalpha() and c > "\u036f" for c in text) and len({c > "\u03ff" for c in text}) == 1
+        vowels = sum(c in _VOWELS for c in small)
+        if one and cased and 0.2 <= vowels / len(text) <= 0.75:
+            found.append((text == text.upper() != small, abs(vowels / len(text) - 0.43), text))
+    return [(at, at + len(run), min(found)[2])] if found else []
+
+
+def _stretches(run: str, right: str, wrong: str, common: frozenset[str]) -> list[tuple[int, int, str]]:
+    """The stretches of a run that convert back to Hangul: the whole run, or what of it is whole characters of the right encoding."""
+    table = _wide_bytes((right, wrong))[0]
+    data, bounds, at = [], {0: 0}, 0
+    for n, c in enumerate(run, 1):
+        try:
+            data.append(table.get(c) or c.encode(wrong))
+        except UnicodeError:
+            data.append(b"\xff")  # in no sequence
+        at += len(data[-1])
+        bounds[at] = n
+    whole = b"".join(data)
+    try:
+        text = whole.decode(right)
+        return [(0, len(run), text)] if text != run and _plausible(text, common) else []
+    except UnicodeError:
+        pass
+    found = []
+    for m in _BYTES[right].finditer(whole):
+        start, end, width = m.start(), m.end(), 3 if right == "utf-8" else 2
+        while start < end and start not in bounds:
+            start += width
+        while end > start and end not in bounds:
+            end -= 1 if whole[end - 1] < 0x80 else width
+        text = whole[start:end].decode(right, "replace")
+        if start < end and len(text) > 1 and text != run[bounds[start] : bounds[end]] and _plausible(text, common):
+            found.append((bounds[start], bounds[end], text))
+    return found
+
+
 def _spans(run: str, at: int, name: str, common: frozenset[str]) -> list[tuple[int, int, str]]:
     """The garbled spans of a run, as (start, end, restored): those of the chain that explains most of it."""
     matches: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
@@ -126,6 +208,7 @@ def _spans(run: str, at: int, name: str, common: frozenset[str]) -> list[tuple[i
             else:
                 matches[n].append((end + 1 - length, end + 1, s))
     best: list[tuple[int, int, str]] = []
+    most = (0, 0, 0, 0)  # characters explained, Hangul among the restored, shortness (text garbled twice is explained as such), rank of the chain
     for n, found in matches.items():
         joined: list[list] = []
         for start, end, s in sorted(found, key=lambda m: (m[0], -m[1])):
@@ -135,20 +218,39 @@ def _spans(run: str, at: int, name: str, common: frozenset[str]) -> list[tuple[i
                 joined[-1][1], joined[-1][2] = end, joined[-1][2] + s
             else:
                 joined.append([start, end, s])
-        sure = BYTE_CHAINS[n][0][0] == "utf-8"
-        kept = [(at + a, at + b, s) for a, b, s in joined if sure or _plausible(s, common)]
-        if (sum(b - a for a, b, _ in kept), -n) > (sum(b - a for a, b, _ in best), -len(BYTE_CHAINS)):
-            best = kept
+        chain = BYTE_CHAINS[n]
+        kept = [(at + a, at + b, s) for a, b, s in joined if (_telling(name, at + a, at + b, s, chain) if chain[0][0] == "utf-8" else _plausible(s, common))]
+        worth = (sum(b - a for a, b, _ in kept), sum("가" <= c <= "힣" for _, _, s in kept for c in s), -sum(len(s) for _, _, s in kept), -n)
+        if kept and (not best or worth > most):
+            best, most = kept, worth
     if wide and not best:
         for right, wrong in WIDE_CHAINS:
-            table = _wide_bytes((right, wrong))[0]
-            try:
-                text = b"".join(table.get(c) or c.encode(wrong) for c in run).decode(right)
-            except UnicodeError:
-                continue
-            if _plausible(text, common) and text != run:
-                return [(at, at + len(run), text)]
-    return best
+            if found := _stretches(run, right, wrong, common):
+                return [(at + a, at + b, s) for a, b, s in found]
+    return best or _narrow(run, at, name)
+
+
+def _lost(name: str) -> bool:
+    """Whether letters were replaced by question marks, one for each.
+
+    A replacement stands where a word begins, or behind the digits of a word that goes on or is
+    followed by another. Behind letters and closing signs a question mark is one, as it is alone in
+    brackets or, after a blank, at the end of a sentence.
+    """
+    for m in _MARKS.finditer(name):
+        before, after = name[m.start() - 1 : m.start()], name[m.end() : m.end() + 1]
+        alone = len(m.group()) == 1
+        if before.isdigit():
+            lost = after != "" and after in " _()"
+        elif before.isalpha() or (before and before in "?!.=)]}\"'»”’%&"):
+            lost = False
+        elif alone and before and before in "([{" and after and after in ")]}":
+            lost = False
+        else:
+            lost = not (alone and before == " " and (after == "" or after in ".") and name[: m.start()].rstrip()[-1:].isalpha())
+        if lost:
+            return True
+    return False
 
 
 def inspect(name: str | None, common: frozenset[str]) -> tuple[str | None, str] | None:
@@ -156,7 +258,8 @@ def inspect(name: str | None, common: frozenset[str]) -> tuple[str | None, str]
 
     Null, empty and ASCII names are clean, as escaped names, other Unicode forms of Hangul and names in
     other languages are. Replacement characters, question marks in place of letters and control
-    characters (U+0080 to U+009F) show a loss or an error by themselves.
+    characters (U+0080 to U+009F) show a loss or an error by themselves; garbled spans beside them are
+    restored all the same.
     """
     if not name:
         return None
@@ -166,22 +269,26 @@ def inspect(name: str | None, common: frozenset[str]) -> tuple[str | None, str]
             pieces += [name[last:start], text]
             last, spans = end, spans + 1
     whole = "".join(pieces) + name[last:]
-    lost = "�" in name or bool(_LOST.search(_ESCAPED.sub("", name)))
-    odd = bool(re.search(r"[\x80-\x9f]", whole))
-    if lost:
-        return None, "lost characters"
-    if spans:
-        return (None if odd else whole), "garbled sequence"
-    return (None, "control characters") if odd else None
+    evidence = ["garbled sequence"] * bool(spans)
+    if "�" in name or _lost(_ESCAPED.sub("", name)):
+        evidence.append("lost characters")
+    if re.search(r"[\x80-\x9f]", whole):
+        evidence.append("control characters")
+    return (whole if spans else None, ", ".join(evidence)) if evidence else None
 
 
 def common_syllables(names: DataFrame) -> frozenset[str]:
-    """The Hangul syllables of the clean names, at most 11,172; those seen in one name only of many are left out."""
+    """The Hangul syllables of the clean names, at most 11,172: the most used ones that together make up ``COVERED`` of all uses."""
     clean = names.filter(r"name rlike '[가-힣]' and not name rlike '[^\\x00-\\x7F가-힣]'")
     each = clean.select(F.explode(F.array_distinct(F.split(F.regexp_replace("name", "[^가-힣]", ""), ""))).alias("c"))
     counts = {r.c: r.n for r in each.filter("c <> ''").groupBy("c").agg(F.count("*").alias("n")).collect()}
-    least = 2 if sum(counts.values()) >= 1000 else 1
-    return frozenset(c for c, n in counts.items() if n >= least)
+    chosen, used, enough = set(), 0, COVERED * sum(counts.values())
+    for c, n in sorted(counts.items(), key=lambda e: (-e[1], e[0])):
+        if used >= enough:
+            break
+        chosen.add(c)
+        used += n
+    return frozenset(chosen)
 
 
 def find_garbled(names: DataFrame) -> DataFrame:
