@@ -76,9 +76,11 @@ def _xml_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[
             return whole, 0
         return None
 
+    entry_names = {entry for _, entry in nest}
+
     def start(name: str, _: Any) -> None:
-        name = local_name(name)
-        entry = opened(name)
+        name = local_name(name) if ":" in name or "}" in name else name
+        entry = opened(name) if extra or name in entry_names else None
         if seen is not None and rows:
             if not (entry and entry[1]):
                 twins[-1][name] = twins[-1].get(name, 0) + 1
