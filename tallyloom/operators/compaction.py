@@ -33,7 +33,7 @@ from tallyloom.session import cut
 SALTS = 16
 TARGET_BYTES = 128 << 20
 #: A shard fills about so many groups, and has no more than about so many files if they fill a group.
-SHARD_GROUPS, SHARD_FILES = 8, 500_000
+SHARD_GROUPS, SHARD_FILES = 4, 500_000
 #: What a file weighs beside its content: its key and id in the output.
 FILE_BYTES = 256
 ROW_GROUP_BYTES = 8 << 20

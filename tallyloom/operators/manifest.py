@@ -30,7 +30,11 @@ def conflicts(manifest: DataFrame, key: str = "task_id", digest: str = "sha256")
 
 
 def last_wins(manifest: DataFrame, key: str, order: list[str], where: str | None = None) -> DataFrame:
-    """The last row of each key among those that ``where`` selects, with all columns; partial aggregation, no window sort."""
+    """The last row of each key among those that ``where`` selects, with all columns.
+
+    Rows are combined before the shuffle, so no task gets all rows of a key. As the state is a whole row,
+    the rows are sorted by key on both sides of it; select the columns that are needed before.
+    """
     return _one(manifest, key, order, where, F.max_by)
 
 

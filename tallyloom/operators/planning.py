@@ -1,8 +1,9 @@
 """From a declarative catalogue to a deterministic grid of tasks with content-derived ids.
 
-Strategies differ only in the dimensions that they need. Years, divisions and the catalogue are
-small by nature; schools are joined by year with an equi join, so the grid is built without a
-shuffle of its own size, and AQE decides on broadcasts by the sizes that it measures.
+Strategies differ only in the dimensions that they need. The rows of the dimensions carry the
+strategies that they serve, so the grid is one join on the strategy. Each strategy is one hot key, so
+the catalogue is sent whole if a count shows that it is small; else the dimensions are spread over
+salts. Endpoints and dimensions are made distinct before the join, so the grid is unique by itself.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.ids import content_id, sorted_pairs
 from tallyloom.functions.text import SECRETS, normalized_key
+from tallyloom.operators.skew import SALTS, SMALL_ROWS
 
 #: The strategies, each with the parameters that a task of it has.
 STRATEGIES = {
@@ -74,31 +76,50 @@ def parameter_clashes(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("service", "operation", F.array_sort(F.array_union(clash, secret)).alias("clashes")).filter(F.size("clashes") > 0)
 
 
-def expand(catalogue: DataFrame, years: DataFrame, schools: DataFrame, divisions: DataFrame, prefix: str = "task-") -> DataFrame:
+def _once(catalogue: DataFrame) -> DataFrame:
+    """The different rows of a catalogue, with ``fixed_params`` never null."""
+    pairs = sorted_pairs(F.col("fixed_params")).alias("pairs")
+    known = catalogue.filter(F.col("scope_strategy").isin(*STRATEGIES)).select(*ENDPOINT, pairs).distinct()
+    return known.select(*ENDPOINT, F.map_from_entries(F.transform("pairs", lambda p: F.struct(p[0], p[1]))).alias("fixed_params"))
+
+
+def expand(catalogue: DataFrame, years: DataFrame, schools: DataFrame, divisions: DataFrame, prefix: str = "task-", salts: int = SALTS, small_rows: int = SMALL_ROWS) -> DataFrame:
     """The tasks of all endpoints, each once. ``years`` has ``svyYr``; ``schools`` ``svyYr, schlId``; ``divisions`` ``schlDivCd``.
 
     A fixed parameter that clashes with one of the strategy is an error when the plan runs. Schools
     of years that were not requested are not expanded; unknown strategies give no tasks.
     """
-    fixed = F.coalesce(F.col("fixed_params"), F.create_map().cast("map<string,string>"))
+    text = F.lit(None).cast("string")
     by_year = years.select("svyYr").distinct()
     by_school = schools.select("svyYr", "schlId").distinct().join(by_year, "svyYr", "left_semi")
-
-    def branch(strategies: list[str], dimension: DataFrame | None, names: list[str]) -> DataFrame:
-        rows = catalogue.filter(F.col("scope_strategy").isin(*strategies))
-        joined = rows if dimension is None else rows.join(dimension)
-        own = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*names)) if names else F.create_map().cast("map<string,string>")
-        clash = F.arrays_overlap(F.map_keys(fixed), F.map_keys(own))
-        merged = F.when(clash, F.raise_error(F.lit("fixed and scope parameters conflict"))).otherwise(F.map_concat(fixed, own))
-        return joined.select(*ENDPOINT, merged.alias("params"))
-
-    grid = (
-        branch(["per_school_by_year"], by_school, ["schlId", "svyYr"])
-        .unionByName(branch(["nationwide_by_year", "lookup_by_year"], by_year, ["svyYr"]))
-        .unionByName(branch(["regional_by_school_type"], divisions.select("schlDivCd").distinct(), ["schlDivCd"]))
-        .unionByName(branch(["regional_all_school_types", "lookup_once"], None, []))
+    values = {"schlId": text, "svyYr": text, "schlDivCd": text}
+
+    def serving(dimension: DataFrame, *names: str) -> DataFrame:
+        served = [s for s, own in STRATEGIES.items() if set(own) == set(names)]
+        columns = [(F.col(n) if n in names else v).alias(n) for n, v in values.items()]
+        return dimension.select(F.explode(F.array(*map(F.lit, served))).alias("scope_strategy"), *columns)
+
+    nothing = catalogue.sparkSession.range(1)
+    dimensions = (
+        serving(by_school, "schlId", "svyYr")
+        .unionByName(serving(by_year, "svyYr"))
+        .unionByName(serving(divisions.select("schlDivCd").distinct(), "schlDivCd"))
+        .unionByName(serving(nothing))
     )
-    return grid.select(task_id(prefix).alias("task_id"), *ENDPOINT, "params").dropDuplicates(["task_id"])
+    endpoints = _once(catalogue)
+    if endpoints.limit(small_rows + 1).count() <= small_rows:
+        joined = dimensions.join(F.broadcast(endpoints), "scope_strategy")
+    else:
+        spread = endpoints.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = dimensions.withColumn("salt", F.pmod(F.xxhash64(*values), F.lit(salts)).cast("int")).join(spread, ["scope_strategy", "salt"])
+    own = F.create_map().cast("map<string,string>")
+    for strategy, names in STRATEGIES.items():
+        if names:
+            own = F.when(F.col("scope_strategy") == strategy, F.create_map(*(x for n in names for x in (F.lit(n), F.col(n))))).otherwise(own)
+    grid = joined.withColumn("own", own)
+    clash = F.arrays_overlap(F.map_keys("fixed_params"), F.map_keys("own"))
+    merged = F.when(clash, F.raise_error(F.lit("fixed and scope parameters conflict"))).otherwise(F.map_concat("fixed_params", "own"))
+    return grid.select(*ENDPOINT, merged.alias("params")).select(task_id(prefix).alias("task_id"), *ENDPOINT, "params")
 
 
 def task_id(prefix: str) -> Column:

@@ -181,11 +181,12 @@ def manifest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming = table(spark, sf_dir, "raw_responses", "response_id", "raw_path", "sha256").withColumn("file_key", canonical_path(F.col("raw_path")))
     known = table(spark, sf_dir, "manifest_records", "raw_path", "sha256").filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("sha256").alias("known"))
-    recorded = known.groupBy("file_key").agg(F.countDistinct("known").alias("digests"), F.collect_set("known").alias("shas"))
-    joined = incoming.join(recorded, "file_key", "left").join(_facts(spark, sf_dir), "file_key", "left")
+    recorded = known.groupBy("file_key").agg(F.min("known").alias("known"), F.max("known").alias("other"), F.count("*").alias("records"))
+    joined = skew.join_unique(skew.join_unique(incoming, recorded, ["file_key"]), _facts(spark, sf_dir), ["file_key"])
     no = F.lit(False)
+    digests = F.when(F.col("known") == F.col("other"), 1).when(F.col("known").isNotNull(), 2).otherwise(0)
     decision = manifest.publication(
-        F.col("digests").isNotNull(), F.col("digests"), F.coalesce(F.array_contains("shas", F.col("sha256")), no), F.coalesce(F.array_contains("shas", F.col("fact_digest")), no),
+        F.col("records").isNotNull(), digests, F.coalesce(F.col("known") == F.col("sha256"), no), F.coalesce(F.col("known") == F.col("fact_digest"), no),
         F.col("fact_digest").isNotNull(), F.coalesce(F.col("fact_digest") == F.col("sha256"), no),
     )
     return joined.select("response_id", decision.alias("decision"))

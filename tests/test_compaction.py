@@ -58,8 +58,8 @@ def test_schedule(spark, rows):
 def test_shards_follow_bytes_and_files(spark, rows):
     tiny = [(n, f"p{n}", 100) for n in range(200)]
     assert rows(group_sizes(schedule(files(spark, tiny), target_bytes=1 << 20, shard_files=20)), "files", "bytes") == [(200, 20_000)]
-    assert shard_count(50_000, 50_000 * 1024, 128 << 20) == 1 and shard_count(10**9, 10**9 * 2048, 128 << 20) == 2000
-    assert shard_count(10**6, 1 << 50, 128 << 20) == (1 << 50) // (8 * 128 << 20) and shard_count(0, 0, 128 << 20) == 1
+    assert shard_count(50_000, 50_000 * 1024, 128 << 20) == 1 and shard_count(10**9, 10**9 * 2048, 128 << 20) == 10**9 * 2048 // (4 * 128 << 20)
+    assert shard_count(10**6, 1 << 50, 128 << 20) == (1 << 50) // (4 * 128 << 20) and shard_count(0, 0, 128 << 20) == 1
     assert shard_count(10**9, 10**9 * 256, 128 << 20) <= 10**9 * 256 // (128 << 20)  # no shard is less than one group
 
 

@@ -197,7 +197,7 @@ def test_join_unique(spark, rows):
     left = spark.createDataFrame([("hot", n) for n in range(50)] + [("a", 1), ("b", 2), (None, 3)], "k string, n int")
     right = spark.createDataFrame([("hot", "x"), ("a", "y"), ("c", "z"), (None, "w")], "k string, v string")
     for how in ("left", "inner"):
-        assert rows(skew.join_unique(left, right, ["k"], how, hot_rows=10)) == rows(left.join(right, "k", how))
+        assert rows(skew.join_unique(left, right, ["k"], how)) == rows(left.join(right, "k", how))
         assert rows(skew.join_unique(left.limit(0), right, ["k"], how)) == []
 
 
@@ -261,3 +261,26 @@ def test_unknown_with_repeats(spark, rows):
 def test_secrets_in_a_catalogue(spark, rows):
     catalog = catalogue(spark, ("S", "a", "lookup_once", {"api-key": "x", "page": "1"}), ("S", "b", "lookup_once", {"Authorization": "x"}), ("S", "c", "lookup_once", None))
     assert rows(planning.parameter_clashes(catalog)) == [("S", "a", ["api-key"]), ("S", "b", ["Authorization"])]
+
+
+def test_medians_of_many_values(spark, rows):
+    import random
+
+    r = random.Random(6)
+    data = [("hot", r.choice([r.random(), 0.5])) for _ in range(30_001)] + [("even", float(n)) for n in range(4)] + [("two", 1.0), ("two", 2.0), ("same", 7.0), ("same", 7.0), ("none", None)]
+    got = dict(rows(skew.upper_medians(spark.createDataFrame(data, "k string, v double"), ["k"], "v", "m")))
+    values = {}
+    for k, v in data:
+        values.setdefault(k, []).append(v)
+    assert got == {k: sorted(v)[len(v) // 2] for k, v in values.items() if None not in v}
+
+
+def test_grid_without_a_broadcast(spark, rows):
+    endpoints = catalogue(spark, *(("S", s, s, {"page": "1"}) for s in planning.STRATEGIES), ("S", "odd", "no such strategy", None))
+    of = dimensions(spark, ["2025", "2024"], [("2025", "1"), ("2024", "2"), ("2024", "2"), ("2023", "3")], ["01", "02"])
+    whole = rows(planning.expand(endpoints, *of).select("task_id", "operation"))
+    assert len(whole) == 2 + 2 + 2 + 1 + 1 + 2 and len({t for t, _ in whole}) == len(whole)
+    spread = planning.expand(endpoints, *of, small_rows=0)
+    assert rows(spread.select("task_id", "operation")) == whole
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
