@@ -33,9 +33,9 @@ def parser() -> argparse.ArgumentParser:
 
 def run(args: argparse.Namespace, spark: SparkSession) -> int:
     if args.command == "query":
-        from tallyloom.plans import collection, problems, star
+        from tallyloom.plans import collection, problems, readers, star
 
-        known = {n: q for slate in (collection, star, problems) for n, q in slate.QUERIES.items()}
+        known = {n: q for slate in (collection, star, readers, problems) for n, q in slate.QUERIES.items()}
         if args.name not in known:
             raise ValueError(f"unknown query: {args.name}; there are {', '.join(sorted(known))}")
         df = known[args.name](spark, args.tables)

@@ -113,9 +113,14 @@ def exact_duplicates(items: DataFrame, by: str) -> DataFrame:
 
 
 def same_responses(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
-    """Pairs of responses with the same key: whether their items are equal, in order."""
-    whole = lambda df, name: df.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("item_no", "pairs"))).alias(name))
-    return whole(left, "l").join(whole(right, "r"), by).select(by, (F.col("l") == F.col("r")).alias("same"))
+    """Responses that both sides have (``by``): whether their items are equal, in order.
+
+    Items meet by their number and are counted as equal or not, so no response is ever held whole.
+    """
+    a = left.select(by, "item_no", F.col("pairs").alias("l"), F.lit(True).alias("in_l"))
+    b = right.select(by, "item_no", F.col("pairs").alias("r"), F.lit(True).alias("in_r"))
+    each = a.join(b, [by, "item_no"], "full").withColumn("equal", F.col("in_l").isNotNull() & F.col("in_r").isNotNull() & F.col("l").eqNullSafe(F.col("r")))
+    return each.groupBy(by).agg(F.bool_and("equal").alias("same"), F.count("in_l").alias("l"), F.count("in_r").alias("r")).filter("l > 0 and r > 0").select(by, "same")
 
 
 def file_facts(df: DataFrame, content: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Append-only JSON-lines manifests, strict and lenient.
 
-A line's place is told by the byte offset of its start in its file, which ``text`` readers do not
-give; the last line of a file, and whether it is ended, come from the file's own bytes. So files are
-read whole, one task each, and split there; everything after is relational.
+Lines are read by the text source, so a growing log is split over many tasks. A line's number comes
+from the numbers of lines in the blocks before its own, a table of one row per block; whether the
+last line of a file was ended comes from the last byte of the file, which one task per file reads.
 """
 
 from __future__ import annotations
@@ -10,33 +10,59 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.paths import location
 from tallyloom.model import MANIFEST, MANIFEST_REQUIRED, PORTAL_MANIFEST
+from tallyloom.operators.compaction import file_system
 
 LINES = "path string, line_no long, line string, ended boolean, last boolean"
 
 
+def _closed(files: DataFrame) -> DataFrame:
+    """``path`` and ``closed``: whether a newline is the last byte of the file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                system, name = file_system(path)
+                with system.open_input_file(name) as f:
+                    size = f.size()
+                    found.append(size > 0 and f.read_at(1, size - 1) == b"\n")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.bool_())], ["path", "closed"])
+
+    return files.select("path").mapInArrow(run, "path string, closed boolean")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of all files of ``path`` with their number, whether a newline ends them and whether no other follows.
 
     Blank lines are counted but left out; the last line is the last that is not blank.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("path", pa.string()), ("line_no", pa.int64()), ("line", pa.string()), ("ended", pa.bool_()), ("last", pa.bool_())])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, at = None, 0
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = data.split(b"\n")
-                rows = [{"path": name, "line_no": n, "line": p.decode("utf-8", "replace"), "ended": n < len(parts), "last": False} for n, p in enumerate(parts, 1) if p.strip()]
-                if rows:
-                    rows[-1]["last"] = True
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, LINES)
+            places = []
+            for place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                here, at = place, at + 1 if place == here else 0
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], ["path", "block", "line", "at"])
+
+    read = spark.read.option("lineSep", "\n").text(path)
+    found = read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    rows = found.mapInArrow(count, "path string, block long, line string, at long")  # one task reads a block from its start to its end
+    full = F.col("line").rlike(r"\S")
+    blocks = rows.groupBy("path", "block").agg(F.count("*").alias("n"), F.max(F.when(full, F.col("at"))).alias("last_full"))
+    file = Window.partitionBy("path")
+    earlier = file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last_block = F.max(F.when(F.col("last_full").isNotNull(), F.col("block"))).over(file)
+    placed = blocks.withColumns({"before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(file), "last_at": F.when(F.col("block") == last_block, F.col("last_full"))})
+    known = placed.join(_closed(blocks.select("path").distinct()), "path").select("path", "block", "before", "total", "last_at", "closed")
+    number = F.col("before") + F.col("at") + 1
+    return rows.filter(full).join(known, ["path", "block"]).select("path", number.alias("line_no"), "line", ((number < F.col("total")) | F.col("closed")).alias("ended"), F.coalesce(F.col("at") == F.col("last_at"), F.lit(False)).alias("last"))
 
 
 # Filters may be moved past an error that an expression raises, so its condition repeats theirs.

@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 
 from comparison import DATA, same
-from tallyloom.plans import collection, problems, star
+from tallyloom.plans import collection, problems, readers, star
 
-SLATES = [collection, star, problems]
+SLATES = [collection, star, readers, problems]
 WITH_SQL = [(n, s) for s in SLATES for n in s.SQL]
 WITHOUT = [(n, s) for s in SLATES for n in s.QUERIES if n not in s.SQL]
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data")
