@@ -87,6 +87,38 @@ def assertions(df: DataFrame, **rules: Column) -> DataFrame:
     return one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col("rows"), F.col(n).alias("failed")) for n in rules))).alias("x")).select("x.*")
 
 
+def declared_fields_failure() -> Column:
+    """Why the declared ``output_fields`` of an endpoint cannot be used, or null: none, a blank one, one twice."""
+    fields = F.col("output_fields")
+    return first_failure(
+        (fields.isNull() | (F.size(fields) == 0), "no fields"),
+        (F.exists(fields, lambda f: f.isNull() | (F.trim(f) == "")), "blank field"),
+        (F.size(F.array_distinct(fields)) != F.size(fields), "repeated field"),
+    )
+
+
+def probe_rules(probes: DataFrame, omitted_year: DataFrame, school_forms: DataFrame, pages: DataFrame, expected: int, page_rows: int) -> DataFrame:
+    """The rules that a live service must keep, each with the rows judged and failed.
+
+    ``probes``: ``error, result_code, total_count, item_count`` of one row asked of each operation.
+    ``omitted_year``: ``result_code, total_count`` without a year. ``school_forms``: the totals of each
+    operation for one school (``single``), none (``omitted``), several in one parameter (``comma``,
+    ``pipe``), several parameters (``repeated_schools``: the schools in the answer, ``school``: the first
+    one asked for, ``repeated_same``: whether its rows are those of the first alone). ``pages``:
+    ``result_code, total_count, item_count`` of two pages that follow each other.
+    """
+    ok = F.col("result_code") == "00"
+    same_total = pages.agg((F.countDistinct("total_count") == 1).alias("same")).select("same")
+    return (
+        assertions(probes, answered=F.col("error").isNull(), normal=ok, counted=(F.col("total_count") >= 0) & (F.col("item_count") <= 1))
+        .unionByName(assertions(probes.agg(F.count("*").alias("n")), all_operations=F.col("n") == expected))
+        .unionByName(assertions(omitted_year, year_omitted=ok & (F.col("total_count") == 0)))
+        .unionByName(assertions(school_forms, school_omitted=F.col("omitted") == 0, one_parameter_for_several=(F.col("comma") == 0) & (F.col("pipe") == 0), repeated_parameter=F.col("repeated_same") & (F.col("repeated_schools") == F.array("school"))))
+        .unionByName(assertions(pages, page_normal=ok, page_full=F.col("item_count") == page_rows))
+        .unionByName(assertions(same_total, page_totals=F.col("same")))
+    )
+
+
 def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """The rows; a key that occurs more than once stops the job."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("times"), F.any_value(F.struct(*df.columns)).alias("row"))

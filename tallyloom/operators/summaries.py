@@ -33,3 +33,10 @@ def validation_summary(probes: DataFrame) -> DataFrame:
         F.countDistinct("service").alias("services"), F.countDistinct("service", "operation").alias("operations"), F.count_if(passed).alias("passed"),
         ratio(passed).alias("passed_ratio"), ratio(F.coalesce(F.col("total_count") == 0, F.lit(False))).alias("zero_ratio"), F.bool_and(passed).alias("all_passed"), F.bool_or(passed).alias("any_passed"),
     )
+
+
+def outcome_table(probes: DataFrame) -> DataFrame:
+    """The table behind a report: a row for each service, a column for each outcome of its operations, and their number."""
+    outcome = F.when(F.coalesce(F.col("result_code") != "00", F.lit(True)), "failed").when(F.col("total_count") > 0, "with_rows").otherwise("zero_rows")
+    table = probes.withColumn("_outcome", outcome).groupBy("service").pivot("_outcome", ["with_rows", "zero_rows", "failed"]).count().na.fill(0, ["with_rows", "zero_rows", "failed"])
+    return table.withColumn("operations", F.col("with_rows") + F.col("zero_rows") + F.col("failed"))

@@ -414,6 +414,20 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.validation_summary(_probes(spark, sf_dir))
 
 
+@query(f"""WITH {_PROBES} SELECT service, count(*) FILTER (WHERE result_code = '00' AND total_count > 0) AS with_rows, count(*) FILTER (WHERE result_code = '00' AND NOT coalesce(total_count > 0, false)) AS zero_rows,
+  count(*) FILTER (WHERE result_code IS DISTINCT FROM '00') AS failed, count(*) AS operations FROM p GROUP BY service""")
+def outcome_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes by service as a table of counts."""
+    return summaries.outcome_table(_probes(spark, sf_dir))
+
+
+@query("""SELECT service, operation, CASE WHEN output_fields IS NULL OR len(output_fields) = 0 THEN 'no fields' WHEN len(list_filter(output_fields, lambda f: f IS NULL OR trim(f) = '')) > 0 THEN 'blank field'
+  WHEN len(list_distinct(output_fields)) <> len(output_fields) THEN 'repeated field' ELSE 'valid' END AS failure FROM endpoint_catalog""")
+def contract_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "endpoint_catalog", "service", "operation", "output_fields")
+    return rows.select("service", "operation", F.coalesce(contracts.declared_fields_failure(), F.lit("valid")).alias("failure"))
+
+
 # --- scalar functions ---------------------------------------------------------------------------------
 
 _CLEAN = r"""coalesce(nullif(trim(regexp_replace({0}, '[\\/:*?"<>|\x00-\x1f]+', '_', 'g'), ' .'), ''), 'unnamed')"""

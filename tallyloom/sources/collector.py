@@ -1,22 +1,30 @@
 """Collecting one planned response: a probe of one row, then all rows, each judged by the contract.
 
-The network part runs in one task per partition of the plan; a failed task is a row, not an error.
-Only a response beyond the row limit stops the job.
+The network part runs in one task per partition of the plan; a failed task is a row, not an error. A
+response beyond the row limit is a row too, so that what was collected beside it can be stored first;
+``within_limits`` then stops the job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import safe_params
+from tallyloom.model import MANIFEST
 from tallyloom.operators.planning import request_params
-from tallyloom.operators.profiles import profile
+from tallyloom.operators.profiles import exact_rows, profile, school_lists, xml_profiles
+from tallyloom.sinks.store import raw_paths
 from tallyloom.sources.http import fetch, request_url
 
+BEYOND = "beyond the row limit: "
+
 COLLECTED = "task_id string, status string, failure string, requests int, total_count long, item_count long, sha256 string, payload string"
 
 
@@ -71,18 +79,70 @@ def collect_one(endpoint: str, params: dict[str, str], declared: list[str] | Non
     raise AssertionError
 
 
-def collect(tasks: DataFrame, concurrency: int = 2, **options) -> DataFrame:
-    """``COLLECTED`` for tasks with ``task_id, endpoint_url, params, output_fields``; ``concurrency`` partitions bound the requests in flight."""
+def collect(tasks: DataFrame, concurrency: int = 2, between: float = 0.0, **options) -> DataFrame:
+    """``COLLECTED`` for tasks with ``task_id, endpoint_url, params, output_fields``.
+
+    ``concurrency`` partitions bound the requests in flight; each pauses for ``between`` seconds after a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("task_id", pa.string()), ("status", pa.string()), ("failure", pa.string()), ("requests", pa.int32()), ("total_count", pa.int64()), ("item_count", pa.int64()), ("sha256", pa.string()), ("payload", pa.string())])
         for batch in batches:
             for task_id, url, params, declared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield pa.RecordBatch.from_pylist([{"task_id": task_id} | collect_one(url, dict(params or ()), declared, **options)], schema)
+                try:
+                    row = collect_one(url, dict(params or ()), declared, **options)
+                except RowLimit as e:
+                    row = {"status": "failed", "failure": f"{BEYOND}{e}", "requests": 1}
+                yield pa.RecordBatch.from_pylist([{"task_id": task_id} | row], schema)
+                time.sleep(between)
 
     return tasks.select("task_id", "endpoint_url", "params", "output_fields").repartition(concurrency).mapInArrow(run, COLLECTED)
 
 
+def within_limits(collected: DataFrame) -> DataFrame:
+    """What was collected; raises ``RowLimit`` if any response was beyond the limit. Store the rows first (``session.cut`` or a written table)."""
+    if beyond := collected.filter(F.startswith("failure", F.lit(BEYOND))).select("task_id", "failure").first():
+        raise RowLimit(f"{beyond.task_id}: {beyond.failure}")
+    return collected
+
+
+def manifest_rows(collected: DataFrame, tasks: DataFrame, collected_at: Column) -> DataFrame:
+    """The rows of a manifest for the stored responses, with their profile: every field of ``model.MANIFEST``.
+
+    ``raw_path`` is where ``store.raw_path`` puts a response; secrets are not among the parameters.
+    """
+    stored = collected.filter("status = 'stored'").select("task_id", "payload", "sha256")
+    facts = xml_profiles(stored, "task_id", "payload").select("task_id", "result_code", "total_count", F.col("item_count").alias("row_count"), "field_names", "duplicate_row_count")
+    known = tasks.join(stored.select("task_id", "sha256", F.octet_length("payload").cast("long").alias("bytes")), "task_id").join(facts, "task_id")
+    rows = known.withColumns({
+        "raw_path": raw_paths(F.col("service"), F.col("operation"), F.col("task_id")), "collected_at": collected_at, "http_status": F.lit(200),
+        "column_count": F.size("field_names"), "params": safe_params(F.col("params")),
+    })
+    return rows.select(*(part.split()[0] for part in MANIFEST.split(", ")))
+
+
+def schools(years: list[str], stored: DataFrame, download: Callable[[str], dict] | None = None) -> DataFrame:
+    """The schools of each year out of stored lists (``svyYr``, ``payload``), judged by ``profiles.school_lists``.
+
+    A year that is not stored is fetched by ``download`` (as ``fetch`` gives a response), or an error
+    without it. A list that breaks a rule is an error.
+    """
+    spark = stored.sparkSession
+    wanted = spark.createDataFrame([(y,) for y in sorted(set(years))], "svyYr string")
+    missing = [r.svyYr for r in wanted.join(stored.select("svyYr"), "svyYr", "left_anti").collect()]
+    if missing and download is None:
+        raise ValueError(f"no stored lists of schools for {missing}, and none may be fetched")
+    fetched = [(year, download(year)["payload"]) for year in missing]
+    lists = stored.select("svyYr", "payload").join(wanted, "svyYr", "left_semi").unionByName(spark.createDataFrame(fetched, "svyYr string, payload string"))
+    value = lambda name: F.get(F.filter("pairs", lambda p: p["name"] == name), F.lit(0))["value"]
+    items = exact_rows(lists, "svyYr", "payload").select("svyYr", value("svyYr").alias("item_year"), value("schlId").alias("schlId"))
+    counts = xml_profiles(lists, "svyYr", "payload").groupBy("svyYr").agg(F.sum("total_count").alias("expected"))
+    judged = school_lists(items, counts)
+    if bad := judged.filter("problem is not null").select("svyYr", "problem").collect():
+        raise ValueError(f"unusable lists of schools: {[(r.svyYr, r.problem) for r in bad]}")
+    return judged.select("svyYr", F.explode("schools").alias("schlId"))
+
+
 PROBED = "service string, operation string, scope_strategy string, http_status int, result_code string, total_count long, item_count long, sha256 string, attempts int, error string"
 
 
@@ -115,6 +175,16 @@ class Policy:
     probe_rows: int = 1
     row_limit: int = 70_000
 
+    @classmethod
+    def of(cls, config: dict, **given: Any) -> Policy:
+        """The limits of a configuration (``default_concurrency``, ``max_concurrency``, ``probe_page_size``, ``single_page.max_verified_rows``), with those ``given`` in their place."""
+        names = {"default_concurrency": "concurrency", "max_concurrency": "most_concurrency", "probe_page_size": "probe_rows"}
+        page = config.get("single_page")
+        if not isinstance(page, dict) or "max_verified_rows" not in page or set(names) - set(config):
+            raise ValueError("the configuration lacks limits")
+        bound = {own: int(config[name]) for name, own in names.items()} | {"row_limit": int(page["max_verified_rows"])}
+        return cls(**(bound | {k: v for k, v in given.items() if v is not None}))
+
     def __post_init__(self) -> None:
         if not 1 <= self.concurrency <= self.most_concurrency:
             raise ValueError("concurrency is out of range")

@@ -284,3 +284,20 @@ def test_grid_without_a_broadcast(spark, rows):
     assert rows(spread.select("task_id", "operation")) == whole
     plan = spread._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_probe_rules(spark, rows):
+    probes = spark.createDataFrame([(None, "00", 2, 1), ("timeout", None, None, None)], "error string, result_code string, total_count long, item_count long")
+    year = spark.createDataFrame([("00", 0), ("00", 3)], "result_code string, total_count long")
+    forms = spark.createDataFrame([(5, 0, 0, 0, ["1"], "1", True), (5, 0, 1, 0, ["1", "2"], "1", None)], "single long, omitted long, comma long, pipe long, repeated_schools array<string>, school string, repeated_same boolean")
+    pages = spark.createDataFrame([("00", 900, 500), ("00", 901, 400)], "result_code string, total_count long, item_count long")
+    got = {r: (n, bad) for r, n, bad in rows(contracts.probe_rules(probes, year, forms, pages, 2, 500))}
+    assert got == {
+        "answered": (2, 1), "normal": (2, 1), "counted": (2, 1), "all_operations": (1, 0), "year_omitted": (2, 1), "school_omitted": (2, 0),
+        "one_parameter_for_several": (2, 1), "repeated_parameter": (2, 1), "page_normal": (2, 0), "page_full": (2, 1), "page_totals": (1, 1),
+    }
+
+
+def test_row_limit_stops(spark):
+    with pytest.raises(Exception, match=ERROR):
+        contracts.within_limit(spark.createDataFrame([(5,), (7,)], "n int"), "n", 6).collect()

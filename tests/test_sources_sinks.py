@@ -94,6 +94,12 @@ class Api(BaseHTTPRequestHandler):
             self.send_response(404)
             self.end_headers()
             return
+        if self.path.startswith("/landing"):
+            self.send_response(200)
+            self.send_header("Set-Cookie", "key=1; Path=/")
+            self.end_headers()
+            self.wfile.write(b"<ul><li>Label<a onclick=\"download('1','r','2024 d','g')\">2020</a></li></ul>")
+            return
         total = int(query.get("total", "3"))
         items = "".join(f"<item><v>{n}</v></item>" for n in range(min(total, int(query.get("numOfRows", "99")))))
         body = "<broken>" if query.get("mode") == "broken" else f"<r><resultCode>00</resultCode><items>{items}</items><totalCount>{total}</totalCount></r>"
@@ -101,6 +107,16 @@ class Api(BaseHTTPRequestHandler):
         self.end_headers()
         self.wfile.write(body.encode())
 
+    def do_POST(self):
+        body = self.rfile.read(int(self.headers["Content-Length"]))
+        kind = self.headers["Content-Type"].split(";")[0]
+        answer = {"/list": [{"atflYr": "2025", "atchFileSn": "7"}, 5, {"atflYr": "ALL"}], "/bad": {"x": 1}}.get(self.path, {"aplList": [{"domnCd": "1", "eduDataSeNm": self.headers.get("Cookie", "")}, {"domnCd": ""}]})
+        if kind == "multipart/form-data":
+            self.calls.append(body.decode())
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps(answer).encode())
+
     def log_message(self, *_):
         pass
 
@@ -159,8 +175,8 @@ def test_store(tmp_path):
     source, manifest = tmp_path / "in", tmp_path / "log" / "m.jsonl"
     source.write_bytes(b"abc")
     assert store.save(source, tmp_path / "raw", "S/o/t.xml", manifest, {"task_id": "t"}) == "stored"
-    assert store.save(source, tmp_path / "raw", "S/o/t.xml", manifest, {"task_id": "t"}) == "adopted"
-    assert len(manifest.read_text().splitlines()) == 2
+    assert store.save(source, tmp_path / "raw", "S/o/t.xml", manifest, {"task_id": "t"}) == "skipped"
+    assert len(manifest.read_text().splitlines()) == 1
     source.write_bytes(b"other")
     with pytest.raises(store.PathConflict):
         store.save(source, tmp_path / "raw", "S/o/t.xml", manifest, {})
@@ -259,3 +275,145 @@ def test_command_line(spark, capsys, tmp_path):
     assert json.loads(capsys.readouterr().out)["params"] == {"svyYr": "2025"}
     assert main(["plan", "--catalogue", str(tmp_path / "c.json"), "--year", "25"]) == 1
     assert main(["query", "nothing", str(tmp_path)]) == 1
+
+
+def test_save_resumes(tmp_path):
+    one, other, manifest, root = tmp_path / "one", tmp_path / "other", tmp_path / "m.jsonl", tmp_path / "raw"
+    one.write_text("a")
+    other.write_text("b")
+    (root / "S").mkdir(parents=True)
+    (root / "S" / "there.xml").write_text("a")
+    assert store.save(one, root, "S/there.xml", manifest, {"task_id": "t"}) == "adopted"
+    assert store.save(one, root, "S/there.xml", manifest, {"task_id": "t"}) == "skipped"
+    assert len(manifest.read_text().splitlines()) == 1
+    with pytest.raises(store.TaskConflict):
+        store.save(other, root, "S/there.xml", manifest, {"task_id": "t"})
+    (root / "S" / "there.xml").write_text("changed")
+    with pytest.raises(store.IntegrityError):
+        store.save(one, root, "S/there.xml", manifest, {"task_id": "t"})
+    with pytest.raises(store.IntegrityError):
+        store.save(one, root, "S/new.xml", manifest, {"task_id": "u"}, sha256="0" * 64)
+    assert not (root / "S" / "new.xml").exists()
+
+
+def test_log_reads_on_and_sees_tampering(tmp_path):
+    path = tmp_path / "m.jsonl"
+    log = store.Log(path)
+    log.refresh()
+    log.add({"task_id": "a", "n": 1})
+    with open(path, "a") as f:
+        f.write('{"task_id": "a", "n": 2}\n\n{"task_id": "b"')
+    log.refresh()
+    assert [r["n"] for r in log.rows("a")] == [1, 2] and log.rows("b") == []
+    log.add({"task_id": "b", "n": 3})
+    assert [r["n"] for r in log.rows("b")] == [3]
+    whole = path.read_bytes()
+    path.write_bytes(whole[:-5])
+    with pytest.raises(store.IntegrityError, match="cut"):
+        log.refresh()
+    (tmp_path / "new").write_bytes(whole)
+    (tmp_path / "new").replace(path)
+    with pytest.raises(store.IntegrityError, match="replaced"):
+        log.refresh()
+    path.unlink()
+    with pytest.raises(store.IntegrityError, match="gone"):
+        log.refresh()
+    path.write_text("[1]\n")
+    with pytest.raises(store.IntegrityError, match="bad line"):
+        store.Log(path).refresh()
+
+
+def test_archives_of_a_store(spark, rows, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x", "content")
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as z:
+        z.writestr("[Content_Types].xml", "t")
+    (tmp_path / "c.zip").write_text("no archive")
+    broken = bytearray((tmp_path / "a.zip").read_bytes())
+    broken[31] ^= 1  # within the stored content
+    (tmp_path / "d.zip").write_bytes(broken)
+    (tmp_path / "e.xml").write_text("<r/>")
+    found = {path.rsplit("/", 1)[1]: problem for path, _, problem in rows(store.archive_findings(spark, str(tmp_path), {"zip": "zip", "xlsx": "xlsx"}))}
+    assert found["a.zip"] is None and found["e.xml"] is None and found["b.xlsx"] == "lacks xl/workbook.xml" and found["c.zip"] == "not a zip archive" and found["d.zip"].startswith("x: ")
+    with pytest.raises(ValueError):
+        store.archive_problem(tmp_path / "a.zip", "rar")
+
+
+def test_session(spark, rows, api, tmp_path):
+    import io
+
+    base = api.removesuffix("/o")
+    session = http.Session(pause=0.01)
+    got = catalogues.fetch_datasets(spark, session, f"{base}/landing", f"{base}/catalogue", {"q": ""})
+    assert rows(got, "source", "domn_code") == [("key=1", "1")]
+    assert rows(catalogues.fetch_file_list(spark, session, f"{base}/list", "1"), "domn_code", "position", "file_year", "serial") == [("1", 0, "2025", "7"), ("1", 2, "ALL", None)]
+    for wrong in (lambda: catalogues.fetch_datasets(spark, session, f"{base}/landing", f"{base}/bad", {}), lambda: catalogues.fetch_file_list(spark, session, f"{base}/bad", "1")):
+        with pytest.raises(ValueError, match="gave no list"):
+            wrong()
+    assert rows(catalogues.fetch_page(spark, session, f"{base}/landing"), "label", "file_id", "file_year") == [("Label", "1", 2024)]
+    session.submit(f"{base}/poll", {"TYPE": "a"})
+    assert any('name="TYPE"' in c for c in Api.calls)
+    stream = io.BytesIO()
+    facts = session.download(f"{api}?total=2", stream)
+    assert facts["bytes"] == len(stream.getvalue()) > 0 and facts["http_status"] == 200
+    with pytest.raises(http.urllib.error.HTTPError):
+        session.text(f"{api}?mode=gone")
+
+
+def test_streamed_download(api, tmp_path):
+    one = http.download_xml(f"{api}?total=5", tmp_path, pause=0.01)
+    assert one["error"] is None and store.file_facts(one["path"]) == (one["bytes"], one["sha256"])
+    assert http.download_xml(f"{api}?mode=broken", tmp_path, pause=0.01) | {"path": None} == http.download_xml(f"{api}?mode=broken", tmp_path, pause=0.01)
+    assert http.download_xml(f"{api}?mode=gone", tmp_path)["error"] == "status 404" and len(list(tmp_path.iterdir())) == 1
+
+
+def test_planned_responses(spark, api, rows):
+    asked = spark.createDataFrame([("a", f"{api}?total=1&serviceKey=s"), ("b", f"{api}?mode=gone")], "task_id string, url string").withColumn("error", F.lit("clash"))
+    got = rows(http.planned_responses(asked, pause=0.01), "task_id", "url", "http_status", "error")
+    assert got == [("a", api, 200, None), ("b", api, 404, "status 404")]
+
+
+def test_row_limit_keeps_the_rest(spark, api, rows):
+    tasks = spark.createDataFrame([("a", api, {"total": "2"}, None), ("b", api, {"total": "9"}, None), ("c", api, {"total": "1"}, None)], "task_id string, endpoint_url string, params map<string,string>, output_fields array<string>")
+    got = collector.collect(tasks, 1, row_limit=5).cache()
+    assert [s for _, s in rows(got, "task_id", "status")] == ["stored", "failed", "stored"]
+    with pytest.raises(collector.RowLimit, match="b: "):
+        collector.within_limits(got)
+    assert collector.within_limits(got.filter("task_id <> 'b'")).count() == 2
+
+
+def test_schools(spark, rows):
+    xml = lambda year, *ids, total=None: f"<r><resultCode>00</resultCode><items>{''.join(f'<item><schlId>{i}</schlId><svyYr>{year}</svyYr></item>' for i in ids)}</items><totalCount>{len(ids) if total is None else total}</totalCount></r>"
+    stored = spark.createDataFrame([("2025", xml("2025", "0000027", "0000014")), ("1999", xml("1999", "1"))], "svyYr string, payload string")
+    assert rows(collector.schools(["2025"], stored)) == [("2025", "0000014"), ("2025", "0000027")]
+    with pytest.raises(ValueError, match="2024"):
+        collector.schools(["2025", "2024"], stored)
+    assert ("2024", "5") in rows(collector.schools(["2025", "2024"], stored, lambda year: {"payload": xml(year, "5")}))
+    for bad in (xml("2023", "5"), xml("2024", "5", "5"), xml("2024", "5", total=2), xml("2024", "")):
+        with pytest.raises(ValueError, match="unusable"):
+            collector.schools(["2024"], stored, lambda year, bad=bad: {"payload": bad})
+
+
+def test_policy_of_a_configuration():
+    config = {"default_concurrency": 2, "max_concurrency": 4, "probe_page_size": 1, "single_page": {"max_verified_rows": 70000}}
+    assert collector.Policy.of(config, concurrency=3, attempts=None) == collector.Policy(concurrency=3)
+    for bad in ({}, config | {"single_page": None}, {k: v for k, v in config.items() if k != "max_concurrency"}):
+        with pytest.raises(ValueError):
+            collector.Policy.of(bad)
+
+
+def test_run_and_resume(spark, api, capsys, tmp_path):
+    endpoint = lambda op, **fixed: {"data_id": "d", "service": "S", "operation": op, "scope_strategy": "lookup_once", "endpoint_url": api, "output_fields": ["v"], "fixed_params": fixed}
+    (tmp_path / "c.json").write_text(json.dumps({"endpoints": [endpoint("fine", total="2"), endpoint("gone", mode="gone")]}))
+    args = ["--catalogue", str(tmp_path / "c.json"), "--manifest", str(tmp_path / "m.jsonl")]
+    assert main(["run", *args, "--store", str(tmp_path / "raw")]) == 2
+    told = json.loads(capsys.readouterr().out)
+    assert (told["planned"], told["stored"], told["failed"], told["skipped"]) == (2, 1, 1, 0) and told["failures"][0]["failure"] == "unexpected status"
+    row = json.loads((tmp_path / "m.jsonl").read_text())
+    assert store.file_facts(tmp_path / "raw" / row["raw_path"]) == (row["bytes"], row["sha256"]) and row["field_names"] == ["v"] and row["row_count"] == 2
+    assert main(["resume", *args]) == 0
+    assert [json.loads(x)["operation"] for x in capsys.readouterr().out.splitlines()] == ["gone"]
+    (tmp_path / "c.json").write_text(json.dumps({"endpoints": [endpoint("fine", total="2")]}))
+    assert main(["run", *args, "--store", str(tmp_path / "raw")]) == 0
+    assert json.loads(capsys.readouterr().out)["skipped"] == 1
+    assert main(["plan", *args, "--school", "2025:27"]) == 1
