@@ -1,6 +1,6 @@
 """Filling containers of fixed capacity: first-fit decreasing with a tournament tree, in randomised groups.
 
-The items are hashed into groups of about ``GROUP_ITEMS``; each group is packed by itself, so no
+The rows are hashed into groups of about ``GROUP_ITEMS``, by the id and the place of a row; each group is packed by itself, so no
 task sees more than a group and the space lost is at most a few containers per group. An item larger
 than the capacity is cut into full pieces, each a container of its own, and a rest that is packed
 like any other item; no other item is split.
@@ -13,10 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.skew import small
+
 GROUP_ITEMS = 16_384
 SEED = 42
-#: A list of kinds of containers is collected to the driver; more than this many is an error.
-MOST_KINDS = 1000
 
 
 def first_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -77,26 +77,27 @@ def pack_group(items: pd.DataFrame, capacity: int) -> pd.DataFrame:
 def pack(sizes: DataFrame, row_id: str, capacities: DataFrame, rows: int, group_items: int = GROUP_ITEMS, seed: int = SEED) -> DataFrame:
     """Each item of ``sizes`` (``row_id``, ``tokens``) in a container of each kind of ``capacities``.
 
-    ``rows`` is about the number of items and sets the number of groups. Sizes that are null or negative count as 0.
-    Kinds without a positive capacity are left out; repeated items are packed each; an empty table gives
-    an empty result. ``pack_group`` and ``container_no`` together name a container of a kind.
+    ``rows`` is about the number of items and sets the number of groups. Sizes that are null or negative
+    count as 0. Kinds without a positive capacity are left out; repeated items are packed each, however
+    many there are of one, and lie in different groups; an empty table gives an empty result.
+    ``pack_group`` and ``container_no`` together name a container of a kind. A group is packed once for
+    each different capacity, a number that the driver reads; the kinds that have it are joined.
     """
-    kinds = capacities.select("container_kind", "capacity_tokens").filter("capacity_tokens > 0").distinct().limit(MOST_KINDS + 1).collect()
-    if len(kinds) > MOST_KINDS:
-        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
-    kinds = sorted((r.container_kind, int(r.capacity_tokens)) for r in kinds)
+    kinds = capacities.select("container_kind", F.col("capacity_tokens").cast("int").alias("capacity_tokens")).filter("capacity_tokens > 0").distinct()
+    wanted = sorted(r.capacity_tokens for r in kinds.select("capacity_tokens").distinct().collect())
     groups = max(1, -(-rows // group_items))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [pack_group(pdf, capacity).assign(container_kind=kind, capacity_tokens=capacity) for kind, capacity in kinds]
-        out = pd.concat(parts) if parts else pack_group(pdf.head(0), 1).assign(container_kind="", capacity_tokens=0)
-        return out.assign(pack_group=int(pdf["pack_group"].iloc[0]))[["container_kind", "capacity_tokens", "pack_group", "container_no", "item", "piece_no", "tokens"]]
+        parts = [pack_group(pdf, capacity).assign(capacity_tokens=capacity) for capacity in wanted]
+        out = pd.concat(parts) if parts else pack_group(pdf.head(0), 1).assign(capacity_tokens=0)
+        return out.assign(pack_group=int(pdf["pack_group"].iloc[0]))[["capacity_tokens", "pack_group", "container_no", "item", "piece_no", "tokens"]]
 
     kind = dict(sizes.dtypes)[row_id]
-    group = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(groups)).cast("int")
+    group = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed), F.monotonically_increasing_id()), F.lit(groups)).cast("int")
     items = sizes.select(F.col(row_id).alias("item"), F.greatest(F.coalesce(F.col("tokens"), F.lit(0)), F.lit(0)).cast("long").alias("tokens"), group.alias("pack_group"))
-    packed = items.groupBy("pack_group").applyInPandas(run, f"container_kind string, capacity_tokens int, pack_group int, container_no long, item {kind}, piece_no int, tokens long")
-    return packed.withColumnRenamed("item", row_id)
+    packed = items.groupBy("pack_group").applyInPandas(run, f"capacity_tokens int, pack_group int, container_no long, item {kind}, piece_no int, tokens long")
+    named = packed.join(small(kinds), "capacity_tokens").select("container_kind", "capacity_tokens", "pack_group", "container_no", "item", "piece_no", "tokens")
+    return named.withColumnRenamed("item", row_id)
 
 
 def fill(packed: DataFrame) -> DataFrame:

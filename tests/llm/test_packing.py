@@ -56,3 +56,13 @@ def test_pack(spark, rows):
     assert packed.groupBy("container_kind", "pack_group", "container_no").agg(F.sum("tokens").alias("t"), F.first("capacity_tokens").alias("c")).filter("t > c").count() == 0
     assert pack(df.limit(0), "doc_id", kinds, 0).count() == 0
     assert pack(df, "doc_id", kinds.limit(0), 500).count() == 0
+
+
+def test_one_item_many_times(spark, rows):
+    df = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(10).cast("long").alias("tokens"))
+    kinds = spark.createDataFrame([(f"k{n}", 100 + n % 2) for n in range(1500)], "container_kind string, capacity_tokens int")
+    packed = pack(df, "doc_id", kinds.limit(3), rows=3000, group_items=500).cache()
+    sizes = [r["count"] for r in packed.filter("container_kind = 'k0'").groupBy("pack_group").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 700 and sum(sizes) == 3000
+    assert rows(fill(packed), "container_kind", "tokens") == [(f"k{n}", 30_000) for n in range(3)]
+    assert pack(df.limit(2), "doc_id", kinds, rows=2).select("container_kind").distinct().count() == 1500
