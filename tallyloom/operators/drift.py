@@ -17,6 +17,7 @@ import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from datetime import date
+from functools import lru_cache
 from zlib import crc32
 
 import pandas as pd
@@ -91,18 +92,26 @@ def marks_of(values: set[str]) -> dict[str, float]:
     return out
 
 
-def inside_marks(values: dict[str, set[str]]) -> list[dict]:
-    """The marks of leaves inside an entry by their whole path: the kinds of their values, and each spelling of the path."""
+@lru_cache(100_000)
+def _field(table: str, path: str) -> tuple[bool, str]:
+    """Whether a leaf lies inside an entry's list, object or deeper level, and its field: the whole path as it is there, else the plain name in lower case."""
+    whole = joined(table, path)
+    return ("/" in whole, whole if "/" in whole else local_name(whole).lower())
+
+
+def inside_marks(values: dict[str, set[str]]) -> Iterator[tuple[str, str, float]]:
+    """The marks of leaves inside an entry by their whole path: each spelling of the path, and the kinds of their values."""
     fields: dict[str, set[str]] = defaultdict(set)
     for path, found in values.items():
-        fields[path.lower()].update(found)
-    out = [{"field": path.lower(), "mark": f"as {path}", "weight": 1.0} for path in values]
+        field = path.lower()
+        fields[field].update(found)
+        yield field, f"as {path}", 1.0
     for field, found in fields.items():
         counts: dict[str, float] = defaultdict(float)
         for kind in filter(None, map(kind_of, found)):
             counts[f"kind {kind}"] += 1
-        out += [{"field": field, "mark": m, "weight": w} for m, w in counts.items()]
-    return out
+        for mark, weight in counts.items():
+            yield field, mark, weight
 
 
 def payload_marks(df: DataFrame, key: Column, payload: str, spell: Callable[[Column], Column] = lambda key: key) -> DataFrame:
@@ -112,24 +121,31 @@ def payload_marks(df: DataFrame, key: Column, payload: str, spell: Callable[[Col
     or a deeper level) is a field by its whole path; of it only the kinds count, and its spelling
     (``as``). Payloads that are not well-formed are passed over, as null keys are.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, marks = [], []
+            keys, ends, marks = [], [0], ([], [], [])
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 values: dict[str, set[str]] = defaultdict(set)
                 inside: dict[str, set[str]] = defaultdict(set)
                 for (table, _), row in pivot(triples(text) or []).items():
                     for path, found in row.items():
-                        path = joined(table, path)
-                        if "/" in path:
-                            inside[path].update(found)
-                        else:
-                            values[local_name(path).lower()].update(found)
+                        deep, field = _field(table, path)
+                        (inside if deep else values)[field].update(found)
                 if values or inside:
+                    for field, found in values.items():
+                        own = marks_of(found)
+                        marks[0].extend([field] * len(own))
+                        marks[1].extend(own.keys())
+                        marks[2].extend(own.values())
+                    for field, mark, weight in inside_marks(inside):
+                        marks[0].append(field)
+                        marks[1].append(mark)
+                        marks[2].append(weight)
                     keys.append(name)
-                    marks.append([{"field": f, "mark": m, "weight": w} for f, v in values.items() for m, w in marks_of(v).items()] + inside_marks(inside))
-            shape = pa.list_(pa.struct([("field", pa.string()), ("mark", pa.string()), ("weight", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(marks, shape)], ["file_key", "marks"])
+                    ends.append(len(marks[0]))
+            flat = pa.StructArray.from_arrays([pa.array(marks[0], pa.string()), pa.array(marks[1], pa.string()), pa.array(marks[2], pa.float64())], ["field", "mark", "weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["file_key", "marks"])
 
     return df.filter(key.isNotNull()).select(spell(key).alias("file_key"), payload).mapInArrow(run, f"file_key string, marks {MARKS}")
 

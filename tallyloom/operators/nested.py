@@ -47,7 +47,7 @@ class Seen:
 
 
 def joined(*parts: str) -> str:
-    return "/".join(p for p in parts if p)
+    return "/".join(filter(None, parts))
 
 
 def local_name(name: str) -> str:
@@ -368,21 +368,26 @@ def entries(df: DataFrame, row_id: str, payload: str, nest: tuple[tuple[str, str
     """
     numbers = [f"{entry}_no" for _, entry in nest]
     schema = f"`{row_id}` {dict(df.dtypes)[row_id]}, " + ", ".join(f"`{n}` long" for n in numbers) + ", leaves array<struct<path:string,value_no:long,value:string>>"
-    leaf = pa.list_(pa.struct([("path", pa.string()), ("value_no", pa.int64()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 1000):
                 part = batch.slice(start, 1000)
-                ids, at, leaves = [], [[] for _ in nest], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                source, at, ends, paths, places, values = [], [[] for _ in nest], [0], [], [], []
+                for row_no, text in enumerate(part.column(1).to_pylist()):
                     for (table, where), row in pivot(triples(text, nest) or []).items():
                         if row:
-                            ids.append(key)
+                            source.append(row_no)
                             for n, numbers_of in enumerate(at):
                                 numbers_of.append(where[n] if n < len(where) else 0)
-                            leaves.append([{"path": joined(table, path), "value_no": n, "value": v} for path, values in row.items() for n, v in enumerate(values, 1)])
-                columns = [pa.array(ids, batch.schema.field(0).type), *(pa.array(a, pa.int64()) for a in at), pa.array(leaves, leaf)]
+                            for path, found in row.items():
+                                whole = f"{table}/{path}" if table else path
+                                paths.extend([whole] * len(found))
+                                places.extend(range(1, len(found) + 1))
+                                values.extend(found)
+                            ends.append(len(paths))
+                leaves = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(places, pa.int64()), pa.array(values, pa.string())], ["path", "value_no", "value"])
+                columns = [part.column(0).take(pa.array(source, pa.int64())), *(pa.array(a, pa.int64()) for a in at), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), leaves)]
                 yield pa.RecordBatch.from_arrays(columns, [row_id, *numbers, "leaves"])
 
     return df.select(row_id, payload).mapInArrow(run, schema)
