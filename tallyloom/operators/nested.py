@@ -1,6 +1,6 @@
 """Deeply nested records as related flat tables.
 
-A payload, XML or JSON, is turned into path-value-ordinal triples: the table of the nearest repeated
+A payload, XML or JSON, is streamed into path-value-ordinal triples: the table of the nearest repeated
 ancestor, the ordinals of the repeated ancestors, the path of a leaf below the nearest one, its text.
 Triples with the same ancestors are pivoted into one row; rows at the same path form one table, and
 the ordinals link it to its parents. A record is handled in one task without a shuffle.
@@ -14,8 +14,12 @@ for each field, bounded by the number of different paths and not by that of the
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from json.decoder import scanstring
 from typing import Any
 from xml.parsers import expat
 
@@ -50,6 +54,7 @@ def joined(*parts: str) -> str:
     return "/".join(filter(None, parts))
 
 
+@lru_cache(100_000)
 def local_name(name: str) -> str:
     """``name`` without namespace, prefix and outer white space."""
     return name.strip().rpartition("}")[2].rpartition(":")[2].strip()
@@ -103,7 +108,8 @@ def _xml_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[
     def end(_: str) -> None:
         if rows:
             depth, table, at, level = rows[-1]
-            if depth == len(names):
+            size = len(names)
+            if size == depth:
                 own = "" if inner[-1] else "".join(words).strip()
                 if own:
                     out.append((table, at, OWN, own))
@@ -111,17 +117,16 @@ def _xml_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[
                         seen.note("leaf", table, OWN)
                 rows.pop()
                 counts.pop()
+            elif inner[-1]:
+                if seen is not None:
+                    seen.note("object", "", joined(table, *names[depth:]))
             else:
-                path = names[depth:]
-                if inner[-1]:
+                path = names[-1] if size == depth + 1 else "/".join(names[depth:])
+                value = words[0].strip() if len(words) == 1 else "".join(words).strip()
+                if value or not (0 < level < len(nest) and path == nest[level][0]):  # an empty wrapper is no value
+                    out.append((table, at, path, value))
                     if seen is not None:
-                        seen.note("object", "", joined(table, *path))
-                else:
-                    value = "".join(words).strip()
-                    if value or not (0 < level < len(nest) and path == [nest[level][0]]):  # an empty wrapper is no value
-                        out.append((table, at, "/".join(path), value))
-                        if seen is not None:
-                            seen.note("leaf", table, "/".join(path))
+                        seen.note("leaf", table, path)
         names.pop()
         inner.pop()
         if seen is not None:
@@ -180,103 +185,303 @@ def elements(text: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]
         ready.clear()
 
 
-def _no_constant(name: str) -> None:
-    raise ValueError(name)
+_BLANK = re.compile(r"[ \t\n\r]*")
+_BLANKS, _DIGITS = frozenset(" \t\n\r"), frozenset("-0123456789")
+_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
+_WORD = re.compile(r"true|false|null")
 
 
-def _entries(value: Any, entry: str) -> list:
-    """The entries of a list in any of its spellings: a list, an object around one, one entry, nothing."""
-    if isinstance(value, str):
-        value = _inner_json(value)
-    if isinstance(value, dict):
-        inside = [v for k, v in value.items() if local_name(k) == entry]
-        if inside:
-            return _entries(inside[0], entry) if isinstance(inside[0], (list, str)) or inside[0] is None else [inside[0]]
-        return [value] if value else []
-    if isinstance(value, list):
-        return [v for v in value if v is not None]
-    return []
+def _stream(text: str, at: int, sink: Any) -> int:
+    """Tells ``sink`` of the JSON value at ``at`` as it is read, and returns where it ends; an error for what is not JSON.
 
+    A sink is told of a ``scalar`` (its text, None for null, and whether it is a string) or asked for the
+    sinks of the ``key`` values of an ``object`` or of the ``item`` values of a ``list``, which are closed
+    at their end.
+    """
+    at = _BLANK.match(text, at).end()
+    first = text[at : at + 1]
+    if first == '"':
+        value, end = scanstring(text, at + 1, True)
+        sink.scalar(value, True)
+        return end
+    if first == "{" or first == "[":
+        inner, close = (sink.object(), "}") if first == "{" else (sink.list(), "]")
+        at = _BLANK.match(text, at + 1).end()
+        if text[at : at + 1] != close:
+            while True:
+                if close == "]":
+                    at = _stream(text, at, inner.item())
+                else:
+                    if text[at : at + 1] != '"':
+                        raise ValueError(f"no name at {at}")
+                    name, at = scanstring(text, at + 1, True)
+                    at = _BLANK.match(text, at).end()
+                    if text[at : at + 1] != ":":
+                        raise ValueError(f"no value at {at}")
+                    at = _BLANK.match(text, at + 1).end()
+                    first = text[at : at + 1]
+                    if first == '"':  # most values are texts and numbers, so they need no sink of their own
+                        value, at = scanstring(text, at + 1, True)
+                        inner.leaf(local_name(name), value, True)
+                    elif first in _DIGITS and (found := _NUMBER.match(text, at)):
+                        at = found.end()
+                        inner.leaf(local_name(name), found.group(), False)
+                    else:
+                        at = _stream(text, at, inner.key(local_name(name)))
+                after = text[at : at + 1]
+                if after in _BLANKS:
+                    at = _BLANK.match(text, at).end()
+                    after = text[at : at + 1]
+                if after == close:
+                    break
+                if after != ",":
+                    raise ValueError(f"no end at {at}")
+                at = _BLANK.match(text, at + 1).end()
+        inner.close()
+        return at + 1
+    if found := _NUMBER.match(text, at):
+        sink.scalar(found.group(), False)
+    elif found := _WORD.match(text, at):
+        sink.scalar(None if first == "n" else found.group(), False)
+    else:
+        raise ValueError(f"no value at {at}")
+    return found.end()
+
+
+def _stream_all(text: str, sink: Any) -> None:
+    if _BLANK.match(text, _stream(text, 0, sink)).end() != len(text):
+        raise ValueError("more than one value")
+
+
+class _Skip:
+    """Takes what is of no interest."""
+
+    def object(self) -> _Skip:
+        return self
+
+    def list(self) -> _Skip:
+        return self
+
+    def key(self, name: str) -> _Skip:
+        return self
+
+    def item(self) -> _Skip:
+        return self
+
+    def scalar(self, value: str | None, string: bool) -> None:
+        pass
 
-def _inner_json(text: str) -> Any:
-    """A JSON object or list that is written as text; any other text is None."""
-    try:
-        return json.loads(text, parse_float=str, parse_int=str, parse_constant=_no_constant) if text.lstrip()[:1] in ("{", "[") else None
-    except ValueError:
-        return None
+    def leaf(self, name: str, value: str, string: bool) -> None:
+        """A text or a number as the value of a name."""
+        self.key(name).scalar(value, string)
 
+    def close(self) -> None:
+        pass
 
-def _find(value: Any, name: str) -> Any:
-    """The first value called ``name`` in objects, outermost first, also in objects written as text."""
-    level = [value]
-    while level:
-        below = []
-        for v in level:
-            if isinstance(v, str):
-                v = _inner_json(v)
-            if isinstance(v, dict):
-                for k, x in v.items():
-                    if local_name(k) == name:
-                        return x
-                    below.append(x)
-        level = below
-    return None
 
+_SKIP = _Skip()
 
-def _json_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[str], seen: Seen | None) -> list[Triple]:
-    root = json.loads(text.lstrip("\ufeff"), parse_float=str, parse_int=str, parse_constant=_no_constant)
-    out: list[Triple] = []
 
-    def leaf(table: str, at: tuple[int, ...], path: str, value: Any) -> None:
-        out.append((table, at, path, "" if value is None else str(value).lower() if isinstance(value, bool) else str(value).strip()))
-        if seen is not None:
-            seen.note("leaf", table, path)
+@dataclass(slots=True)
+class _Read:
+    """What holds for a whole payload: the levels, and the rank of the list that was taken, by the depth of its name."""
+
+    nest: tuple[tuple[str, str], ...]
+    extra: frozenset[str]
+    seen: Seen | None
+    out: list[Triple]
+    rank: float = math.inf
+
+
+class _Leaf(_Skip):
+    """A value inside an entry at ``path``: a leaf, an object of leaves, or a row of a table of its own."""
+
+    def __init__(self, read: _Read, out: list[Triple], table: str, at: tuple[int, ...], path: str, counts: dict[str, int], listed: bool = False) -> None:
+        self.read, self.out, self.table, self.at, self.path, self.counts, self.listed = read, out, table, at, path, counts, listed
+
+    def _row(self) -> tuple[str, tuple[int, ...]] | None:
+        if not self.read.extra or (whole := joined(self.table, self.path)) not in self.read.extra:
+            return None
+        self.counts[whole] = self.counts.get(whole, 0) + 1
+        below = (*self.at, self.counts[whole])
+        self.out.append((whole, below, "", None))
+        return whole, below
+
+    def scalar(self, value: str | None, string: bool) -> None:
+        table, at, path = self.table, self.at, self.path
+        if row := self._row():
+            if value is None:
+                return
+            (table, at), path = row, OWN
+        self.out.append((table, at, path, "" if value is None else value.strip()))
+        if self.read.seen is not None:
+            self.read.seen.note("leaf", table, path)
+
+    def object(self) -> _Skip:
+        if row := self._row():
+            return _Fields(self.read, self.out, *row, 0)
+        if self.read.seen is not None:
+            whole = joined(self.table, self.path)
+            self.read.seen.note("object", "", whole)
+            if self.listed:
+                self.read.seen.note("repeated", "", whole)
+        return self
 
-    def inside(value: Any, path: str, table: str, at: tuple[int, ...], counts: dict[str, int], listed: bool = False) -> None:
-        if isinstance(value, list):
-            for v in value:
-                inside(v, path, table, at, counts, True)
+    def key(self, name: str) -> _Leaf:
+        return _Leaf(self.read, self.out, self.table, self.at, joined(self.path, name), self.counts)
+
+    def list(self) -> _Leaf:
+        return self
+
+    def item(self) -> _Leaf:
+        return _Leaf(self.read, self.out, self.table, self.at, self.path, self.counts, True)
+
+
+class _Fields(_Skip):
+    """The object of an entry."""
+
+    def __init__(self, read: _Read, out: list[Triple], table: str, at: tuple[int, ...], level: int) -> None:
+        self.read, self.out, self.table, self.at, self.level = read, out, table, at, level
+        self.counts: dict[str, int] = {}
+
+    def key(self, name: str) -> _Skip:
+        nest, level = self.read.nest, self.level
+        if 0 < level < len(nest) and name == nest[level][0]:
+            return _Entries(self.read, self.out, joined(self.table, *nest[level]), self.at, level + 1, self.counts)
+        return _Leaf(self.read, self.out, self.table, self.at, name, self.counts)
+
+    def leaf(self, name: str, value: str, string: bool) -> None:
+        nest, level = self.read.nest, self.level
+        if self.read.extra or (0 < level < len(nest) and name == nest[level][0]):
+            self.key(name).scalar(value, string)
             return
-        whole = joined(table, path)
-        if extra and whole in extra:
-            counts[whole] = counts.get(whole, 0) + 1
-            below = (*at, counts[whole])
-            out.append((whole, below, "", None))
-            if isinstance(value, dict):
-                fields(value, whole, below, 0)
-            elif value is not None:
-                leaf(whole, below, OWN, value)
-        elif isinstance(value, dict):
-            if seen is not None and path:
-                seen.note("object", "", whole)
-                if listed:
-                    seen.note("repeated", "", whole)
-            for k, v in value.items():
-                inside(v, joined(path, local_name(k)), table, at, counts)
-        else:
-            leaf(table, at, path, value)
-
-    def fields(one: dict, table: str, at: tuple[int, ...], level: int) -> None:
-        counts: dict[str, int] = {}
-        for k, v in one.items():
-            name = local_name(k)
-            if 0 < level < len(nest) and name == nest[level][0]:
-                walk(_entries(v, nest[level][1]), joined(table, *nest[level]), at, level + 1)
-            else:
-                inside(v, name, table, at, counts)
-
-    def walk(entries: list, table: str, above: tuple[int, ...], level: int) -> None:
-        for n, one in enumerate(entries, 1):
-            at = (*above, n)
-            out.append((table, at, "", None))
-            if isinstance(one, dict):
-                fields(one, table, at, level)
-            elif not isinstance(one, list):
-                leaf(table, at, OWN, one)
-
-    found = root if isinstance(root, list) else _find(root, nest[0][0])
-    walk(_entries(found, nest[0][1]), "", (), 1)
-    return out
+        self.out.append((self.table, self.at, name, value.strip()))
+        if self.read.seen is not None:
+            self.read.seen.note("leaf", self.table, name)
+
+
+class _Entries(_Skip):
+    """The entries of a declared level in any of their spellings: a list, an object around one, one entry, nothing, or these as text.
+
+    Numbers and other texts in place of a list are none.
+    """
+
+    def __init__(self, read: _Read, out: list[Triple], table: str, above: tuple[int, ...], level: int, counts: dict[str, int], named: bool = False) -> None:
+        self.read, self.out, self.table, self.above, self.level, self.counts = read, out, table, above, level, counts
+        self.named = named  # called as an entry, so an object is one and not around any
+
+    def next(self) -> tuple[int, ...]:
+        self.counts[self.table] = self.counts.get(self.table, 0) + 1
+        at = (*self.above, self.counts[self.table])
+        self.out.append((self.table, at, "", None))
+        return at
+
+    def scalar(self, value: str | None, string: bool) -> None:
+        if string:
+            if value.lstrip()[:1] in ("{", "["):
+                size, counts = len(self.out), dict(self.counts)
+                try:
+                    _stream_all(value, _Entries(self.read, self.out, self.table, self.above, self.level, self.counts))
+                except ValueError:  # text, no list
+                    del self.out[size:]
+                    self.counts.clear()
+                    self.counts.update(counts)
+        elif self.named and value in ("true", "false"):
+            _One(self).scalar(value, False)
+
+    def object(self) -> _Skip:
+        return _One(self).object() if self.named else _Around(self)
+
+    def list(self) -> _Skip:
+        return self
+
+    def item(self) -> _Skip:
+        return _One(self)
+
+
+class _One(_Skip):
+    """One entry of a list."""
+
+    def __init__(self, entries: _Entries) -> None:
+        self.entries = entries
+
+    def scalar(self, value: str | None, string: bool) -> None:
+        if value is not None:
+            e = self.entries
+            _Leaf(e.read, e.out, e.table, e.next(), OWN, {}).scalar(value, string)
+
+    def object(self) -> _Skip:
+        e = self.entries
+        return _Fields(e.read, e.out, e.table, e.next(), e.level)
+
+    def list(self) -> _Skip:
+        self.entries.next()
+        return _SKIP
+
+
+class _Around(_Skip):
+    """An object that is one entry, or the one around a list of them, which its names tell: both readings are kept until then."""
+
+    def __init__(self, entries: _Entries) -> None:
+        self.entries = e = entries
+        self.name = e.read.nest[e.level - 1][1]
+        self.names = 0
+        self.around = False
+        self.counts = dict(e.counts)
+        self.listed: list[Triple] = []
+        self.single = _Entries(e.read, [], e.table, e.above, e.level, dict(e.counts))
+        self.fields = _One(self.single).object()
+
+    def key(self, name: str) -> _Skip:
+        self.names += 1
+        e = self.entries
+        if name == self.name and not self.around:
+            self.around = True
+            return _Entries(e.read, self.listed, e.table, e.above, e.level, self.counts, True)
+        return _SKIP if self.around else self.fields.key(name)
+
+    def close(self) -> None:
+        e = self.entries
+        if self.around or self.names:
+            e.out.extend(self.listed if self.around else self.single.out)
+            e.counts.update(self.counts if self.around else self.single.counts)
+
+
+class _Search(_Skip):
+    """Looks for the outermost list of entries, the first of its depth, also in objects that are written as text."""
+
+    def __init__(self, read: _Read, depth: int) -> None:
+        self.read, self.depth = read, depth
+
+    def object(self) -> _Search:
+        return self
+
+    def key(self, name: str) -> _Skip:
+        read = self.read
+        if name == read.nest[0][0]:
+            if self.depth >= read.rank:
+                return _SKIP
+            read.rank = self.depth
+            read.out.clear()
+            return _Entries(read, read.out, "", (), 1, {})
+        return _Search(read, self.depth + 1)
+
+    def list(self) -> _Skip:
+        return _SKIP if self.depth else _Entries(self.read, self.read.out, "", (), 1, {})
+
+    def scalar(self, value: str | None, string: bool) -> None:
+        if string and value.lstrip()[:1] == "{":
+            kept, rank = list(self.read.out), self.read.rank
+            try:
+                _stream_all(value, _Search(self.read, self.depth))
+            except ValueError:  # text, no object
+                self.read.out[:], self.read.rank = kept, rank
+
+
+def _json_triples(text: str, nest: tuple[tuple[str, str], ...], extra: frozenset[str], seen: Seen | None) -> list[Triple]:
+    read = _Read(nest, extra, seen, [])
+    _stream_all(text.lstrip("\ufeff"), _Search(read, 0))
+    return read.out
 
 
 def triples(payload: str | None, nest: tuple[tuple[str, str], ...] = NEST, extra: frozenset[str] = frozenset(), seen: Seen | None = None) -> list[Triple] | None:

@@ -6,7 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyloom.operators.nested import discover, elements, flatten, level, pivot, triples, wide
+from json_tree import tree_triples
+from tallyloom.operators.nested import NEST, discover, elements, flatten, level, pivot, triples, wide
 
 ITEM = st.fixed_dictionaries({"a": st.text("xy<&", max_size=3), "majors": st.none() | st.lists(st.fixed_dictionaries({"n": st.text("pq", min_size=1, max_size=2), "quotas": st.none() | st.lists(st.integers(0, 9), max_size=3)}), max_size=3), "rmk": st.none() | st.lists(st.text("rs", min_size=1, max_size=2), max_size=2)})
 
@@ -113,3 +114,27 @@ def test_repeated_lists_become_tables(spark, rows):
 def test_elements():
     assert list(elements("<r> x <a>1</a><a> 2<b/>3</a></r>")) == [(("r",), (1,), "x"), (("r", "a"), (1, 1), "1"), (("r", "a"), (1, 2), "2"), (("r", "a", "b"), (1, 2, 1), "")]
     assert len(list(elements("<r>" + "<a>가</a>" * 50_000 + "</r>"))) == 50_001
+
+
+JSON = st.recursive(
+    st.none() | st.booleans() | st.integers(-5, 99) | st.floats(allow_nan=False, allow_infinity=False) | st.text('ab {["é' + chr(92), max_size=3),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["items", "item", "majorList", "major", "quotaList", "c:quota", "kids", "a", "b"]), inner, max_size=4),
+    max_leaves=14,
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(JSON, st.sampled_from([None, 1]), st.booleans())
+def test_streamed_like_the_tree(value, indent, as_text):
+    document = {"response": {"body": json.dumps(value) if as_text else value}, "items": value} if isinstance(value, int) else {"r": {"body": json.dumps(value) if as_text else value, "items": value}, "q": value}
+    text = json.dumps(document, indent=indent)
+    for extra in (frozenset(), frozenset({"kids", "a", "majorList/major/kids", "b/a"})):
+        assert triples(text, extra=extra) == tree_triples(text, NEST, extra)
+    for n in range(0, len(text), 3):
+        assert triples(text[:n]) is None
+
+
+def test_what_is_no_json():
+    for text in ('{"a": 01}', '{"a": 1,}', '{"a" 1}', '{"a": .5}', '[1 2]', '{"a": "\n"}', '{"a": Infinity}', '{a: 1}', '{"a": tru}', '{"items": []} x', '{"a": "\\x"}', "[1,]", '{"a": 1.}', '{"a": -}'):
+        assert triples(text) is None, text
+    assert triples('{"items": {"a": 1, "a": 2}}') == [("", (1,), "", None), ("", (1,), "a", "1"), ("", (1,), "a", "2")]
