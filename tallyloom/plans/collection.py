@@ -73,6 +73,16 @@ def plan_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid(spark, sf_dir).select("task_id", "service", "operation", "scope_strategy", _text("params").alias("request"))
 
 
+@query(f"""{_GRID.replace("schools AS (SELECT y, s FROM asked WHERE y IS NOT NULL AND s IS NOT NULL)", "schools AS (SELECT y, schlid AS s FROM years, (SELECT DISTINCT schlid FROM school_codes WHERE schlid IS NOT NULL))")} SELECT * FROM tasks""")
+def plan_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of all schools of the code list in every year, whether tasks were planned for them or not."""
+    years, _, divisions = _dimensions(spark, sf_dir)
+    codes = table(spark, sf_dir, "school_codes", "schlid").filter("schlid is not null").select(F.col("schlid").alias("schlId")).distinct()
+    schools = codes.withColumn("svyYr", F.explode(F.array(*(F.lit(y) for y in sorted(r.svyYr for r in years.collect())))))
+    grid = planning.expand(planning.distinct_endpoints(table(spark, sf_dir, "endpoint_catalog")), years, schools, divisions, prefix="campus-")
+    return grid.select("task_id", "service", "operation", "scope_strategy", _text("params").alias("request"))
+
+
 @query(f"""{_GRID} SELECT count(*) AS planned, count(DISTINCT (service, operation)) AS operations, count(DISTINCT service) AS services,
   (SELECT string_agg(y, ',' ORDER BY y) FROM years) AS years FROM tasks""")
 def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,11 +374,6 @@ def set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.same_set(table(spark, sf_dir, "collection_tasks", "task_id"), table(spark, sf_dir, "manifest_records", "task_id").filter("task_id is not null"), "task_id")
 
 
-@query("SELECT group_code, series, file_year, entry_no FROM kess_files ORDER BY group_code, series, file_year DESC NULLS LAST, entry_no LIMIT 40")
-def order_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "kess_files", "group_code", "series", "file_year", "entry_no").orderBy("group_code", "series", F.desc_nulls_last("file_year"), "entry_no").limit(40)
-
-
 @query("""SELECT group_code, series, file_year, entry_no, row_number() OVER (PARTITION BY group_code ORDER BY series NULLS FIRST, file_year DESC NULLS LAST, entry_no) AS ordinal, count(*) OVER (PARTITION BY group_code) AS planned FROM kess_files""")
 def order_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every file in the mixed order of its group."""

@@ -95,13 +95,6 @@ def star_json_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events", "props").select(F.explode(F.json_object_keys("props")).alias("key")).distinct()
 
 
-@query("""SELECT r_name, 5 AS expected, count(n_nationkey) AS actual, count(n_nationkey) = 5 AS agrees FROM region LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) ON r_regionkey = n_regionkey GROUP BY r_name""")
-def star_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = table(spark, sf_dir, "region", "r_regionkey", "r_name").withColumn("expected", F.lit(5))
-    nations = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey").filter("n_nationkey % 2 = 0").select(F.col("n_regionkey").alias("r_regionkey"))
-    return reconcile.expected_counts(regions, nations, ["r_regionkey"]).join(regions.select("r_regionkey", "r_name"), "r_regionkey").drop("r_regionkey")
-
-
 @query("""SELECT r_name, 3 + r_regionkey AS expected, count(n_nationkey) AS actual, count(n_nationkey) = 3 + r_regionkey AS agrees FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name, r_regionkey""")
 def star_expected_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nations, against expectations that differ by region."""
