@@ -303,7 +303,8 @@ def renamed_fields(gone: set[str], come: set[str], marks: dict[str, dict[int, di
 
     Contents are those of all periods up to ``previous`` and from ``period`` on, if they are of one kind
     at the change; where either has no values, the names decide. The pairs with the largest sum of
-    likenesses are taken, each field once. The fields of a dataset bound the pairs.
+    likenesses beyond the least are taken, each field once, so that two poor pairs do not outweigh a good
+    one. The fields of a dataset bound the pairs.
     """
     sides = []
     for fields, here in ((gone, lambda at: at <= previous), (come, lambda at: at >= period)):
@@ -315,7 +316,7 @@ def renamed_fields(gone: set[str], come: set[str], marks: dict[str, dict[int, di
             names = 1 - _distance(old, new) / max(len(old), len(new))
             content = likeness(a, b)
             if (names >= LIKE_NAME) if content is None else (content >= LIKE_CONTENT):
-                scores[old, new] = (content or 0.0) + names / 4
+                scores[old, new] = (0.0 if content is None else content - LIKE_CONTENT) + names / 4 + 1e-9
     return dict(matched(scores))
 
 

@@ -121,6 +121,14 @@ def test_two_renamed_at_once(spark, rows):
     assert got == [("o", 2, "renamed", "f0", "g2"), ("o", 2, "renamed", "f1", "g3")]
 
 
+def test_a_good_pair_beats_two_poor_ones(spark, rows):
+    def values(**means):
+        return [{k: str(round(m * f)) for k, m in means.items()} for f in (0.25, 1, 4)]
+
+    got = changes(spark, rows, [year(1, ["f0", "f1"], values(f0=1000, f1=6000)), year(2, ["g2", "g3"], values(g2=1000, g3=170))])
+    assert got == sorted([("o", 2, "renamed", "f0", "g2"), ("o", 2, "removed", "f1", ""), ("o", 2, "added", "g3", "")], key=repr)
+
+
 def test_appearing_alternatives(spark, rows):
     facts, values = setting(spark, [year(1, ["v"], [{"v": "1"}]), year(2, ["v"], [{"v": "2"}, {"v": "x"}]), year(3, ["v"], [{"v": "-"}]), year(4, ["v"], [{"v": "1.5"}]), year(5, ["v"], [{"v": "7"}])])
     found = drift.appearing_alternatives(drift.fused_schema(facts, values, KEYS), KEYS)
