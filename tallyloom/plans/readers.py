@@ -15,6 +15,7 @@ from tallyloom.plans.collection import _CLEAN
 from tallyloom.session import shared_folder
 from tallyloom.sources import catalogues, manifests
 from tallyloom.sources.tables import table
+from tallyloom.streaming import tail
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,6 +47,18 @@ def manifest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("task_id", "raw_path", "sha256", "bytes", "http_status", "row_count", F.array_join("field_names", ",").alias("fields"), F.size("params").alias("params"))
 
 
+@query("SELECT DISTINCT task_id, sha256 FROM manifest_records")
+def manifest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as JSON lines through the stream, in two runs of it: each checksum of a task once, dated or in the quarantine."""
+    rows = table(spark, sf_dir, "manifest_records", *_NAMES)
+    folder = _folder(spark, "stream")
+    for _ in range(2):  # the second run brings all rows again
+        rows.select(F.to_json(F.struct(*_NAMES))).write.mode("append").text(f"{folder}/in")
+        tail.run_once(tail.tail(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/state")
+    held = [spark.read.schema("task_id string, sha256 string").parquet(f"{folder}/out{end}") for end in ("", "-quarantine")]
+    return held[0].unionByName(held[1]).distinct()
+
+
 @query("""SELECT task_id, arg_max(struct_pack(p := local_path), entry_no).p AS local_path, arg_max(struct_pack(s := size_bytes), entry_no).s AS size_bytes FROM portal_manifest WHERE status = 'downloaded' AND task_id <> '' GROUP BY task_id""")
 def manifest_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The portal manifest in the order of its entries as JSON lines, read back by the lenient reader: the last download of each task."""
