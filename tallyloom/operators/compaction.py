@@ -289,20 +289,21 @@ def compact_store(plan: Plan, store: str, folder: str) -> DataFrame:
     return plan.files.drop("last_id").repartition("shard").sortWithinPartitions("shard", "output_group", "file_key").mapInArrow(write, WRITTEN)
 
 
-def contents_of(spark: SparkSession, done: DataFrame) -> DataFrame:
-    """``file_key``, ``file_id``, ``content`` of all published files."""
-    paths = [r.output_path for r in done.filter("output_path is not null").select("output_path").collect()]
-    schema = "file_key string, file_id long, content binary"
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def contents_of(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_key``, ``file_id``, ``content`` of all output files of a folder."""
+    return spark.read.schema("file_key string, file_id long, content binary").option("pathGlobFilter", "part-*.parquet").parquet(folder)
 
 
-def unlike(plan: Plan, done: DataFrame) -> DataFrame:
-    """The keys whose times in the published files are not as planned, beside those that are listed as missing: ``file_key``, ``planned``, ``held``."""
+def missing_of(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_key``, ``file_id``, ``output_group`` of the planned files without content."""
+    return spark.read.schema("file_key string, file_id long, output_group int").option("pathGlobFilter", "missing-*.parquet").parquet(folder)
+
+
+def unlike(plan: Plan, folder: str) -> DataFrame:
+    """The keys whose times in the output files are not as planned, beside those that are listed as missing: ``file_key``, ``planned``, ``held``."""
     spark = plan.files.sparkSession
-    held = contents_of(spark, done).groupBy("file_key").agg(F.count("*").alias("held"))
-    lists = [r.missing_path for r in done.filter("missing_path is not null").select("missing_path").distinct().collect()]
-    lost = spark.read.schema("file_key string").parquet(*lists) if lists else spark.createDataFrame([], "file_key string")
-    planned = plan.files.select("file_key", F.lit(1).alias("planned")).join(lost, "file_key", "left_anti")
+    held = contents_of(spark, folder).groupBy("file_key").agg(F.count("*").alias("held"))
+    planned = plan.files.select("file_key", F.lit(1).alias("planned")).join(missing_of(spark, folder).select("file_key"), "file_key", "left_anti")
     both = planned.join(held, "file_key", "full")
     return both.select("file_key", F.coalesce("planned", F.lit(0)).alias("planned"), F.coalesce("held", F.lit(0)).alias("held")).filter("planned <> held")
 
@@ -310,8 +311,8 @@ def unlike(plan: Plan, done: DataFrame) -> DataFrame:
 def publish(plan: Plan, written: DataFrame, folder: str) -> DataFrame:
     """Runs the compaction once, compares it with the plan by key, then writes the manifest, the sign that it ended.
 
-    A folder that has a manifest is refused, before and at the end; a published file that does not hold
-    what was planned is an error, and no manifest is written. The manifest has one line per output
+    A folder that has a manifest is refused, before and at the end; output files that do not hold what was
+    planned, those that others left in the folder too, are an error, and no manifest is written. The manifest has one line per output
     group, with ``complete``, whether it holds all that was planned; the driver writes it line by line.
     Where any is not complete, ``_INCOMPLETE`` is written first, with the planned, written and missing
     files of the whole; ``missing_path`` lists them.
@@ -322,7 +323,7 @@ def publish(plan: Plan, written: DataFrame, folder: str) -> DataFrame:
         raise FileExistsError(final)
     done = cut(written)
     system.create_dir(root, recursive=True)
-    if wrong := unlike(plan, done).limit(5).collect():
+    if wrong := unlike(plan, folder).limit(5).collect():
         raise OSError(f"the published files do not hold what was planned: {[r.file_key for r in wrong]}")
     whole = done.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("planned_files", "files", "missing_files"))).first().asDict()
     if whole["missing_files"]:

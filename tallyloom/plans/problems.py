@@ -98,24 +98,24 @@ def p2_planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compaction.schedule(_listing(spark, sf_dir)).files.select(F.col("file_id").alias("record_id"), "size_bytes")
 
 
-def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _compacted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     listing = _listing(spark, sf_dir)
     plan = compaction.schedule(listing)
     plan = plan._replace(files=cut(plan.files))
     responses = table(spark, sf_dir, "raw_responses", "raw_path", "payload")
     contents = responses.filter("raw_path is not null").select(location(F.col("raw_path")).alias("file_key"), F.col("payload").alias("content"))
     folder = f"{shared_folder(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"
-    return compaction.publish(plan, compaction.compact(plan, contents, folder), folder)
+    return folder, compaction.publish(plan, compaction.compact(plan, contents, folder), folder)
 
 
 def p2_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored responses written to few files in the shared folder: what each output file holds."""
-    return _compacted(spark, sf_dir).drop("output_path", "missing_path")
+    return _compacted(spark, sf_dir)[1].drop("output_path", "missing_path")
 
 
 def p2_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the published files hold, read back: the row that a content is listed by, its bytes and its digest."""
-    held = compaction.contents_of(spark, _compacted(spark, sf_dir))
+    held = compaction.contents_of(spark, _compacted(spark, sf_dir)[0])
     return held.select(F.col("file_id").alias("record_id"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("digest"))
 
 
