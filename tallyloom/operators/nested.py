@@ -548,7 +548,11 @@ def layout_of(found: Iterable[tuple[str, str, str]], nest: tuple[tuple[str, str]
 
 
 def discover(df: DataFrame, payload: str, nest: tuple[tuple[str, str], ...] = NEST) -> Layout:
-    """The ``Layout`` of all records of a table. Each task tells every path once; payloads that are not well-formed tell nothing."""
+    """The ``Layout`` of all records of a table. Each task tells every path once; payloads that are not well-formed tell nothing.
+
+    The driver reads the different paths. Where names are data (ids as names) there may be as many as
+    records; ``flatten`` without a layout keeps those as the keys of a map.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[tuple[str, str, str]] = set()
