@@ -247,7 +247,7 @@ def _lost(name: str) -> bool:
         elif alone and before and before in "([{" and after and after in ")]}":
             lost = False
         else:
-            lost = not (alone and before == " " and (after == "" or after in ".") and name[: m.start()].rstrip()[-1:].isalpha())
+            lost = not (alone and before == " " and (after == "" or after in ".") and name[max(0, m.start() - 9) : m.start()].rstrip()[-1:].isalpha())
         if lost:
             return True
     return False
