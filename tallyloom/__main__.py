@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import manifest, planning
-from tallyloom.session import cut
+from tallyloom.session import cut, telling
 from tallyloom.sinks import store
 from tallyloom.sources import collector, configs, manifests
 
@@ -98,7 +98,8 @@ def collect(args: argparse.Namespace, planned: DataFrame, tasks: DataFrame, decl
     policy = collector.Policy(concurrency=args.concurrency)
     tasks = cut(tasks)
     fields = tasks.join(declared.select("service", "operation", "output_fields").dropDuplicates(["service", "operation"]), ["service", "operation"])
-    got = cut(collector.collect(fields, policy.concurrency, args.between, probe_rows=policy.probe_rows, row_limit=policy.row_limit))
+    with telling(tasks.sparkSession, lambda text: print(text, file=sys.stderr)):
+        got = cut(collector.collect(fields, policy.concurrency, args.between, probe_rows=policy.probe_rows, row_limit=policy.row_limit))
     rows = collector.manifest_rows(got, tasks, F.lit(datetime.now(UTC).isoformat(timespec="seconds")))
     log = store.Log(args.manifest)
     Path(args.store).mkdir(parents=True, exist_ok=True)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -73,3 +76,29 @@ def cut(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+@contextmanager
+def telling(spark: SparkSession, tell: Callable[[str], None], every: float = 5.0) -> Iterator[None]:
+    """Tells the progress of what runs inside, every ``every`` seconds: for each active stage its tasks, those done, running and failed.
+
+    ``tell`` is called from a thread of its own; an error of it ends the telling, not the work.
+    """
+    tracker, stop = spark.sparkContext.statusTracker(), threading.Event()
+
+    def watch() -> None:
+        last = ""
+        while not stop.wait(every):
+            stages = [i for i in map(tracker.getStageInfo, tracker.getActiveStageIds()) if i is not None]
+            now = "; ".join(f"stage {i.stageId}: {i.numCompletedTasks} of {i.numTasks} done, {i.numActiveTasks} running, {i.numFailedTasks} failed" for i in sorted(stages, key=lambda i: i.stageId))
+            if now and now != last:
+                tell(now)
+                last = now
+
+    thread = threading.Thread(target=watch, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        stop.set()
+        thread.join()

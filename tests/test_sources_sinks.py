@@ -417,3 +417,17 @@ def test_run_and_resume(spark, api, capsys, tmp_path):
     assert main(["run", *args, "--store", str(tmp_path / "raw")]) == 0
     assert json.loads(capsys.readouterr().out)["skipped"] == 1
     assert main(["plan", *args, "--school", "2025:27"]) == 1
+
+
+def test_progress_is_told(spark):
+    import time
+
+    from tallyloom.session import telling
+
+    told = []
+    slow = spark.range(0, 4, 1, 2).rdd.map(lambda r: time.sleep(0.4) or r)
+    with telling(spark, told.append, 0.1):
+        assert slow.count() == 4
+    assert any(" of 2 done" in t for t in told)
+    with telling(spark, told.append, 0.1):
+        pass
