@@ -25,7 +25,6 @@ from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: A level of repeated elements: the element that wraps the list, and the element of each entry.
 NEST = (("items", "item"), ("majorList", "major"), ("quotaList", "quota"))
@@ -662,17 +661,44 @@ def level(flat: DataFrame, name: str) -> DataFrame:
     return flat.filter(flat.level_table == name).drop("level_table")
 
 
-def wide(flat: DataFrame, layout: Layout, path: str, tables: tuple[str, ...] = TABLES, nest: tuple[tuple[str, str], ...] = NEST) -> DataFrame:
-    """The table at ``path`` out of ``flatten``, with a column for each of its fields.
+def table_of(df: DataFrame, row_id: str, payload: str, layout: Layout, path: str, nest: tuple[tuple[str, str], ...] = NEST) -> DataFrame:
+    """The table at ``path`` of a layout: ``row_id``, the numbers and ``ordinals`` of ``flatten``, and a column for each of its fields.
 
-    Names that differ in letter case only are one column, in the spelling that sorts first; a field
-    that is called like a link column gets ``_field`` behind its name.
+    Names that differ in letter case only are one column, in the spelling that sorts first, whose value
+    comes first too; a field that is called like a link column gets ``_field`` behind its name. Several
+    values of a field become a JSON list.
     """
-    own = level(flat, declared(nest, tables).get(path, path))
-    links = [c for c in own.columns if c != "fields"]
-    by_name: dict[str, list[str]] = {}
+    numbers = [f"{entry}_no" for _, entry in nest]
+    taken = {c.lower() for c in (row_id, *numbers, "ordinals")}
+    columns: dict[str, str] = {}  # by field
+    called: dict[str, str] = {}
     for name in layout.fields[path]:
-        by_name.setdefault(name.lower(), []).append(name)
-    taken = {c.lower() for c in links}
-    columns = [F.coalesce(*(F.try_element_at("fields", F.lit(n)) for n in names)).alias(names[0] + "_field" * (key in taken)) for key, names in by_name.items()]
-    return own.select(*links, *columns)
+        columns[name] = called.setdefault(name.lower(), name + "_field" * (name.lower() in taken))
+    merged = len(called) < len(columns)
+    names = [*called.values()]
+    depth = max(d for d, t in enumerate(declared(nest), 1) if not t or path == t or path.startswith(t + "/"))
+    kind = dict(df.dtypes)[row_id]
+    quoted = ["`" + c.replace("`", "``") + "`" for c in names]
+    schema = f"`{row_id}` {kind}, " + ", ".join([*(f"`{n}` long" for n in numbers), "ordinals array<long>", *(f"{c} string" for c in quoted)])
+    shape = pa.struct([(c, pa.string()) for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 1000):
+                part = batch.slice(start, 1000)
+                source, ordinals, rows = [], [], []
+                for row_no, text in enumerate(part.column(1).to_pylist()):
+                    for (table, where), row in pivot(triples(text, nest, layout.extra) or []).items():
+                        if table == path:
+                            source.append(row_no)
+                            ordinals.append(where)
+                            held: dict[str, str] = {}
+                            for field in sorted(row) if merged else row:
+                                values = row[field]
+                                held.setdefault(columns[field], values[0] if len(values) == 1 else json.dumps(values, ensure_ascii=False))
+                            rows.append(held)
+                places = [pa.array([w[n] if n < depth else 0 for w in ordinals], pa.int64()) for n in range(len(nest))]
+                fields = pa.array(rows, shape).flatten() if names else []
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(source, pa.int64())), *places, pa.array(ordinals, pa.list_(pa.int64())), *fields], [row_id, *numbers, "ordinals", *names])
+
+    return df.select(row_id, payload).mapInArrow(run, schema)

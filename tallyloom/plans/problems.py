@@ -151,8 +151,7 @@ def _p5_level(path: str, numbers: list[str]):
         """A declared level with a column for each field that any response has there."""
         responses = table(spark, sf_dir, "raw_responses", "response_id", "payload")
         layout = nested.discover(responses, "payload")
-        flat = nested.flatten(responses, "response_id", "payload", layout=layout)
-        return nested.wide(flat, layout, path).drop("ordinals", *({"item_no", "major_no", "quota_no"} - set(numbers)))
+        return nested.table_of(responses, "response_id", "payload", layout, path).drop("ordinals", *({"item_no", "major_no", "quota_no"} - set(numbers)))
 
     return query
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from json_tree import tree_triples
-from tallyloom.operators.nested import NEST, discover, elements, flatten, level, pivot, triples, wide
+from tallyloom.operators.nested import NEST, discover, elements, flatten, level, pivot, table_of, triples
 
 ITEM = st.fixed_dictionaries({"a": st.text("xy<&", max_size=3), "majors": st.none() | st.lists(st.fixed_dictionaries({"n": st.text("pq", min_size=1, max_size=2), "quotas": st.none() | st.lists(st.integers(0, 9), max_size=3)}), max_size=3), "rmk": st.none() | st.lists(st.text("rs", min_size=1, max_size=2), max_size=2)})
 
@@ -103,11 +103,15 @@ def test_repeated_lists_become_tables(spark, rows):
         (1, "items", 1, 0, [1]), (1, "kids/kid", 1, 0, [1, 1]), (1, "kids/kid", 1, 0, [1, 2]), (1, "kids/kid/pet", 1, 0, [1, 2, 1]), (1, "kids/kid/pet", 1, 0, [1, 2, 2]),
         (1, "items", 2, 0, [2]), (1, "kids/kid", 2, 0, [2, 1]), (2, "items", 1, 0, [1]), (2, "kids/kid", 1, 0, [1, 1]),
     ], key=repr)
-    kids = wide(flat, layout, "kids/kid")
+    kids = table_of(df, "response_id", "payload", layout, "kids/kid")
     assert kids.columns == ["response_id", "item_no", "major_no", "quota_no", "ordinals", "#text", "X", "item_no_field", "y"]
     assert rows(kids, "`#text`", "X", "item_no_field", "y") == sorted([(None, "1", None, None), (None, None, None, "2"), ("plain", None, None, None), (None, "7", "n", None)], key=repr)
-    assert rows(wide(flat, layout, ""), "A", "`rmk/item`") == sorted([("1", None), (None, '["r", "s"]'), ("3", None)], key=repr)
+    assert rows(table_of(df, "response_id", "payload", layout, ""), "A", "`rmk/item`") == sorted([("1", None), (None, '["r", "s"]'), ("3", None)], key=repr)
+    pets = table_of(df, "response_id", "payload", layout, "kids/kid/pet")
+    assert rows(pets) == [(1, 1, 0, 0, [1, 2, 1], "p"), (1, 1, 0, 0, [1, 2, 2], "q")]
     empty = discover(df.limit(0), "payload")
+    assert table_of(df.limit(0), "response_id", "payload", empty, "").columns == ["response_id", "item_no", "major_no", "quota_no", "ordinals"]
+    assert table_of(df.limit(0), "response_id", "payload", empty, "").count() == 0
     assert empty.extra == frozenset() and flatten(df.limit(0), "response_id", "payload", layout=empty).count() == 0
 
 
